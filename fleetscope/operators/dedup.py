@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,30 +14,25 @@ def _cols(xs: Sequence[str | Column]) -> list[Column]:
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                skip_null_keys: bool = True) -> DataFrame:
-    """One row per ``keys``: the first by ``order`` (ascending; NULLs first).
-
-    Expressed as a grouped ``min_by`` over a struct of the payload, so Spark
-    plans a partial aggregate on the map side: a key with millions of copies
-    is collapsed to one row per input split *before* the shuffle, instead of
-    sending every copy to a single task as a ``row_number`` window would.
-    ``order`` should make the survivor unique (a tie-break column); rows tied
-    on ``order`` are exact copies in this data model.
+    """One row per ``keys``: the first by ``order`` (ascending).
+
+    ``row_number() == 1`` over ``partitionBy(keys)``: Spark plans it as a
+    ``WindowGroupLimit`` with a *partial* limit before the shuffle, so a key
+    with millions of copies is collapsed to one row per input split before it
+    is exchanged, and columns the caller never reads are pruned down to the
+    scan.  ``order`` should make the survivor unique (a tie-break column).
     Rows with a NULL key are dropped when ``skip_null_keys`` (the load's
     NOT NULL rule).
     """
     keys = list(keys)
-    payload = [c for c in df.columns if c not in keys]
     src = df
     if skip_null_keys:
         cond = None
         for k in keys:
             cond = F.col(k).isNotNull() if cond is None else cond & F.col(k).isNotNull()
         src = src.filter(cond)
-    if not payload:
-        return src.select(*keys).distinct()
-    order_struct = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(_cols(order))])
-    agg = src.groupBy(*keys).agg(F.min_by(F.struct(*payload), order_struct).alias("_first"))
-    return agg.select(*[F.col(c) for c in df.columns if c in keys] + [], "_first.*").select(*df.columns)
+    w = Window.partitionBy(*keys).orderBy(*_cols(order))
+    return src.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:

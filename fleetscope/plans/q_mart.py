@@ -1 +1,101 @@
 """Registered mart queries (M1-M10)."""
+
+from __future__ import annotations
+
+from fleetscope.operators.dedup import keep_first
+from fleetscope.plans import mart as M
+from fleetscope.plans.catalog import register
+from fleetscope.plans.reports import day_bucket
+from fleetscope.sources.fixture import raw_telemetry
+
+ROUNDED = """r AS (SELECT event_id, train_id, cell_tower_id, timestamp,
+  round_even(temp_celsius, 2) AS temp_celsius, status, round_even(speed_kmh, 2) AS speed_kmh,
+  round_even(latitude, 3) AS latitude, round_even(longitude, 3) AS longitude,
+  round_even(signal_strength_dbm, 2) AS signal_strength_dbm, line_segment, network_type,
+  round_even(power_consumption_kw, 2) AS power_consumption_kw FROM raw_telemetry),
+kk AS (SELECT *, CAST(year(timestamp) * 10000 + month(timestamp) * 100 + day(timestamp) AS INT) AS DateKey,
+  CAST(hour(timestamp) * 60 + minute(timestamp) AS INT) AS TimeKey FROM r),
+dd AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY train_id, timestamp ORDER BY event_id) AS rn
+  FROM kk) z WHERE rn = 1),
+mm AS (SELECT *,
+  round_even(temp_celsius - lag(temp_celsius) OVER (PARTITION BY train_id ORDER BY timestamp), 2) AS delta_temp_celsius,
+  round_even((epoch(timestamp) - epoch(lag(timestamp) OVER (PARTITION BY train_id ORDER BY timestamp))) / 60e0, 2)
+    AS delta_time_min,
+  round_even(abs(signal_strength_dbm - lag(signal_strength_dbm) OVER (PARTITION BY cell_tower_id ORDER BY timestamp, train_id)), 2)
+    AS delta_signal_dbm,
+  CAST(CASE WHEN temp_celsius IS NULL THEN 1 ELSE 0 END AS TINYINT) AS IsMissingTemp,
+  CAST(CASE WHEN temp_celsius IS NOT NULL AND temp_celsius > 120 THEN 1 ELSE 0 END AS TINYINT) AS IsExtremeTemp,
+  CASE WHEN speed_kmh IS NULL THEN NULL WHEN speed_kmh <= 50 THEN '01: 0-50' WHEN speed_kmh <= 100 THEN '02: 50-100'
+    WHEN speed_kmh <= 150 THEN '03: 100-150' WHEN speed_kmh <= 200 THEN '04: 150-200'
+    WHEN speed_kmh <= 250 THEN '05: 200-250' ELSE '06: 250-300' END AS SpeedRange
+FROM dd)"""
+
+
+def _mart(spark, d):
+    return M.bi_mart(raw_telemetry(spark, d), bucket=day_bucket())
+
+
+@register("m01_round_columns", """SELECT train_id, timestamp, temp_celsius, speed_kmh, latitude, longitude,
+  signal_strength_dbm, power_consumption_kw FROM r""", ROUNDED)
+def m01(spark, d):
+    return M.round_columns(raw_telemetry(spark, d)).select(
+        "train_id", "timestamp", "temp_celsius", "speed_kmh", "latitude", "longitude",
+        "signal_strength_dbm", "power_consumption_kw")
+
+
+@register("m02_date_key", "SELECT train_id, timestamp, DateKey FROM kk", ROUNDED)
+def m02(spark, d):
+    return M.add_keys(raw_telemetry(spark, d)).select("train_id", "timestamp", "DateKey")
+
+
+@register("m03_time_key", "SELECT train_id, timestamp, TimeKey FROM kk", ROUNDED)
+def m03(spark, d):
+    return M.add_keys(raw_telemetry(spark, d)).select("train_id", "timestamp", "TimeKey")
+
+
+@register("m04_dedup", "SELECT * EXCLUDE (event_id) FROM dd", ROUNDED)
+def m04(spark, d):
+    df = M.add_keys(M.round_columns(raw_telemetry(spark, d)))
+    return keep_first(df, ["train_id", "timestamp"], ["event_id"]).drop("event_id")
+
+
+@register("m05_delta_temp", "SELECT train_id, timestamp, temp_celsius, delta_temp_celsius FROM mm", ROUNDED)
+def m05(spark, d):
+    return _mart_full(spark, d).select("train_id", "timestamp", "temp_celsius", "delta_temp_celsius")
+
+
+@register("m06_delta_time", "SELECT train_id, timestamp, delta_time_min FROM mm", ROUNDED)
+def m06(spark, d):
+    return _mart_full(spark, d).select("train_id", "timestamp", "delta_time_min")
+
+
+@register("m07_delta_signal", """SELECT cell_tower_id, train_id, timestamp, signal_strength_dbm, delta_signal_dbm
+FROM mm""", ROUNDED)
+def m07(spark, d):
+    return _mart_full(spark, d).select("cell_tower_id", "train_id", "timestamp", "signal_strength_dbm",
+                                       "delta_signal_dbm")
+
+
+@register("m08_quality_flags", "SELECT train_id, timestamp, IsMissingTemp, IsExtremeTemp FROM mm", ROUNDED)
+def m08(spark, d):
+    return _mart_full(spark, d).select("train_id", "timestamp", "IsMissingTemp", "IsExtremeTemp")
+
+
+@register("m09_speed_range", "SELECT train_id, timestamp, speed_kmh, SpeedRange FROM mm", ROUNDED)
+def m09(spark, d):
+    return _mart_full(spark, d).select("train_id", "timestamp", "speed_kmh", "SpeedRange")
+
+
+@register("m10_bi_mart", """SELECT train_id, cell_tower_id, temp_celsius, status, speed_kmh, signal_strength_dbm,
+  line_segment, network_type, power_consumption_kw, DateKey, TimeKey, delta_temp_celsius, delta_time_min,
+  delta_signal_dbm, IsMissingTemp, IsExtremeTemp, SpeedRange FROM mm""", ROUNDED)
+def m10(spark, d):
+    return _mart(spark, d).select(*M.MART_COLUMNS)
+
+
+def _mart_full(spark, d):
+    """Mart before the column drop (keeps timestamp for the per-step checks)."""
+    df = M.add_keys(M.round_columns(raw_telemetry(spark, d)))
+    df = keep_first(df, ["train_id", "timestamp"], ["event_id"])
+    return M.add_quality(M.add_deltas(df, bucket=day_bucket()))
+
