@@ -16,7 +16,7 @@ __all__ = [
     "col_", "dbl", "hour_text", "hour_int", "minute_int", "date_key", "time_key",
     "seconds_between", "speed_band", "flag", "blackout", "clip", "safe_div",
     "nan_to_null", "hash_unit", "weighted_category", "integer_jitter", "map_lookup",
-    "round_to",
+    "round_to", "key_unit", "normal_noise",
 ]
 
 
@@ -154,3 +154,21 @@ def round_to(c: str | Column, digits: int | None, half_even: bool = False) -> Co
     if digits is None:
         return col_(c)
     return F.bround(col_(c), digits) if half_even else F.round(col_(c), digits)
+
+
+def key_unit(key: str | Column, salt: str = "", modulus: int = 10000) -> Column:
+    """Deterministic pseudo-uniform value in [0, 1) from any (string) key.
+
+    First 32 bits of ``md5(salt || key)``: a pure function of the key, so a
+    per-key draw needs no dimension table, no join and no shuffle, and a
+    re-executed task draws the same value.
+    """
+    h = F.conv(F.substring(F.md5(F.concat(F.lit(salt), col_(key).cast("string"))), 1, 8), 16, 10).cast("bigint")
+    return (h % modulus) / dbl(modulus)
+
+
+def normal_noise(u1: Column, u2: Column, mean: float, sd: float, modulus: int = 10000) -> Column:
+    """Gaussian draw from two uniforms (Box-Muller); ``u1`` is shifted into (0, 1]."""
+    v1 = (u1 * modulus + 1) / dbl(modulus + 1)
+    z = F.sqrt(F.lit(-2.0) * F.log(v1)) * F.cos(F.lit(2 * 3.141592653589793) * u2)
+    return F.lit(mean) + F.lit(sd) * z

@@ -1 +1,219 @@
-"""Registered cleansing / enrichment queries (C1-C19, P*, A*)."""
+"""Registered cleansing / enrichment queries (C1-C19) over the telemetry views."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fleetscope.functions.expr import hash_unit, weighted_category
+from fleetscope.operators import cleanse as C
+from fleetscope.operators.dedup import duplicate_count
+from fleetscope.plans.catalog import register
+from fleetscope.schema import COLUMNS, SIGNAL_MAX, SIGNAL_MIN, SPEED_MAX, SPEED_MIN, STATUSES, TEMP_MAX, TEMP_MIN
+from fleetscope.sources.fixture import raw_telemetry, train_telemetry
+
+# Parameters of the registered runs (seeds are salts of the row-key hash).
+SEGMENTS = ["SEG-A", "SEG-B", "SEG-C", "SEG-D"]
+TRAIN_GAIN = (0.7, 1.3)
+HOUR_GAIN = (0.8, 1.2)
+STATUS_P = [0.95, 0.04, 0.01]
+BROKEN_STATUS_P = [0.6, 0.3, 0.1]
+SIGNAL_JITTER = (-15, 15)
+BAD_TRAINS = 15
+FRAC_MISSING, FRAC_OUTLIER, FRAC_DUP, FRAC_STOP, FRAC_SAMPLE = 0.05, 0.01, 0.02, 0.03, 0.05
+SALT_MISSING, SALT_OUTLIER, SALT_DUP, SALT_STOP = 101, 202, 303, 404
+SALT_BROKEN, SALT_NOISE, SALT_STATUS, SALT_JITTER, SALT_SAMPLE, SALT_HOUR = 505, 606, 707, 808, 909, 17
+POWER_SCALE = 5.0
+NOISE_MEAN, NOISE_SD = (SPEED_MAX - SPEED_MIN) / 2, (SPEED_MAX - SPEED_MIN) / 3
+
+COLS = ", ".join(COLUMNS)
+
+
+def _hu(key: str, salt: int) -> str:
+    """SQL twin of ``hash_unit``."""
+    return f"((({key} % 100003) * 7919 + {salt}) % 10000) / 10000e0"
+
+
+def _ku(key: str, salt: str) -> str:
+    """SQL twin of ``key_unit``."""
+    return f"(CAST(('0x' || substr(md5('{salt}' || {key}), 1, 8)) AS BIGINT) % 10000) / 10000e0"
+
+
+def _wc(u: str, values, probs) -> str:
+    """SQL twin of ``weighted_category`` (same float accumulation)."""
+    parts, acc = [], 0.0
+    for v, p in zip(values[:-1], probs[:-1]):
+        acc += p
+        parts.append(f"WHEN {u} < {acc!r} THEN '{v}'")
+    return f"CASE {' '.join(parts)} ELSE '{values[-1]}' END"
+
+
+def _clip(x: str, lo: float, hi: float) -> str:
+    return f"CASE WHEN ({x}) IS NULL THEN NULL ELSE greatest({lo!r}, least({hi!r}, {x})) END"
+
+
+def _map(key: str, mapping: dict) -> str:
+    whens = " ".join(f"WHEN {k!r} THEN {v!r}" for k, v in mapping.items())
+    return f"CASE {key} {whens} ELSE NULL END"
+
+
+@register("c01_range_filter", f"SELECT {COLS} FROM raw_telemetry WHERE temp_celsius BETWEEN {TEMP_MIN!r} AND {TEMP_MAX!r}")
+def c01(spark, d):
+    return C.range_filter(raw_telemetry(spark, d), "temp_celsius", TEMP_MIN, TEMP_MAX).select(*COLUMNS)
+
+
+@register("c02_dedup_report", """SELECT CAST(sum(n) AS BIGINT) AS rows_in, count(*) AS rows_out,
+  CAST(sum(n) - count(*) AS BIGINT) AS duplicates_removed
+FROM (SELECT count(*) AS n FROM raw_telemetry GROUP BY timestamp, train_id) g""")
+def c02(spark, d):
+    return duplicate_count(raw_telemetry(spark, d), ["timestamp", "train_id"])
+
+
+@register("c03_clip", f"""SELECT train_id, timestamp, {_clip('temp_celsius', TEMP_MIN, TEMP_MAX)} AS temp_celsius,
+  {_clip('speed_kmh', SPEED_MIN, SPEED_MAX)} AS speed_kmh FROM raw_telemetry""")
+def c03(spark, d):
+    t = C.clip_columns(raw_telemetry(spark, d), {"temp_celsius": (TEMP_MIN, TEMP_MAX),
+                                                  "speed_kmh": (SPEED_MIN, SPEED_MAX)})
+    return t.select("train_id", "timestamp", "temp_celsius", "speed_kmh")
+
+
+@register("c04_train_factor", f"""SELECT train_id, timestamp, speed_modifier, speed_kmh * speed_modifier AS speed_kmh
+FROM (SELECT *, {TRAIN_GAIN[0]!r} + {TRAIN_GAIN[1] - TRAIN_GAIN[0]!r} * {_ku('train_id', 'train')} AS speed_modifier
+      FROM raw_telemetry) z""")
+def c04(spark, d):
+    t = C.scale_by_key(raw_telemetry(spark, d), "speed_kmh", "train_id", *TRAIN_GAIN, salt="train",
+                       factor_name="speed_modifier")
+    return t.select("train_id", "timestamp", "speed_modifier", "speed_kmh")
+
+
+_HOURS = C.hour_factors(*HOUR_GAIN, salt=SALT_HOUR)
+
+
+@register("c05_hour_factor", f"""SELECT train_id, timestamp, hour_noise, speed_kmh * hour_noise AS speed_kmh
+FROM (SELECT *, {_map('CAST(hour(timestamp) AS INT)', _HOURS)} AS hour_noise FROM raw_telemetry) z""")
+def c05(spark, d):
+    t = C.scale_by_hour(raw_telemetry(spark, d), "speed_kmh", _HOURS, factor_name="hour_noise")
+    return t.select("train_id", "timestamp", "hour_noise", "speed_kmh")
+
+
+_OFFSETS = C.segment_offsets(SEGMENTS)
+
+
+@register("c06_segment_offset", f"""SELECT train_id, timestamp, signal_malus, signal_strength_dbm + signal_malus AS signal_strength_dbm
+FROM (SELECT *, {_map('line_segment', _OFFSETS)} AS signal_malus FROM raw_telemetry) z""")
+def c06(spark, d):
+    t = C.offset_by_segment(raw_telemetry(spark, d), "signal_strength_dbm", _OFFSETS, offset_name="signal_malus")
+    return t.select("train_id", "timestamp", "signal_malus", "signal_strength_dbm")
+
+
+_NULLED = f"CASE WHEN {_hu('event_id', SALT_MISSING)} < {FRAC_MISSING!r} THEN NULL ELSE temp_celsius END"
+
+
+@register("c07_inject_nulls", f"SELECT train_id, timestamp, {_NULLED} AS temp_celsius FROM raw_telemetry")
+def c07(spark, d):
+    t = C.overwrite_fraction(raw_telemetry(spark, d), "temp_celsius", None, FRAC_MISSING, "event_id", SALT_MISSING)
+    return t.select("train_id", "timestamp", "temp_celsius")
+
+
+@register("c08_inject_outliers", f"""SELECT train_id, timestamp,
+  CASE WHEN {_hu('event_id', SALT_OUTLIER)} < {FRAC_OUTLIER!r} THEN 999e0 ELSE {_NULLED} END AS temp_celsius
+FROM raw_telemetry""")
+def c08(spark, d):
+    t = C.overwrite_fraction(raw_telemetry(spark, d), "temp_celsius", None, FRAC_MISSING, "event_id", SALT_MISSING)
+    t = C.overwrite_fraction(t, "temp_celsius", 999.0, FRAC_OUTLIER, "event_id", SALT_OUTLIER)
+    return t.select("train_id", "timestamp", "temp_celsius")
+
+
+@register("c09_inject_duplicates", f"""SELECT {COLS} FROM train_telemetry
+UNION ALL SELECT {COLS} FROM train_telemetry WHERE {_hu('event_id', SALT_DUP)} < {FRAC_DUP!r}""")
+def c09(spark, d):
+    return C.inject_duplicates(train_telemetry(spark, d), FRAC_DUP, "event_id", SALT_DUP).select(*COLUMNS)
+
+
+@register("c10_inject_stops", f"""SELECT train_id, timestamp,
+  CASE WHEN {_hu('event_id', SALT_STOP)} < {FRAC_STOP!r} THEN 0e0 ELSE {_clip('speed_kmh', SPEED_MIN, SPEED_MAX)} END
+    AS speed_kmh FROM raw_telemetry""")
+def c10(spark, d):
+    t = C.clip_columns(raw_telemetry(spark, d), {"speed_kmh": (SPEED_MIN, SPEED_MAX)})
+    t = C.overwrite_fraction(t, "speed_kmh", 0.0, FRAC_STOP, "event_id", SALT_STOP)
+    return t.select("train_id", "timestamp", "speed_kmh")
+
+
+_FIRST_K = f"""SELECT train_id, min(event_id) AS first_seen FROM raw_telemetry GROUP BY train_id
+ORDER BY first_seen, train_id LIMIT {BAD_TRAINS}"""
+
+
+@register("c11_first_k_keys", _FIRST_K)
+def c11(spark, d):
+    return C.first_k_keys(raw_telemetry(spark, d), "train_id", "event_id", BAD_TRAINS)
+
+
+@register("c12_override_keys", f"""SELECT r.train_id, r.timestamp,
+  CASE WHEN b.train_id IS NOT NULL THEN {_wc(_hu('r.event_id', SALT_BROKEN), STATUSES, BROKEN_STATUS_P)}
+       ELSE r.status END AS status
+FROM raw_telemetry r LEFT JOIN bad b ON r.train_id = b.train_id""", f"bad AS ({_FIRST_K})")
+def c12(spark, d):
+    raw = raw_telemetry(spark, d)
+    bad = C.first_k_keys(raw, "train_id", "event_id", BAD_TRAINS)
+    value = weighted_category(hash_unit("event_id", SALT_BROKEN), STATUSES, BROKEN_STATUS_P)
+    t = C.override_for_keys(raw, bad, "train_id", "status", value, max_keys=BAD_TRAINS)
+    return t.select("train_id", "timestamp", "status")
+
+
+_V1 = f"(({_hu('event_id', SALT_NOISE)}) * 10000 + 1) / 10001e0"
+_U2 = _hu("event_id", SALT_NOISE + 1)
+
+
+@register("c13_linear_feature", f"""SELECT train_id, timestamp,
+  round({POWER_SCALE!r} * (speed_kmh + ({NOISE_MEAN!r} + {NOISE_SD!r} * (sqrt(-2.0e0 * ln({_V1})) * cos({2 * 3.141592653589793!r} * {_U2})))), 6)
+    AS power_consumption_kw FROM raw_telemetry""")
+def c13(spark, d):
+    t = C.linear_feature(raw_telemetry(spark, d), "power_consumption_kw", "speed_kmh", POWER_SCALE,
+                         NOISE_MEAN, NOISE_SD, row_key="event_id", salt=SALT_NOISE)
+    return t.select("train_id", "timestamp", F.round("power_consumption_kw", 6).alias("power_consumption_kw"))
+
+
+@register("c14_weighted_category", f"""SELECT train_id, timestamp,
+  {_wc(_hu('event_id', SALT_STATUS), STATUSES, STATUS_P)} AS status FROM raw_telemetry""")
+def c14(spark, d):
+    t = C.assign_category(raw_telemetry(spark, d), "status", STATUSES, STATUS_P, "event_id", SALT_STATUS)
+    return t.select("train_id", "timestamp", "status")
+
+
+_JIT = f"CAST(floor({_hu('event_id', SALT_JITTER)} * {SIGNAL_JITTER[1] - SIGNAL_JITTER[0]}) + {SIGNAL_JITTER[0]} AS INT)"
+
+
+@register("c15_integer_jitter", f"""SELECT train_id, timestamp, signal_strength_dbm + {_JIT} AS signal_strength_dbm
+FROM raw_telemetry""")
+def c15(spark, d):
+    t = C.add_jitter(raw_telemetry(spark, d), "signal_strength_dbm", *SIGNAL_JITTER, "event_id", SALT_JITTER)
+    return t.select("train_id", "timestamp", "signal_strength_dbm")
+
+
+_S1 = _clip(f"signal_strength_dbm + {_map('line_segment', _OFFSETS)} + {_JIT}", SIGNAL_MIN, SIGNAL_MAX)
+
+
+@register("c16_signal_chain", f"""SELECT train_id, timestamp,
+  {_clip(f'({_S1}) - speed_kmh / 10e0', SIGNAL_MIN, SIGNAL_MAX)} AS signal_strength_dbm FROM raw_telemetry""")
+def c16(spark, d):
+    t = C.signal_chain(raw_telemetry(spark, d), _OFFSETS, SIGNAL_JITTER, (SIGNAL_MIN, SIGNAL_MAX), 10.0,
+                       "event_id", SALT_JITTER)
+    return t.select("train_id", "timestamp", "signal_strength_dbm")
+
+
+@register("c17_minute_spine", """SELECT unnest(generate_series(day, day + INTERVAL 1439 MINUTE, INTERVAL 1 MINUTE)) AS minute
+FROM (SELECT DISTINCT CAST(date_trunc('day', timestamp) AS TIMESTAMP) AS day FROM raw_telemetry) z""")
+def c17(spark, d):
+    return C.observed_minute_spine(raw_telemetry(spark, d))
+
+
+@register("c18_canonical_order")
+def c18(spark, d):
+    return C.canonical_order(raw_telemetry(spark, d)).select(*COLUMNS)
+
+
+@register("c19_sample_exact", f"""SELECT {COLS} FROM (
+  SELECT *, row_number() OVER (ORDER BY CAST({_hu('event_id', SALT_SAMPLE)} * 10000 AS INT), event_id) AS rk
+  FROM raw_telemetry) z
+WHERE rk <= (SELECT round(count(*) * {FRAC_SAMPLE!r}) FROM raw_telemetry)""")
+def c19(spark, d):
+    return C.sample_exact(raw_telemetry(spark, d), FRAC_SAMPLE, "event_id", SALT_SAMPLE, ["event_id"]).select(*COLUMNS)
