@@ -1 +1,225 @@
-"""Registered source / sink / ingest queries (I*, W*)."""
+"""Registered source/sink, ingest, window, join and scalar-expression queries
+(I*, W*, J1, P*, A*)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fleetscope.functions.expr import blackout, flag, speed_band
+from fleetscope.operators.aggregate import value_counts
+from fleetscope.operators.cleanse import range_reject_flag
+from fleetscope.operators.dedup import keep_first
+from fleetscope.operators.lag import previous_row
+from fleetscope.plans import mart as M
+from fleetscope.plans.catalog import register
+from fleetscope.plans.manifest import run_reports
+from fleetscope.plans.reports import day_bucket
+from fleetscope.schema import COLUMNS, TELEMETRY, TEMP_MAX, TEMP_MIN
+from fleetscope.sources import files as IO
+from fleetscope.sources import ingest as ING
+from fleetscope.sources.fixture import raw_telemetry, train_telemetry
+
+COLS = ", ".join(COLUMNS)
+FIRST_LOAD_END = "2024-01-16 00:00:00"  # the first load holds the readings before this instant
+
+# --- sources and sinks --------------------------------------------------------
+
+
+@register("i01_scan_parquet", "SELECT event_id, ts, user_id, event_type, value FROM events WHERE value > 100")
+def i01(spark, d):
+    # column subset -> ReadSchema; comparison -> PushedFilters (row-group skipping)
+    return IO.read_parquet(spark, f"{d}/events.parquet", ["event_id", "ts", "user_id", "event_type", "value"]) \
+             .filter(F.col("value") > 100)
+
+
+@register("i03_csv_roundtrip", f"SELECT {COLS} FROM train_telemetry")
+def i03(spark, d):
+    path = IO.scratch_path(spark, "csv")
+    IO.write_csv(train_telemetry(spark, d).select(*COLUMNS), path)
+    return IO.read_csv(spark, path, TELEMETRY)
+
+
+@register("i05_latest_snapshot")
+def i05(spark, d):
+    return IO.latest_of(spark, d, "events")
+
+
+@register("i07_parquet_roundtrip", f"SELECT {COLS} FROM train_telemetry")
+def i07(spark, d):
+    path = IO.scratch_path(spark, "parquet")
+    IO.write_parquet(train_telemetry(spark, d).select(*COLUMNS), path)
+    return IO.read_parquet(spark, path)
+
+
+@register("i08_conform_schema", f"SELECT {COLS} FROM raw_telemetry WHERE train_id IS NOT NULL AND timestamp IS NOT NULL")
+def i08(spark, d):
+    return ING.conform_schema(raw_telemetry(spark, d))
+
+
+@register("i09_surrogate_id", f"""SELECT row_number() OVER (ORDER BY train_id, timestamp) AS id, {COLS}
+FROM train_telemetry""")
+def i09(spark, d):
+    return ING.surrogate_id(train_telemetry(spark, d).select(*COLUMNS), ["train_id", "timestamp"])
+
+
+@register("i10_insert_if_absent", f"""SELECT {COLS} FROM tgt
+UNION ALL SELECT {COLS} FROM train_telemetry t
+WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.train_id = t.train_id AND tgt.timestamp = t.timestamp)""",
+          f"tgt AS (SELECT * FROM train_telemetry WHERE timestamp < TIMESTAMP '{FIRST_LOAD_END}')")
+def i10(spark, d):
+    raw = raw_telemetry(spark, d)
+    first = keep_first(raw.filter(F.col("timestamp") < F.lit(FIRST_LOAD_END).cast("timestamp_ntz")),
+                       ["train_id", "timestamp"], ["event_id"])
+    # second load re-sends everything (overlapping keys must be ignored)
+    return ING.insert_if_absent(first, raw)
+
+
+@register("i12_nan_to_null", """SELECT train_id, timestamp,
+  CASE WHEN temp_celsius = 999e0 THEN NULL ELSE temp_celsius END AS temp_celsius FROM raw_telemetry""")
+def i12(spark, d):
+    # the sensor's 999.0 error code arrives as NaN from the device; the loader maps NaN to NULL
+    raw = raw_telemetry(spark, d).withColumn(
+        "temp_celsius", F.when(F.col("temp_celsius") == 999.0, F.lit(float("nan"))).otherwise(F.col("temp_celsius")))
+    return ING.normalise_nans(raw).select("train_id", "timestamp", "temp_celsius")
+
+
+@register("i13_timestamp_text", """SELECT train_id, timestamp,
+  strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp_text FROM raw_telemetry""")
+def i13(spark, d):
+    return raw_telemetry(spark, d).select("train_id", "timestamp",
+                                          F.date_format("timestamp", IO.TS_TEXT).alias("timestamp_text"))
+
+
+@register("i14_row_count", "SELECT count(*) AS row_count FROM train_telemetry")
+def i14(spark, d):
+    return train_telemetry(spark, d).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@register("i16_report_manifest")
+def i16(spark, d):
+    return run_reports(spark, train_telemetry(spark, d), IO.scratch_path(spark, "reports"))
+
+
+# --- windows --------------------------------------------------------------------
+
+
+@register("w01_prev_reading", """SELECT train_id, timestamp, temp_celsius,
+  lag(timestamp) OVER w AS previous_timestamp, lag(temp_celsius) OVER w AS previous_temp_celsius
+FROM train_telemetry WINDOW w AS (PARTITION BY train_id ORDER BY timestamp)""")
+def w01(spark, d):
+    t = train_telemetry(spark, d).select("train_id", "timestamp", "temp_celsius")
+    return previous_row(t, "train_id", ["timestamp"], ["timestamp", "temp_celsius"], bucket=day_bucket())
+
+
+@register("w03_prev_tower_reading", """SELECT cell_tower_id, timestamp, train_id, signal_strength_dbm,
+  lag(timestamp) OVER w AS previous_timestamp, lag(signal_strength_dbm) OVER w AS previous_signal_strength_dbm
+FROM train_telemetry WINDOW w AS (PARTITION BY cell_tower_id ORDER BY timestamp, train_id)""")
+def w03(spark, d):
+    t = train_telemetry(spark, d).select("cell_tower_id", "timestamp", "train_id", "signal_strength_dbm")
+    return previous_row(t, "cell_tower_id", ["timestamp", "train_id"], ["timestamp", "signal_strength_dbm"],
+                        bucket=day_bucket())
+
+
+@register("w06_keep_first", "SELECT * FROM train_telemetry")
+def w06(spark, d):
+    return keep_first(raw_telemetry(spark, d), ["train_id", "timestamp"], ["event_id"])
+
+
+# --- join form of the speed/signal contrast ---------------------------------------
+
+
+@register("j01_contrast_join", """SELECT lo.train_id, round(lo.signal_low, 2) AS signal_low_speed,
+  round(hi.signal_high, 2) AS signal_high_speed, round(hi.signal_high - lo.signal_low, 2) AS delta_signal
+FROM lo JOIN hi ON lo.train_id = hi.train_id
+WHERE lo.signal_low IS NOT NULL AND hi.signal_high IS NOT NULL
+ORDER BY delta_signal DESC, lo.train_id LIMIT 15""",
+          """lo AS (SELECT train_id, avg(signal_strength_dbm) AS signal_low FROM train_telemetry
+  WHERE speed_kmh BETWEEN 0 AND 100 GROUP BY train_id),
+hi AS (SELECT train_id, avg(signal_strength_dbm) AS signal_high FROM train_telemetry
+  WHERE speed_kmh > 200 GROUP BY train_id)""")
+def j01(spark, d):
+    t = train_telemetry(spark, d).select("train_id", "speed_kmh", "signal_strength_dbm")
+    lo = t.filter(F.col("speed_kmh").between(0, 100)).groupBy("train_id").agg(F.avg("signal_strength_dbm").alias("lo"))
+    hi = t.filter(F.col("speed_kmh") > 200).groupBy("train_id").agg(F.avg("signal_strength_dbm").alias("hi"))
+    j = lo.join(hi, "train_id", "inner").filter(F.col("lo").isNotNull() & F.col("hi").isNotNull())
+    j = j.select("train_id", F.round("lo", 2).alias("signal_low_speed"), F.round("hi", 2).alias("signal_high_speed"),
+                 F.round(F.col("hi") - F.col("lo"), 2).alias("delta_signal"))
+    return j.orderBy(F.desc("delta_signal"), "train_id").limit(15)
+
+
+# --- scalar expressions -------------------------------------------------------------
+
+
+@register("p06_speed_band", """SELECT train_id, timestamp, speed_kmh,
+  CASE WHEN speed_kmh IS NULL THEN NULL WHEN speed_kmh <= 50 THEN '01: 0-50' WHEN speed_kmh <= 100 THEN '02: 50-100'
+    WHEN speed_kmh <= 150 THEN '03: 100-150' WHEN speed_kmh <= 200 THEN '04: 150-200'
+    WHEN speed_kmh <= 250 THEN '05: 200-250' ELSE '06: 250-300' END AS speed_ranges
+FROM raw_telemetry""")
+def p06(spark, d):
+    return raw_telemetry(spark, d).select("train_id", "timestamp", "speed_kmh",
+                                          speed_band("speed_kmh", null_to_last=False).alias("speed_ranges"))
+
+
+@register("p18_casts", """SELECT train_id, CAST(CAST(timestamp AS DATE) AS VARCHAR) AS day, CAST(temp_celsius AS FLOAT) AS temp_f32,
+  TRY_CAST(substr(train_id, 5) AS INT) AS train_no, TRY_CAST(status AS INT) AS status_int FROM raw_telemetry""")
+def p18(spark, d):
+    t = raw_telemetry(spark, d)
+    return t.select("train_id", F.col("timestamp").cast("date").cast("string").alias("day"),
+                    F.col("temp_celsius").cast("float").alias("temp_f32"),
+                    F.substring("train_id", 5, 100).try_cast("int").alias("train_no"),
+                    F.col("status").try_cast("int").alias("status_int"))
+
+
+@register("p26_normalise_id", """SELECT DISTINCT upper(trim(lower(train_id))) AS train_id FROM raw_telemetry""")
+def p26(spark, d):
+    return raw_telemetry(spark, d).select(F.upper(F.trim(F.lower("train_id"))).alias("train_id")).distinct()
+
+
+# --- aggregates --------------------------------------------------------------------------
+
+
+@register("a06_flag_rate", """SELECT train_id,
+  round(avg(CASE WHEN status = 'CRITICAL' THEN 1e0 ELSE 0e0 END), 6) AS critical_rate FROM raw_telemetry GROUP BY train_id""")
+def a06(spark, d):
+    t = raw_telemetry(spark, d)
+    return t.groupBy("train_id").agg(
+        F.round(F.avg(F.coalesce(F.col("status") == "CRITICAL", F.lit(False)).cast("double")), 6).alias("critical_rate"))
+
+
+@register("a11_value_counts", "SELECT status, count(*) AS count FROM raw_telemetry GROUP BY status ORDER BY count DESC, status")
+def a11(spark, d):
+    return value_counts(raw_telemetry(spark, d), "status").orderBy(F.desc("count"), "status")
+
+
+@register("a14_distinct_keys", "SELECT DISTINCT train_id FROM raw_telemetry")
+def a14(spark, d):
+    return raw_telemetry(spark, d).select("train_id").distinct()
+
+
+@register("a16_dq_counters", f"""SELECT CAST(sum(n) AS BIGINT) AS rows_in, CAST(sum(bad) AS BIGINT) AS out_of_range,
+  CAST(sum(n) - count(*) AS BIGINT) AS duplicates
+FROM (SELECT count(*) AS n,
+  sum(CASE WHEN temp_celsius BETWEEN {TEMP_MIN!r} AND {TEMP_MAX!r} THEN 0 ELSE 1 END) AS bad
+  FROM raw_telemetry GROUP BY timestamp, train_id) g""")
+def a16(spark, d):
+    per_key = raw_telemetry(spark, d).groupBy("timestamp", "train_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(range_reject_flag("temp_celsius", TEMP_MIN, TEMP_MAX)).alias("bad"))
+    return per_key.agg(F.sum("n").cast("bigint").alias("rows_in"), F.sum("bad").cast("bigint").alias("out_of_range"),
+                       (F.sum("n") - F.count(F.lit(1))).cast("bigint").alias("duplicates"))
+
+
+@register("a17_dq_flags_by_train", f"""SELECT train_id,
+  CAST(sum(CASE WHEN temp_celsius IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_temp,
+  CAST(sum(CASE WHEN temp_celsius IS NOT NULL AND temp_celsius > {TEMP_MAX!r} THEN 1 ELSE 0 END) AS BIGINT) AS extreme_temp,
+  CAST(sum({'CASE WHEN signal_strength_dbm < -100 OR network_type = ' + "'OFFLINE'" + ' THEN 1 ELSE 0 END'}) AS BIGINT) AS blackouts
+FROM train_telemetry GROUP BY train_id""")
+def a17(spark, d):
+    t = M.add_quality(train_telemetry(spark, d))
+    return t.groupBy("train_id").agg(
+        F.sum("IsMissingTemp").cast("bigint").alias("missing_temp"),
+        F.sum("IsExtremeTemp").cast("bigint").alias("extreme_temp"),
+        F.sum(flag(blackout())).cast("bigint").alias("blackouts"))
+
+
+
