@@ -80,11 +80,13 @@ def delta_from_baseline(df: DataFrame, keys, num: str, den: str) -> DataFrame:
         F.sum(den).alias("_sd"), F.count(den).alias("_cd"))
     glob = part.agg(
         safe_div(safe_div(F.sum("_sn"), F.sum("_cn")), safe_div(F.sum("_sd"), F.sum("_cd"))).alias("baseline"))
-    per = part.select(*_keys(keys),
-                      safe_div("_sn", "_cn").alias("avg_num"), safe_div("_sd", "_cd").alias("avg_den"))
-    per = per.withColumn("ratio", safe_div("avg_num", "avg_den"))
-    return (per.crossJoin(F.broadcast(glob))
-               .withColumn("delta", F.col("ratio") - F.col("baseline")))
+    # Join first, project after: both branches then read the very same per-key
+    # aggregate, so its shuffle stage is computed once and reused.
+    out = part.crossJoin(F.broadcast(glob))
+    out = out.select(*_keys(keys), safe_div("_sn", "_cn").alias("avg_num"),
+                     safe_div("_sd", "_cd").alias("avg_den"), "baseline")
+    out = out.withColumn("ratio", safe_div("avg_num", "avg_den"))
+    return out.withColumn("delta", F.col("ratio") - F.col("baseline"))
 
 
 def value_counts(df: DataFrame, keys, name: str = "count") -> DataFrame:

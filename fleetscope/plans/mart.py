@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fleetscope.functions.expr import date_key, seconds_between, speed_band, time_key
 from fleetscope.operators.dedup import keep_first
 from fleetscope.operators.lag import previous_row
+from fleetscope.sources.files import materialize as write_and_read
 from fleetscope.schema import KEYS, MART_DROP, MART_ORDER, MART_ROUNDING, TEMP_MAX
 
 
@@ -61,13 +62,27 @@ MART_COLUMNS = ["train_id", "cell_tower_id", "temp_celsius", "status", "speed_km
                 "IsMissingTemp", "IsExtremeTemp", "SpeedRange"]
 
 
-def bi_mart(raw: DataFrame, order: Sequence[str | Column] = ("event_id",),
-            bucket: Column | None = None, drop: Sequence[str] = MART_DROP) -> DataFrame:
-    """M1-M9 then M10's column drop.  ``order`` picks the surviving copy of a key
-    (arrival order); it is dropped from the output unless it is a mart column."""
+def mart_rows(raw: DataFrame, order: Sequence[str | Column] = ("event_id",),
+              bucket: Column | None = None, materialize: bool = True) -> DataFrame:
+    """M1-M9 (all columns kept).  ``order`` picks the surviving copy of a key
+    (arrival order); it is dropped from the output unless it is a mart column.
+
+    The de-duplicated table feeds four passes (two previous-row lags, each with
+    its boundary pass); with ``materialize`` it is written once under the
+    shared checkpoint folder instead of being re-shuffled for every pass.
+    """
     df = add_keys(round_columns(raw))
     df = keep_first(df, KEYS, list(order))
-    df = add_quality(add_deltas(df, bucket=bucket))
+    if materialize:
+        df = write_and_read(df, "mart-dedup")
+    return add_quality(add_deltas(df, bucket=bucket))
+
+
+def bi_mart(raw: DataFrame, order: Sequence[str | Column] = ("event_id",),
+            bucket: Column | None = None, drop: Sequence[str] = MART_DROP,
+            materialize: bool = True) -> DataFrame:
+    """The 17-column mart: ``mart_rows`` without the generator/high-cardinality columns."""
+    df = mart_rows(raw, order, bucket, materialize)
     extra = [c for c in df.columns if c not in MART_COLUMNS and c not in drop]
     return df.drop(*drop, *extra)
 

@@ -95,7 +95,4 @@ def m10(spark, d):
 
 def _mart_full(spark, d):
     """Mart before the column drop (keeps timestamp for the per-step checks)."""
-    df = M.add_keys(M.round_columns(raw_telemetry(spark, d)))
-    df = keep_first(df, ["train_id", "timestamp"], ["event_id"])
-    return M.add_quality(M.add_deltas(df, bucket=day_bucket()))
-
+    return M.mart_rows(raw_telemetry(spark, d), bucket=day_bucket())

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetscope.functions.expr import (blackout, hour_int, hour_text, round_to, safe_div,
+from fleetscope.functions.expr import (blackout, hour_int, round_to, safe_div,
                                        seconds_between, speed_band)
 from fleetscope.operators.aggregate import (contrast, delta_from_baseline, flag_rate,
                                             ratio_of_sums, top_k)
@@ -33,6 +33,11 @@ def _check(mode: str) -> bool:
     return mode == RAW
 
 
+def _two_digit(c: str) -> Column:
+    """Integer hour -> 'HH' text, applied to the (24-row) aggregate instead of every input row."""
+    return F.lpad(F.col(c).cast("string"), 2, "0")
+
+
 def day_bucket(ts: str = "timestamp") -> Column:
     return F.date_trunc("day", F.col(ts))
 
@@ -41,9 +46,8 @@ def day_bucket(ts: str = "timestamp") -> Column:
 def hourly_speed(t: DataFrame, mode: str = CANONICAL, digits: int | None = 6) -> DataFrame:
     """Average speed per hour of day (text 'HH'; int hour in raw mode)."""
     raw = _check(mode)
-    hour = hour_int() if raw else hour_text()
-    return (t.groupBy(hour.alias("hour"))
-             .agg(round_to(F.avg("speed_kmh"), digits).alias("avg_speed_kmh")))
+    agg = t.groupBy(hour_int().alias("hour")).agg(round_to(F.avg("speed_kmh"), digits).alias("avg_speed_kmh"))
+    return agg if raw else agg.withColumn("hour", _two_digit("hour"))
 
 
 # R2 -------------------------------------------------------------------------
@@ -186,9 +190,10 @@ def network_reliability(t: DataFrame, mode: str = CANONICAL, signal_threshold: f
                         digits: int = 4) -> DataFrame:
     """Share of weak-signal-or-offline readings per hour of day, worst first."""
     raw = _check(mode)
-    hour = (hour_int() if raw else hour_text()).alias("hour")
-    out = flag_rate(t.withColumn("hour", hour), "hour", blackout(threshold=signal_threshold),
+    out = flag_rate(t.withColumn("hour", hour_int()), "hour", blackout(threshold=signal_threshold),
                     "bad_signal_percentage", digits, half_even=raw)
+    if not raw:
+        out = out.withColumn("hour", _two_digit("hour"))
     return out.orderBy(F.desc("bad_signal_percentage"), F.asc("hour"))
 
 

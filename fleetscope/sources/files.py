@@ -18,6 +18,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/fleetscope-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage for multi-pass plans (a lost executor recomputes from the
+    files, not from the source), and later passes get column pruning and
+    filter pushdown on the written table.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Columnar scan; selected columns become the Parquet ReadSchema, filters are pushed down."""
     df = spark.read.parquet(path)
