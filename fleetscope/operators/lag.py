@@ -1,14 +1,18 @@
-"""Previous-row values per key (offset-1 LAG), optionally two-level for skew.
+"""Previous-row values per key (offset-1 LAG), optionally multi-level for skew.
 
 A plain ``lag`` over ``partitionBy(key)`` sorts all rows of one key in one
 task: a train or tower carrying a third of the table would serialise the job.
-With ``bucket`` (a coarse, order-monotone function of the leading order
-column, e.g. ``date_trunc('day', timestamp)``) the lag runs per
-(key, bucket); the first row of every bucket then takes the last row of the
-previous non-empty bucket of the same key from a small boundary table
-(one row per key and bucket), which is itself lagged per key.  The result
-equals the plain lag exactly; only the boundary table is shuffled a second
-time, the rows themselves are shuffled once.
+With ``buckets`` (``date_trunc`` units of the leading order column, finest
+first, e.g. ``("minute", "day")``) the lag runs per (key, finest bucket).
+The first row of a bucket then needs the last row of the previous non-empty
+bucket of the same key: the last row of every (key, bucket) forms a boundary
+table, and *its* previous row per key is found the same way one level
+coarser (per (key, day) with a (key, day) boundary table, and finally a plain
+lag per key over the few coarsest buckets).  Every window therefore holds at
+most one bucket of one key; the rows are shuffled once, each boundary level
+is a partially-aggregated, much smaller table, co-partitioned with the level
+above it so the large side of every join stays in place.  The answer equals
+the plain lag exactly.
 """
 
 from __future__ import annotations
@@ -25,41 +29,48 @@ def _as_list(x) -> list:
 
 def previous_row(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
                  cols: Sequence[str], prefix: str = "previous_",
-                 bucket: Column | None = None) -> DataFrame:
+                 buckets: Sequence[str] | None = None) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same ``key``.
 
     ``order`` (ascending) should be unique within a key for a deterministic
-    answer.  Previous *row*, not previous non-NULL value.
+    answer; its first column must be a timestamp when ``buckets`` is given.
+    Previous *row*, not previous non-NULL value.
     """
     keys, order, cols = _as_list(key), _as_list(order), list(cols)
-    if bucket is None:
+    out = _previous(df, keys, order, cols, list(buckets or []), level=0)
+    return out.select(*df.columns, *[F.col(f"_prev_{c}").alias(prefix + c) for c in cols])
+
+
+def _previous(df: DataFrame, keys: list, order: list, cols: list, units: list, level: int) -> DataFrame:
+    """``df`` plus ``_prev_<c>`` for every ``c`` in ``cols``."""
+    if not units:
         w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({prefix + c: F.lag(c).over(w) for c in cols})
-
-    b = df.withColumn("_bkt", bucket)
-    w = Window.partitionBy(*keys, "_bkt").orderBy(*order)
-    inner = (b.withColumns({f"_lag_{c}": F.lag(c).over(w) for c in cols})
-              .withColumn("_rn", F.row_number().over(w)))
-    # Last row of each (key, bucket); the whole row is carried because the
-    # lagged value itself may be NULL.
-    last = inner.groupBy(*keys, "_bkt").agg(
-        F.max_by(F.struct(*[F.col(c).alias(c) for c in cols]),
-                 F.struct(*[F.col(o) for o in order])).alias("_last"))
-    carry = (last.select(*keys, "_bkt",
-                         F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bkt")).alias("_carry"))
-                 .repartition(*keys, "_bkt"))
-    out = inner.join(carry, [*keys, "_bkt"], "left")
+        return df.withColumns({f"_prev_{c}": F.lag(c).over(w) for c in cols})
+
+    b, rn, carry = f"_b{level}", f"_rn{level}", f"_carry{level}"
+    x = df.withColumn(b, F.date_trunc(units[0], F.col(order[0])).cast("timestamp_ntz"))
+    w = Window.partitionBy(*keys, b).orderBy(*order)
+    inner = x.withColumns({f"_prev_{c}": F.lag(c).over(w) for c in cols}).withColumn(rn, F.row_number().over(w))
+
+    # Boundary table: last row of each (key, bucket); the whole row is carried
+    # because the value itself may be NULL.
+    last = x.groupBy(*keys, b).agg(
+        F.max_by(F.struct(*[F.col(c).alias(c) for c in cols]), F.struct(*[F.col(o) for o in order])).alias("_last"))
+    # Previous non-empty bucket of the same key: the same problem one level coarser.
+    prev_last = _previous(last, keys, [b], ["_last"], units[1:], level + 1)
+    prev_last = prev_last.select(*keys, b, F.col("_prev__last").alias(carry)).repartition(*keys, b)
+
+    out = inner.join(prev_last, [*keys, b], "left")
     out = out.withColumns({
-        prefix + c: F.when(F.col("_rn") == 1, F.col("_carry")[c]).otherwise(F.col(f"_lag_{c}"))
-        for c in cols})
-    return out.select(*df.columns, *[prefix + c for c in cols])
+        f"_prev_{c}": F.when(F.col(rn) == 1, F.col(carry)[c]).otherwise(F.col(f"_prev_{c}")) for c in cols})
+    return out.drop(b, rn, carry)
 
 
 def delta_previous(df: DataFrame, key, order, col: str, name: str, absolute: bool = False,
-                   digits: int | None = None, bucket: Column | None = None) -> DataFrame:
+                   digits: int | None = None, buckets: Sequence[str] | None = None) -> DataFrame:
     """``col - previous col`` per key (optionally absolute and rounded)."""
-    tmp = f"_prev_{col}"
-    out = previous_row(df, key, order, [col], prefix="_prev_", bucket=bucket)
+    tmp = f"_prevd_{col}"
+    out = previous_row(df, key, order, [col], prefix="_prevd_", buckets=buckets)
     d = F.col(col) - F.col(tmp)
     if absolute:
         d = F.abs(d)

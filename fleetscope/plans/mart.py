@@ -30,17 +30,17 @@ def add_keys(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     return df.withColumns({"DateKey": date_key(ts), "TimeKey": time_key(ts)})
 
 
-def add_deltas(df: DataFrame, bucket: Column | None = None) -> DataFrame:
+def add_deltas(df: DataFrame, buckets: Sequence[str] | None = None) -> DataFrame:
     """M5-M7: signed temperature delta and minutes since the previous reading per train,
     absolute signal delta per tower (readings at a tower ordered by time, then train)."""
     t = previous_row(df, "train_id", ["timestamp"], ["temp_celsius", "timestamp"],
-                     prefix="_pt_", bucket=bucket)
+                     prefix="_pt_", buckets=buckets)
     t = t.withColumns({
         "delta_temp_celsius": F.bround(F.col("temp_celsius") - F.col("_pt_temp_celsius"), 2),
         "delta_time_min": F.bround(seconds_between("_pt_timestamp", "timestamp") / F.lit(60.0), 2),
     }).drop("_pt_temp_celsius", "_pt_timestamp")
     s = previous_row(t, "cell_tower_id", ["timestamp", "train_id"], ["signal_strength_dbm"],
-                     prefix="_ps_", bucket=bucket)
+                     prefix="_ps_", buckets=buckets)
     return s.withColumn("delta_signal_dbm",
                         F.bround(F.abs(F.col("signal_strength_dbm") - F.col("_ps_signal_strength_dbm")), 2)
                         ).drop("_ps_signal_strength_dbm")
@@ -63,7 +63,7 @@ MART_COLUMNS = ["train_id", "cell_tower_id", "temp_celsius", "status", "speed_km
 
 
 def mart_rows(raw: DataFrame, order: Sequence[str | Column] = ("event_id",),
-              bucket: Column | None = None, materialize: bool = True) -> DataFrame:
+              buckets: Sequence[str] | None = None, materialize: bool = True) -> DataFrame:
     """M1-M9 (all columns kept).  ``order`` picks the surviving copy of a key
     (arrival order); it is dropped from the output unless it is a mart column.
 
@@ -75,14 +75,14 @@ def mart_rows(raw: DataFrame, order: Sequence[str | Column] = ("event_id",),
     df = keep_first(df, KEYS, list(order))
     if materialize:
         df = write_and_read(df, "mart-dedup")
-    return add_quality(add_deltas(df, bucket=bucket))
+    return add_quality(add_deltas(df, buckets=buckets))
 
 
 def bi_mart(raw: DataFrame, order: Sequence[str | Column] = ("event_id",),
-            bucket: Column | None = None, drop: Sequence[str] = MART_DROP,
+            buckets: Sequence[str] | None = None, drop: Sequence[str] = MART_DROP,
             materialize: bool = True) -> DataFrame:
     """The 17-column mart: ``mart_rows`` without the generator/high-cardinality columns."""
-    df = mart_rows(raw, order, bucket, materialize)
+    df = mart_rows(raw, order, buckets, materialize)
     extra = [c for c in df.columns if c not in MART_COLUMNS and c not in drop]
     return df.drop(*drop, *extra)
 

@@ -13,7 +13,7 @@ from fleetscope.operators.lag import previous_row
 from fleetscope.plans import mart as M
 from fleetscope.plans.catalog import register
 from fleetscope.plans.manifest import run_reports
-from fleetscope.plans.reports import day_bucket
+from fleetscope.plans.reports import SKEW_BUCKETS
 from fleetscope.schema import COLUMNS, TELEMETRY, TEMP_MAX, TEMP_MIN
 from fleetscope.sources import files as IO
 from fleetscope.sources import ingest as ING
@@ -108,7 +108,7 @@ def i16(spark, d):
 FROM train_telemetry WINDOW w AS (PARTITION BY train_id ORDER BY timestamp)""")
 def w01(spark, d):
     t = train_telemetry(spark, d).select("train_id", "timestamp", "temp_celsius")
-    return previous_row(t, "train_id", ["timestamp"], ["timestamp", "temp_celsius"], bucket=day_bucket())
+    return previous_row(t, "train_id", ["timestamp"], ["timestamp", "temp_celsius"], buckets=SKEW_BUCKETS)
 
 
 @register("w03_prev_tower_reading", """SELECT cell_tower_id, timestamp, train_id, signal_strength_dbm,
@@ -117,7 +117,7 @@ FROM train_telemetry WINDOW w AS (PARTITION BY cell_tower_id ORDER BY timestamp,
 def w03(spark, d):
     t = train_telemetry(spark, d).select("cell_tower_id", "timestamp", "train_id", "signal_strength_dbm")
     return previous_row(t, "cell_tower_id", ["timestamp", "train_id"], ["timestamp", "signal_strength_dbm"],
-                        bucket=day_bucket())
+                        buckets=SKEW_BUCKETS)
 
 
 @register("w06_keep_first", "SELECT * FROM train_telemetry")

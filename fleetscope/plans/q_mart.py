@@ -5,7 +5,7 @@ from __future__ import annotations
 from fleetscope.operators.dedup import keep_first
 from fleetscope.plans import mart as M
 from fleetscope.plans.catalog import register
-from fleetscope.plans.reports import day_bucket
+from fleetscope.plans.reports import SKEW_BUCKETS
 from fleetscope.sources.fixture import raw_telemetry
 
 ROUNDED = """r AS (SELECT event_id, train_id, cell_tower_id, timestamp,
@@ -32,7 +32,7 @@ FROM dd)"""
 
 
 def _mart(spark, d):
-    return M.bi_mart(raw_telemetry(spark, d), bucket=day_bucket())
+    return M.bi_mart(raw_telemetry(spark, d), buckets=SKEW_BUCKETS)
 
 
 @register("m01_round_columns", """SELECT train_id, timestamp, temp_celsius, speed_kmh, latitude, longitude,
@@ -95,4 +95,4 @@ def m10(spark, d):
 
 def _mart_full(spark, d):
     """Mart before the column drop (keeps timestamp for the per-step checks)."""
-    return M.mart_rows(raw_telemetry(spark, d), bucket=day_bucket())
+    return M.mart_rows(raw_telemetry(spark, d), buckets=SKEW_BUCKETS)

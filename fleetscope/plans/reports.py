@@ -8,12 +8,14 @@ speed bands present.  Every threshold is a keyword argument with the
 original default.  Ties at a LIMIT are broken on the key columns so the
 answer is deterministic.
 
-``bucket`` (window reports) switches to the two-level previous-row lag
+``buckets`` (window reports) switches to the multi-level previous-row lag
 (see ``operators.lag``); the answer is the same.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +40,9 @@ def _two_digit(c: str) -> Column:
     return F.lpad(F.col(c).cast("string"), 2, "0")
 
 
-def day_bucket(ts: str = "timestamp") -> Column:
-    return F.date_trunc("day", F.col(ts))
+# Time buckets of the multi-level previous-row lag (finest first): a window
+# then never holds more than one minute of one train or tower.
+SKEW_BUCKETS = ("minute", "day")
 
 
 # R1 -------------------------------------------------------------------------
@@ -80,7 +83,7 @@ def signal_by_speed_band(t: DataFrame, mode: str = CANONICAL, digits: int | None
 
 # R4 -------------------------------------------------------------------------
 def temp_jumps(t: DataFrame, mode: str = CANONICAL, threshold: float = 30.0, k: int = 30,
-               bucket: Column | None = None) -> DataFrame:
+               buckets: Sequence[str] | None = None) -> DataFrame:
     """Largest temperature changes between consecutive readings of a train.
 
     ``delta_timestamp`` is the elapsed time in seconds.  canonical: ``> threshold``;
@@ -89,7 +92,7 @@ def temp_jumps(t: DataFrame, mode: str = CANONICAL, threshold: float = 30.0, k:
     raw = _check(mode)
     src = t.select("train_id", "timestamp", "temp_celsius")
     prev = previous_row(src, "train_id", ["timestamp"], ["timestamp", "temp_celsius"],
-                        prefix="previous_", bucket=bucket)
+                        prefix="previous_", buckets=buckets)
     delta = F.abs(F.col("temp_celsius") - F.col("previous_temp_celsius"))
     out = (prev.filter(F.col("previous_temp_celsius").isNotNull())
                .withColumn("delta_temp", delta)
@@ -121,7 +124,7 @@ def power_speed_ratio(t: DataFrame, mode: str = CANONICAL, min_speed: float = 10
 
 # R7 -------------------------------------------------------------------------
 def signal_drops(t: DataFrame, mode: str = CANONICAL, max_minutes: float = 5.0,
-                 min_drop: float = 50.0, k: int = 15, bucket: Column | None = None) -> DataFrame:
+                 min_drop: float = 50.0, k: int = 15, buckets: Sequence[str] | None = None) -> DataFrame:
     """Largest signal changes between consecutive readings at one tower within a few minutes.
 
     canonical: the gap is rounded to whole minutes before ``< max_minutes``;
@@ -130,7 +133,7 @@ def signal_drops(t: DataFrame, mode: str = CANONICAL, max_minutes: float = 5.0,
     raw = _check(mode)
     src = t.select("cell_tower_id", "timestamp", "train_id", "signal_strength_dbm")
     prev = previous_row(src, "cell_tower_id", ["timestamp", "train_id"],
-                        ["timestamp", "signal_strength_dbm"], prefix="previous_", bucket=bucket)
+                        ["timestamp", "signal_strength_dbm"], prefix="previous_", buckets=buckets)
     minutes = seconds_between("previous_timestamp", "timestamp") / F.lit(60.0)
     if not raw:
         minutes = F.round(minutes, 0)

@@ -9,57 +9,64 @@ until the de-duplication, and a single scan even for the injected copies.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from fleetscope.operators.dedup import keep_first
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+EVENTS_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
+])
+SCHEMAS = {"events": EVENTS_SCHEMA}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def _d(x: float) -> Column:
-    return F.lit(float(x))
+    """One driver table; a declared schema skips footer-based inference on every read."""
+    r = spark.read
+    if name in SCHEMAS:
+        r = r.schema(SCHEMAS[name])
+    return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+# Projection of ``events`` onto the telemetry columns, as SQL expressions
+# (parsed once on the JVM side; double literals written as 7e0 so they are
+# DOUBLE, not DECIMAL).
+_BASE = [
+    "event_id", "user_id", "event_type", "value",
+    "CAST(date_trunc('second', ts) AS TIMESTAMP_NTZ) AS ts_s",
+    "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
+    "CAST(round(value * 100) AS BIGINT) AS c",
+    "CASE WHEN event_id % 33 = 0 THEN 0e0 ELSE least(300e0, value * 3) END AS spd",
+]
+_SHAPED = [
+    "event_id",
+    "concat('TRN-', CAST(user_id AS STRING)) AS train_id",
+    "concat('TWR-', CAST((user_id + k) % 8 AS STRING)) AS cell_tower_id",
+    "ts_s AS timestamp",
+    "CASE WHEN event_id % 20 = 7 THEN CAST(NULL AS DOUBLE) WHEN event_id % 100 = 3 THEN 999e0 "
+    "ELSE 40 + k * 3 / 7e0 END AS temp_celsius",
+    "CASE WHEN event_type = 'error' AND (user_id % 10 = 0 OR event_id % 10 = 0) THEN 'CRITICAL' "
+    "WHEN event_type = 'signup' AND event_id % 5 = 0 THEN 'WARNING' ELSE 'OK' END AS status",
+    "spd AS speed_kmh",
+    "45.3e0 + (c % 3000) / 10007e0 AS latitude",
+    "9e0 + (c % 2999) / 10007e0 AS longitude",
+    "greatest(-110e0, least(-40e0, -40 - (c % 60) - 3 * (event_id % 4) - spd / 31e0)) AS signal_strength_dbm",
+    "CASE event_id % 4 WHEN 0 THEN 'SEG-A' WHEN 1 THEN 'SEG-B' WHEN 2 THEN 'SEG-C' ELSE 'SEG-D' END AS line_segment",
+    "CASE WHEN (k * 7 + user_id) % 100 < 40 THEN '5G' WHEN (k * 7 + user_id) % 100 < 80 THEN '4G' "
+    "WHEN (k * 7 + user_id) % 100 < 90 THEN '3G' WHEN (k * 7 + user_id) % 100 < 95 THEN 'EDGE' "
+    "ELSE 'OFFLINE' END AS network_type",
+    "5 * (value * 3 + 150 + (k - 50) * 20 / 7e0) AS power_consumption_kw",
+]
+# Rows with event_id % 50 = 11 arrive twice (one scan: explode of 1 or 2 copies).
+_COPIES = "explode(CASE WHEN event_id % 50 = 11 THEN array(0, 1) ELSE array(0) END) AS _copy"
 
 
 def shape_events(events: DataFrame) -> DataFrame:
     """Project ``events`` onto the 12 telemetry columns (+ ``event_id``)."""
-    eid, uid, value = F.col("event_id"), F.col("user_id"), F.col("value")
-    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    c = F.round(value * 100).cast("bigint")
-    spd = F.when(eid % 33 == 0, _d(0)).otherwise(F.least(_d(300), value * 3))
-    base = events.select(
-        eid.alias("event_id"), uid.alias("user_id"), F.col("event_type"), value.alias("value"),
-        F.date_trunc("second", "ts").cast("timestamp_ntz").alias("ts_s"),
-        k.alias("k"), c.alias("c"), spd.alias("spd"),
-    )
-    k, c, spd = F.col("k"), F.col("c"), F.col("spd")
-    net = (k * 7 + uid) % 100
-    return base.select(
-        eid.alias("event_id"),
-        F.concat(F.lit("TRN-"), uid.cast("string")).alias("train_id"),
-        F.concat(F.lit("TWR-"), ((uid + k) % 8).cast("string")).alias("cell_tower_id"),
-        F.col("ts_s").alias("timestamp"),
-        F.when(eid % 20 == 7, F.lit(None).cast("double"))
-         .when(eid % 100 == 3, _d(999))
-         .otherwise(40 + k * 3 / _d(7)).alias("temp_celsius"),
-        F.when((F.col("event_type") == "error") & ((uid % 10 == 0) | (eid % 10 == 0)), "CRITICAL")
-         .when((F.col("event_type") == "signup") & (eid % 5 == 0), "WARNING")
-         .otherwise("OK").alias("status"),
-        spd.alias("speed_kmh"),
-        (_d(45.3) + (c % 3000) / _d(10007)).alias("latitude"),
-        (_d(9) + (c % 2999) / _d(10007)).alias("longitude"),
-        F.greatest(_d(-110), F.least(_d(-40), -40 - (c % 60) - 3 * (eid % 4) - spd / _d(31)))
-         .alias("signal_strength_dbm"),
-        F.when(eid % 4 == 0, "SEG-A").when(eid % 4 == 1, "SEG-B")
-         .when(eid % 4 == 2, "SEG-C").otherwise("SEG-D").alias("line_segment"),
-        F.when(net < 40, "5G").when(net < 80, "4G").when(net < 90, "3G")
-         .when(net < 95, "EDGE").otherwise("OFFLINE").alias("network_type"),
-        (5 * (value * 3 + 150 + (k - 50) * 20 / _d(7))).alias("power_consumption_kw"),
-    )
+    return events.selectExpr(*_BASE).selectExpr(*_SHAPED)
 
 
 def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,8 +76,11 @@ def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     1- or 2-element array) instead of a UNION with a second scan.
     """
     shaped = shape_events(read_table(spark, sf_dir, "events").select(*EVENT_COLUMNS))
-    copies = F.when(F.col("event_id") % 50 == 11, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return shaped.withColumn("_copy", F.explode(copies)).drop("_copy")
+    return with_copies(shaped)
+
+
+def with_copies(shaped: DataFrame) -> DataFrame:
+    return shaped.selectExpr("*", _COPIES).drop("_copy")
 
 
 def train_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql.utils import AnalysisException
 
 from fleetscope.operators.dedup import keep_first
 from fleetscope.schema import COLUMNS, KEYS
-from fleetscope.sources.fixture import EVENT_COLUMNS, shape_events
+from fleetscope.sources.fixture import EVENT_COLUMNS, shape_events, with_copies
 
 DAY = "day"
 
@@ -31,9 +31,7 @@ def telemetry_stream(spark: SparkSession, folder: str, glob: str = "events*.parq
     r = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    shaped = shape_events(r.parquet(folder).select(*EVENT_COLUMNS))
-    copies = F.when(F.col("event_id") % 50 == 11, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return shaped.withColumn("_copy", F.explode(copies)).drop("_copy")
+    return with_copies(shape_events(r.parquet(folder).select(*EVENT_COLUMNS)))
 
 
 def _upsert(target_path: str, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]):

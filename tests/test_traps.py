@@ -100,13 +100,13 @@ def test_previous_row_is_previous_row_not_previous_non_null(spark):
     assert [r.previous_temp_celsius for r in out] == [None, 10.0, None]
 
 
-def test_two_level_lag_equals_plain_lag_across_days(spark):
-    # readings spread over several days, with an empty day in between
-    rows = [row(train=f"T{k}", minutes=m, temp=float(m % 97), tower=f"W{m % 3}")
-            for k in range(3) for m in range(0, 5 * 1440, 331) if not (2880 <= m < 4320)]
+def test_multi_level_lag_equals_plain_lag(spark):
+    # readings spread over several days, several per minute, NULL values, an empty day in between
+    rows = [row(train=f"T{k}", minutes=m / 4, temp=None if m % 11 == 0 else float(m % 97), tower=f"W{m % 3}")
+            for k in range(3) for m in range(0, 5 * 1440 * 4, 331) if not (2880 * 4 <= m < 4320 * 4)]
     t = frame(spark, rows)
-    b = F.date_trunc("day", F.col("timestamp"))
     for key, order in [("train_id", ["timestamp"]), ("cell_tower_id", ["timestamp", "train_id"])]:
         plain = previous_row(t, key, order, ["temp_celsius", "timestamp"])
-        two = previous_row(t, key, order, ["temp_celsius", "timestamp"], bucket=b)
-        assert plain.exceptAll(two).count() == 0 and two.exceptAll(plain).count() == 0
+        for buckets in [("day",), ("minute", "day"), ("minute", "hour", "day")]:
+            multi = previous_row(t, key, order, ["temp_celsius", "timestamp"], buckets=buckets)
+            assert plain.exceptAll(multi).count() == 0 and multi.exceptAll(plain).count() == 0, buckets
