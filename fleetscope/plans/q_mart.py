@@ -6,6 +6,7 @@ from fleetscope.operators.dedup import keep_first
 from fleetscope.plans import mart as M
 from fleetscope.plans.catalog import register
 from fleetscope.plans.reports import SKEW_BUCKETS
+from fleetscope.sources.files import scratch_path
 from fleetscope.sources.fixture import raw_telemetry
 
 ROUNDED = """r AS (SELECT event_id, train_id, cell_tower_id, timestamp,
@@ -96,3 +97,13 @@ def m10(spark, d):
 def _mart_full(spark, d):
     """Mart before the column drop (keeps timestamp for the per-step checks)."""
     return M.mart_rows(raw_telemetry(spark, d), buckets=SKEW_BUCKETS)
+
+
+@register("i17_mart_clustered_write", """SELECT train_id, cell_tower_id, temp_celsius, status, speed_kmh, signal_strength_dbm,
+  line_segment, network_type, power_consumption_kw, DateKey, TimeKey, delta_temp_celsius, delta_time_min,
+  delta_signal_dbm, IsMissingTemp, IsExtremeTemp, SpeedRange FROM mm""", ROUNDED)
+def i17(spark, d):
+    """The mart written clustered by (DateKey, train_id, TimeKey), partitioned by day, and read back."""
+    path = scratch_path(spark, "mart")
+    M.write_mart(_mart(spark, d), path, partition_by_date=True)
+    return spark.read.parquet(path).select(*M.MART_COLUMNS)

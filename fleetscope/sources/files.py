@@ -57,6 +57,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
             .option("mode", "PERMISSIVE").csv(path))
 
 
+def read_report_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A report written by ``write_csv``; None when it is missing or has no rows."""
+    try:
+        df = read_csv(spark, path, schema)
+        return None if df.isEmpty() else df
+    except Exception:  # noqa: BLE001 -- missing path
+        return None
+
+
 def latest_snapshot(spark: SparkSession, pattern: str, fmt: str = "parquet",
                     schema: T.StructType | None = None) -> DataFrame:
     """Rows of the most recently modified file matching ``pattern``.
