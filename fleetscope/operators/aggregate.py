@@ -72,19 +72,18 @@ def delta_from_baseline(df: DataFrame, keys, num: str, den: str) -> DataFrame:
 
     Returns keys, ``avg_num``, ``avg_den``, ``ratio``, ``baseline``, ``delta``.
     The global means are derived from the per-key partial sums and counts
-    (one scan; the per-key exchange is reused), and the one-row baseline is
-    broadcast: its size is one row whatever the data size.
+    (one scan; the per-key exchange is reused) and enter as a scalar
+    subquery: one value, no join.
     """
     part = df.groupBy(*_keys(keys)).agg(
         F.sum(num).alias("_sn"), F.count(num).alias("_cn"),
         F.sum(den).alias("_sd"), F.count(den).alias("_cd"))
-    glob = part.agg(
-        safe_div(safe_div(F.sum("_sn"), F.sum("_cn")), safe_div(F.sum("_sd"), F.sum("_cd"))).alias("baseline"))
-    # Join first, project after: both branches then read the very same per-key
-    # aggregate, so its shuffle stage is computed once and reused.
-    out = part.crossJoin(F.broadcast(glob))
-    out = out.select(*_keys(keys), safe_div("_sn", "_cn").alias("avg_num"),
-                     safe_div("_sd", "_cd").alias("avg_den"), "baseline")
+    baseline = part.agg(
+        safe_div(safe_div(F.sum("_sn"), F.sum("_cn")), safe_div(F.sum("_sd"), F.sum("_cd")))).scalar()
+    # try_divide (NULL on a zero count) keeps this branch's partial aggregate
+    # identical to the subquery's, so the per-key shuffle is computed once.
+    out = part.select(*_keys(keys), F.try_divide("_sn", "_cn").alias("avg_num"),
+                      F.try_divide("_sd", "_cd").alias("avg_den"), baseline.alias("baseline"))
     out = out.withColumn("ratio", safe_div("avg_num", "avg_den"))
     return out.withColumn("delta", F.col("ratio") - F.col("baseline"))
 

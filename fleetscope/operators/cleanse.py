@@ -189,22 +189,24 @@ def sample_exact(df: DataFrame, frac: float, row_key: str, salt: int, tiebreak:
     Without a global sort: a histogram of the hash values (at most
     ``modulus`` rows) locates the threshold value; rows below it are all in,
     and only the rows *at* the threshold value are ranked (a window over that
-    one value's ~n/modulus rows).  Only the scalar threshold crosses to the
-    rows, as a one-row broadcast.
+    one value's ~n/modulus rows).  The threshold reaches the rows as a scalar
+    subquery (one struct value), not as a join.
     """
     h = (hash_unit(row_key, salt, modulus) * modulus).cast("int")
     x = df.withColumn("_h", h)
     hist = x.groupBy("_h").agg(F.count(F.lit(1)).alias("_c"))
-    total = hist.agg(F.sum("_c").alias("_n"))
+    # cumulative counts over <= modulus histogram rows (bounded, so one window partition is fine)
     cum = hist.withColumn("_cum", F.sum("_c").over(Window.orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)))
-    k = total.select(F.round(F.col("_n") * F.lit(float(frac))).cast("bigint").alias("_k"))
-    thr = (cum.crossJoin(F.broadcast(k)).filter(F.col("_cum") >= F.col("_k"))
-              .groupBy().agg(F.min("_h").alias("_t")).crossJoin(F.broadcast(k)))
-    thr = thr.join(F.broadcast(cum.select("_h", (F.col("_cum") - F.col("_c")).alias("_before"))),
-                   F.col("_t") == F.col("_h")).select("_t", "_k", "_before")
-    y = x.crossJoin(F.broadcast(thr)).filter(F.col("_h") <= F.col("_t"))
+    k = F.round(F.sum("_c") * F.lit(float(frac))).cast("bigint")
+    # threshold value t = first histogram value whose cumulative count reaches k;
+    # need = how many rows to take at t
+    kk = hist.agg(k).scalar()
+    pick = (cum.filter(F.col("_cum") >= kk)
+               .agg(F.min_by(F.struct(F.col("_h").alias("t"), (kk - (F.col("_cum") - F.col("_c"))).alias("need")),
+                             F.col("_h")))).scalar()
+    y = x.filter(F.col("_h") <= pick["t"])
     w = Window.partitionBy("_h").orderBy(*tiebreak)
-    at = y.filter(F.col("_h") == F.col("_t")).withColumn("_r", F.row_number().over(w))
-    at = at.filter(F.col("_r") <= F.col("_k") - F.col("_before")).drop("_r")
-    below = y.filter(F.col("_h") < F.col("_t"))
-    return below.unionByName(at).drop("_h", "_t", "_k", "_before")
+    at = y.filter(F.col("_h") == pick["t"]).withColumn("_r", F.row_number().over(w))
+    at = at.filter(F.col("_r") <= pick["need"]).drop("_r")
+    below = y.filter(F.col("_h") < pick["t"])
+    return below.unionByName(at).drop("_h")

@@ -71,8 +71,8 @@ def latest_snapshot(spark: SparkSession, pattern: str, fmt: str = "parquet",
     """Rows of the most recently modified file matching ``pattern``.
 
     Uses the scan's ``_metadata.file_modification_time``: the newest time is
-    a one-row aggregate (broadcast, bounded), and the filter on the metadata
-    column lets Spark skip the data of every older file.
+    a scalar subquery, and the filter on the metadata column lets Spark skip
+    the data of every older file.
     """
     r = spark.read.format(fmt)
     if schema is not None:
@@ -82,10 +82,8 @@ def latest_snapshot(spark: SparkSession, pattern: str, fmt: str = "parquet",
     df = r.load(pattern)
     cols = df.columns
     tagged = df.select("*", F.col("_metadata.file_modification_time").alias("_mtime"))
-    newest = tagged.agg(F.max("_mtime").alias("_newest"))
-    return (tagged.crossJoin(F.broadcast(newest))
-                  .filter(F.col("_mtime") == F.col("_newest"))
-                  .select(*cols))
+    newest = tagged.agg(F.max("_mtime")).scalar()
+    return tagged.filter(F.col("_mtime") == newest).select(*cols)
 
 
 def latest_of(spark: SparkSession, folder: str, stem: str, schema: T.StructType | None = None) -> DataFrame:
