@@ -186,27 +186,26 @@ def sample_exact(df: DataFrame, frac: float, row_key: str, salt: int, tiebreak:
                  modulus: int = 10000) -> DataFrame:
     """Exactly ``round(frac * n)`` rows: the smallest by (hash value, tiebreak).
 
-    Without a global sort: a histogram of the hash values (at most
-    ``modulus`` rows) locates the threshold value; rows below it are all in,
-    and only the rows *at* the threshold value are ranked (a window over that
-    one value's ~n/modulus rows).  The threshold reaches the rows as a scalar
-    subquery (one struct value), not as a join.
+    Without a global sort.  A histogram of the hash values (at most
+    ``modulus`` rows, whatever the data size) is annotated with cumulative
+    counts and the target ``k`` (a window over that bounded table) and
+    broadcast-joined back on the hash value: buckets wholly below ``k`` are
+    taken, and only the one bucket that straddles ``k`` is ranked (a window
+    over that bucket's ~n/modulus rows).
     """
     h = (hash_unit(row_key, salt, modulus) * modulus).cast("int")
     x = df.withColumn("_h", h)
     hist = x.groupBy("_h").agg(F.count(F.lit(1)).alias("_c"))
-    # cumulative counts over <= modulus histogram rows (bounded, so one window partition is fine)
-    cum = hist.withColumn("_cum", F.sum("_c").over(Window.orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)))
-    k = F.round(F.sum("_c") * F.lit(float(frac))).cast("bigint")
-    # threshold value t = first histogram value whose cumulative count reaches k;
-    # need = how many rows to take at t
-    kk = hist.agg(k).scalar()
-    pick = (cum.filter(F.col("_cum") >= kk)
-               .agg(F.min_by(F.struct(F.col("_h").alias("t"), (kk - (F.col("_cum") - F.col("_c"))).alias("need")),
-                             F.col("_h")))).scalar()
-    y = x.filter(F.col("_h") <= pick["t"])
+    everything = Window.orderBy("_h").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = Window.orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)
+    marks = (hist.withColumn("_cum", F.sum("_c").over(upto))
+                 .withColumn("_k", F.round(F.sum("_c").over(everything) * F.lit(float(frac))).cast("bigint"))
+                 .select("_h", (F.col("_cum") - F.col("_c")).alias("_before"), "_cum", "_k")
+                 .filter(F.col("_before") < F.col("_k")))          # buckets that contribute at all
+    y = x.join(F.broadcast(marks), "_h")                          # <= modulus rows: bounded broadcast
+    whole = y.filter(F.col("_cum") <= F.col("_k"))
     w = Window.partitionBy("_h").orderBy(*tiebreak)
-    at = y.filter(F.col("_h") == pick["t"]).withColumn("_r", F.row_number().over(w))
-    at = at.filter(F.col("_r") <= pick["need"]).drop("_r")
-    below = y.filter(F.col("_h") < pick["t"])
-    return below.unionByName(at).drop("_h")
+    part = (y.filter(F.col("_cum") > F.col("_k"))
+             .withColumn("_r", F.row_number().over(w))
+             .filter(F.col("_r") <= F.col("_k") - F.col("_before")).drop("_r"))
+    return whole.unionByName(part).drop("_h", "_before", "_cum", "_k")
