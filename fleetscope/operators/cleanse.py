@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetscope.functions.expr import (clip, col_, dbl, hash_unit, hour_int, integer_jitter,
+from fleetscope.functions.expr import (clip, dbl, hash_unit, hour_int, integer_jitter,
                                        key_unit, map_lookup, normal_noise, weighted_category)
 
 

@@ -47,3 +47,30 @@ def test_conform_and_nan(spark):
     df = frame(spark, [row(temp=float("nan")), row(minutes=1)])
     out = normalise_nans(conform_schema(df)).collect()
     assert out[0].temp_celsius is None and list(out[0].asDict()) == COLUMNS
+
+
+def test_scale_conf_sizes():
+    from fleetscope.session import scale_conf
+    big = scale_conf(100 * 10**12, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    small = scale_conf(10 * 2**20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_cleansing_preserves_rows(spark):
+    from fleetscope.operators import cleanse as C
+    df = frame(spark, [row(minutes=i, temp=float(i * 40), speed=float(i * 35)) for i in range(12)], with_id=True)
+    n = df.count()
+    steps = [
+        lambda d: C.clip_columns(d, {"temp_celsius": (0.0, 120.0)}),
+        lambda d: C.scale_by_key(d, "speed_kmh", "train_id", 0.7, 1.3, "s"),
+        lambda d: C.scale_by_hour(d, "speed_kmh", C.hour_factors(0.8, 1.2, 1)),
+        lambda d: C.offset_by_segment(d, "signal_strength_dbm", C.segment_offsets(["SEG-A", "SEG-B"])),
+        lambda d: C.overwrite_fraction(d, "temp_celsius", None, 0.5, "event_id", 3),
+        lambda d: C.overwrite_fraction(d, "temp_celsius", 999.0, 0.5, "event_id", 4),
+    ]
+    for st in steps:
+        assert st(df).count() == n
+    dup = C.inject_duplicates(df, 0.5, "event_id", 5)
+    assert n <= dup.count() <= 2 * n
+    assert dup.distinct().count() == n

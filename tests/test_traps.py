@@ -1,6 +1,5 @@
 """Toy-row tests for the semantic traps and threshold boundaries."""
 
-from pyspark.sql import functions as F
 
 from fleetscope.plans import reports as R
 from fleetscope.functions.expr import clip, speed_band
