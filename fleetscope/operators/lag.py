@@ -6,12 +6,12 @@ With ``buckets`` (``date_trunc`` units of the leading order column, finest
 first, e.g. ``("minute", "day")``) the lag runs per (key, finest bucket).
 The first row of a bucket then needs the last row of the previous non-empty
 bucket of the same key: the last row of every (key, bucket) forms a boundary
-table, and *its* previous row per key is found the same way one level
-coarser (per (key, day) with a (key, day) boundary table, and finally a plain
+table (read off the same window pass), and *its* previous row per key is
+found the same way one level coarser (per (key, day) with a (key, day) boundary table, and finally a plain
 lag per key over the few coarsest buckets).  Every window therefore holds at
 most one bucket of one key; the rows are shuffled once, each boundary level
-is a partially-aggregated, much smaller table, co-partitioned with the level
-above it so the large side of every join stays in place.  The answer equals
+is a much smaller table, co-partitioned with the level above it so the
+large side of every join stays in place.  The answer equals
 the plain lag exactly.
 """
 
@@ -47,15 +47,19 @@ def _previous(df: DataFrame, keys: list, order: list, cols: list, units: list, l
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({f"_prev_{c}": F.lag(c).over(w) for c in cols})
 
-    b, rn, carry = f"_b{level}", f"_rn{level}", f"_carry{level}"
+    b, rn, cnt, carry = f"_b{level}", f"_rn{level}", f"_cnt{level}", f"_carry{level}"
     x = df.withColumn(b, F.date_trunc(units[0], F.col(order[0])).cast("timestamp_ntz"))
     w = Window.partitionBy(*keys, b).orderBy(*order)
-    inner = x.withColumns({f"_prev_{c}": F.lag(c).over(w) for c in cols}).withColumn(rn, F.row_number().over(w))
-
-    # Boundary table: last row of each (key, bucket); the whole row is carried
-    # because the value itself may be NULL.
-    last = x.groupBy(*keys, b).agg(
-        F.max_by(F.struct(*[F.col(c).alias(c) for c in cols]), F.struct(*[F.col(o) for o in order])).alias("_last"))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    inner = (x.withColumns({f"_prev_{c}": F.lag(c).over(w) for c in cols})
+              .withColumn(rn, F.row_number().over(w))
+              .withColumn(cnt, F.count(F.lit(1)).over(whole)))
+
+    # Boundary table: the last row of each (key, bucket), taken from the same
+    # window pass (same partitioning and order, so no extra shuffle or sort);
+    # the whole row is carried because the value itself may be NULL.
+    last = (inner.filter(F.col(rn) == F.col(cnt))
+                 .select(*keys, b, F.struct(*[F.col(c).alias(c) for c in cols]).alias("_last")))
     # Previous non-empty bucket of the same key: the same problem one level coarser.
     prev_last = _previous(last, keys, [b], ["_last"], units[1:], level + 1)
     prev_last = prev_last.select(*keys, b, F.col("_prev__last").alias(carry)).repartition(*keys, b)
@@ -63,7 +67,7 @@ def _previous(df: DataFrame, keys: list, order: list, cols: list, units: list, l
     out = inner.join(prev_last, [*keys, b], "left")
     out = out.withColumns({
         f"_prev_{c}": F.when(F.col(rn) == 1, F.col(carry)[c]).otherwise(F.col(f"_prev_{c}")) for c in cols})
-    return out.drop(b, rn, carry)
+    return out.drop(b, rn, cnt, carry)
 
 
 def delta_previous(df: DataFrame, key, order, col: str, name: str, absolute: bool = False,
