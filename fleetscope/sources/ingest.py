@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pyspark.sql.utils import AnalysisException
+
 from fleetscope.functions.expr import nan_to_null
 from fleetscope.operators.dedup import keep_first
 from fleetscope.schema import COLUMNS, DOUBLE_COLUMNS, KEYS, TELEMETRY
@@ -75,3 +77,43 @@ def surrogate_id(df: DataFrame, order: Sequence[str], name: str = "id") -> DataF
     return (s.join(F.broadcast(offs), "_p")
              .withColumn(name, (F.col("_off") + F.col("_r") + 1).cast("bigint"))
              .drop("_m", "_p", "_r", "_off"))
+
+
+DAY = "day"
+
+
+def append_if_absent(batch: DataFrame, table_path: str, keys: Sequence[str] = KEYS,
+                     order: Sequence[str | Column] = ("event_id",), columns: Sequence[str] = COLUMNS,
+                     ts: str = "timestamp") -> None:
+    """Append ``batch`` to the day-partitioned Parquet table at ``table_path``, INSERT-OR-IGNORE style.
+
+    The batch is de-duplicated (first ``order`` wins), its keys are checked
+    against the stored keys of the *same days only* (a semi join on the
+    ``day`` partition column, so only those partitions are read) and the new
+    rows are appended.  Re-running the same batch after a failure appends
+    nothing twice: the step is idempotent.
+    """
+    spark = batch.sparkSession
+    fresh = keep_first(batch, list(keys), list(order)).withColumn(DAY, F.to_date(ts))
+    try:
+        stored = spark.read.parquet(table_path)
+        days = fresh.select(DAY).distinct()
+        stored = stored.join(days, DAY, "left_semi").select(*keys, DAY)
+        new = fresh.join(stored, [*keys, DAY], "left_anti")
+    except AnalysisException:  # no table yet
+        new = fresh
+    new.select(*columns, DAY).write.mode("append").partitionBy(DAY).parquet(table_path)
+
+
+def load_files(spark, source: str, table_path: str, fmt: str = "parquet", schema=None,
+               order: Sequence[str | Column] | None = None) -> None:
+    """The load job: read a telemetry file set, conform it, NaN -> NULL, append new keys.
+
+    Without an arrival-order column the first copy of a key is the lowest row
+    by all payload columns (deterministic under retries).
+    """
+    r = spark.read.format(fmt)
+    if fmt == "csv":
+        r = r.option("header", True).schema(schema or TELEMETRY)
+    batch = normalise_nans(conform_schema(r.load(source)))
+    append_if_absent(batch, table_path, order=list(order or [c for c in COLUMNS if c not in KEYS]))

@@ -14,15 +14,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from fleetscope.operators.dedup import keep_first
 from fleetscope.schema import COLUMNS, KEYS
+from fleetscope.sources.ingest import append_if_absent
 from fleetscope.sources.fixture import EVENT_COLUMNS, shape_events, with_copies
 
-DAY = "day"
-
 
 def telemetry_stream(spark: SparkSession, folder: str, glob: str = "events*.parquet",
                      max_files_per_trigger: int | None = None) -> DataFrame:
@@ -36,16 +32,7 @@ def telemetry_stream(spark: SparkSession, folder: str, glob: str = "events*.parq
 
 def _upsert(target_path: str, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]):
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = keep_first(batch, list(keys), list(order)).withColumn(DAY, F.to_date("timestamp"))
-        try:
-            stored = spark.read.parquet(target_path)
-            days = fresh.select(DAY).distinct()
-            stored = stored.join(days, DAY, "left_semi").select(*keys, DAY)  # partition pruning by day
-            new = fresh.join(stored, [*keys, DAY], "left_anti")
-        except AnalysisException:  # first batch: no table yet
-            new = fresh
-        new.select(*columns, DAY).write.mode("append").partitionBy(DAY).parquet(target_path)
+        append_if_absent(batch, target_path, keys, order, columns)
     return run
 
 

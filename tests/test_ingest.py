@@ -74,3 +74,21 @@ def test_cleansing_preserves_rows(spark):
     dup = C.inject_duplicates(df, 0.5, "event_id", 5)
     assert n <= dup.count() <= 2 * n
     assert dup.distinct().count() == n
+
+
+def test_cli_load_reports_mart_end_to_end(spark, tmp_path):
+    """The three jobs on paths: load twice (idempotent), reports, mart."""
+    from fleetscope.__main__ import main
+    from fleetscope.sources.fixture import raw_telemetry
+    src = str(tmp_path / "raw")
+    raw_telemetry(spark, "/root/testdata/sf0.001").drop("event_id").write.parquet(src)
+    table = str(tmp_path / "table")
+    main(["load", src, table])
+    main(["load", src, table])
+    loaded = spark.read.parquet(table)
+    assert loaded.count() == 1000 == loaded.select("train_id", "timestamp").distinct().count()
+    main(["reports", table, str(tmp_path / "reports")])
+    man = spark.read.option("header", True).csv(str(tmp_path / "reports" / "_manifest")).collect()
+    assert len(man) == 11 and all(r.status in ("ok", "empty") for r in man)
+    main(["mart", src, str(tmp_path / "mart")])
+    assert spark.read.parquet(str(tmp_path / "mart")).count() == 1000
