@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pyspark.sql.utils import AnalysisException
-
 from fleetscope.functions.expr import nan_to_null
 from fleetscope.operators.dedup import keep_first
 from fleetscope.schema import COLUMNS, DOUBLE_COLUMNS, KEYS, TELEMETRY
@@ -95,14 +93,18 @@ def append_if_absent(batch: DataFrame, table_path: str, keys: Sequence[str] = KE
     """
     spark = batch.sparkSession
     fresh = keep_first(batch, list(keys), list(order)).withColumn(DAY, F.to_date(ts))
-    try:
-        stored = spark.read.parquet(table_path)
-        days = fresh.select(DAY).distinct()
-        stored = stored.join(days, DAY, "left_semi").select(*keys, DAY)
-        new = fresh.join(stored, [*keys, DAY], "left_anti")
-    except AnalysisException:  # no table yet
-        new = fresh
-    new.select(*columns, DAY).write.mode("append").partitionBy(DAY).parquet(table_path)
+    out = fresh.select(*columns, DAY)
+    ensure_table(spark, table_path, out.schema)
+    stored = spark.read.schema(out.schema).parquet(table_path)
+    days = fresh.select(DAY).distinct()
+    stored = stored.join(days, DAY, "left_semi").select(*keys, DAY)
+    new = out.join(stored, [*keys, DAY], "left_anti")
+    new.write.mode("append").partitionBy(DAY).parquet(table_path)
+
+
+def ensure_table(spark, table_path: str, schema) -> None:
+    """Create an empty day-partitioned table at ``table_path`` if there is none (idempotent)."""
+    (spark.createDataFrame([], schema).write.mode("append").partitionBy(DAY).parquet(table_path))
 
 
 def load_files(spark, source: str, table_path: str, fmt: str = "parquet", schema=None,
