@@ -52,7 +52,8 @@ def _clip(x: str, lo: float, hi: float) -> str:
 
 
 def _map(key: str, mapping: dict) -> str:
-    whens = " ".join(f"WHEN {k!r} THEN {v!r}" for k, v in mapping.items())
+    """SQL twin of ``map_lookup`` (DOUBLE values: a bare 0.98 literal would be DECIMAL)."""
+    whens = " ".join(f"WHEN {k!r} THEN CAST({float(v)!r} AS DOUBLE)" for k, v in mapping.items())
     return f"CASE {key} {whens} ELSE NULL END"
 
 
