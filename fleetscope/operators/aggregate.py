@@ -1,6 +1,6 @@
 """Grouped aggregates used by the reports.
 
-Every aggregate here is algebraic (sum / count / min_by ...), so Spark plans a
+Every aggregate here is algebraic (sum / count / count_if / avg), so Spark plans a
 partial aggregate before the shuffle: a hot key is reduced on the map side
 and each key costs one row per map task in the exchange.
 """

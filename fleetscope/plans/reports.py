@@ -76,7 +76,7 @@ def signal_by_speed_band(t: DataFrame, mode: str = CANONICAL, digits: int | None
     src = t.filter(F.col("speed_kmh").isNotNull()) if raw else t
     agg = src.groupBy(band).agg(round_to(F.avg("signal_strength_dbm"), digits).alias("avg_signal_str"))
     if not raw:
-        return agg
+        return agg.orderBy("speed_ranges")
     spine = t.sparkSession.createDataFrame([(lab,) for lab in SPEED_LABELS], "speed_ranges string")
     return spine.join(F.broadcast(agg), "speed_ranges", "left")
 
