@@ -1,9 +1,9 @@
 """Run the whole report catalogue over one table (I16).
 
-The input is materialised once with a reliable ``checkpoint()`` into the
-shared checkpoint folder, so the eleven reports share one scan and one
-de-duplication, and a lost executor recomputes from the checkpoint instead
-of the whole lineage.  Each report is isolated: a failure is recorded and
+The input is written once as Parquet into the shared checkpoint folder, so
+the eleven reports share one scan and one de-duplication, each report reads
+only its own columns of it, and a lost executor recomputes from those files
+instead of the whole lineage.  Each report is isolated: a failure is recorded and
 the others still run; empty results are not written.  The loop runs over
 report *names* on the driver; every report itself is a distributed job.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from fleetscope.plans.reports import CANONICAL, REPORTS
 from fleetscope.session import checkpoint_dir
-from fleetscope.sources.files import write_csv
+from fleetscope.sources.files import materialize, write_csv
 
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("report", T.StringType()), T.StructField("rows", T.LongType()),
@@ -31,7 +31,7 @@ def run_reports(spark: SparkSession, table: DataFrame, out_dir: str | None, mode
                 reports: dict | None = None) -> DataFrame:
     """Run every report; write non-empty ones as CSV under ``out_dir``; return the manifest."""
     checkpoint_dir(spark)
-    base = table.checkpoint(eager=True)
+    base = materialize(table, "reports-base")
     rows = []
     for i, (name, fn) in enumerate((reports or REPORTS).items(), start=1):
         path = f"{out_dir.rstrip('/')}/{i:02d}_{slug(name)}" if out_dir else None
