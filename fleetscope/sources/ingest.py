@@ -58,23 +58,39 @@ def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str] = KEYS,
 
 
 def surrogate_id(df: DataFrame, order: Sequence[str], name: str = "id") -> DataFrame:
-    """Dense 1..n ids in ``order`` without a single-partition window.
-
-    ``orderBy`` range-partitions and sorts; ``monotonically_increasing_id``
-    then encodes (partition, position); a per-partition row count (one row
-    per partition: bounded by the shuffle partition count, so it is
-    broadcast) turns positions into global offsets.  ``order`` should be
-    unique for reproducible ids.
+    """Dense 1..n ids in ``order`` = (key, timestamp[, tie-breaks...]), without a global sort.
+
+    id = (rows of smaller keys) + (rows of the same key on earlier days)
+       + (rows of that day in earlier minutes) + (position within the minute).
+    The three offsets come from count tables (per key / key-day / key-minute,
+    each partially aggregated and far smaller than the rows) and are folded
+    into one per-(key, minute) offset table; the rows are shuffled once, on
+    (key, day, minute), where the position is numbered and the offset joined.
+    No range sampling is involved, so the ids are the same on every re-run
+    (given a unique ``order``), and no window holds more than one minute of
+    one key -- except the running total over the distinct keys, which has one
+    row per key.
     """
-    s = (df.orderBy(*order)
-           .withColumn("_m", F.monotonically_increasing_id())
-           .withColumn("_p", F.shiftright("_m", 33)))
-    s = s.withColumn("_r", F.col("_m") - F.shiftleft("_p", 33))
-    counts = s.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
-    offs = counts.select("_p", (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_off"))
-    return (s.join(F.broadcast(offs), "_p")
-             .withColumn(name, (F.col("_off") + F.col("_r") + 1).cast("bigint"))
-             .drop("_m", "_p", "_r", "_off"))
+    key, ts, rest = order[0], order[1], list(order[2:])
+    x = df.withColumns({"_d": F.date_trunc("day", ts), "_mi": F.date_trunc("minute", ts)})
+    c_min = x.groupBy(key, "_d", "_mi").agg(F.count(F.lit(1)).alias("_n"))
+    c_day = c_min.groupBy(key, "_d").agg(F.sum("_n").alias("_n"))
+    c_key = c_day.groupBy(key).agg(F.sum("_n").alias("_n"))
+    upto = Window.unboundedPreceding
+    off_key = c_key.select(key, (F.sum("_n").over(Window.orderBy(key).rowsBetween(upto, 0)) - F.col("_n"))
+                           .alias("_ok"))
+    off_day = c_day.select(key, "_d", (F.sum("_n").over(
+        Window.partitionBy(key).orderBy("_d").rowsBetween(upto, 0)) - F.col("_n")).alias("_od"))
+    off_min = c_min.select(key, "_d", "_mi", (F.sum("_n").over(
+        Window.partitionBy(key, "_d").orderBy("_mi").rowsBetween(upto, 0)) - F.col("_n")).alias("_om"))
+    offsets = (off_min.join(off_day, [key, "_d"]).join(off_key, [key])
+                      .select(key, "_d", "_mi", (F.col("_ok") + F.col("_od") + F.col("_om")).alias("_off"))
+                      .repartition(key, "_d", "_mi"))
+    w = Window.partitionBy(key, "_d", "_mi").orderBy(ts, *rest)
+    numbered = x.withColumn("_r", F.row_number().over(w))
+    return (numbered.join(offsets, [key, "_d", "_mi"])
+                    .withColumn(name, (F.col("_off") + F.col("_r")).cast("bigint"))
+                    .drop("_d", "_mi", "_r", "_off"))
 
 
 DAY = "day"

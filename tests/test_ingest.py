@@ -36,11 +36,16 @@ def test_insert_skips_null_keys(spark):
 
 
 def test_surrogate_ids_dense(spark):
-    df = frame(spark, [row(train=f"T{i % 7}", minutes=i) for i in range(50)]).repartition(5)
-    out = surrogate_id(df, ["train_id", "timestamp"]).orderBy("id").collect()
-    assert [r.id for r in out] == list(range(1, 51))
-    keys = [(r.train_id, r.timestamp) for r in out]
-    assert keys == sorted(keys)
+    from pyspark.sql import Window
+    # several readings per minute, several minutes per day, several days, uneven keys
+    rows = [row(train=f"T{i % 7}", minutes=(i * 97) / 13 + (i % 3) * 1440) for i in range(300)]
+    df = frame(spark, rows).dropDuplicates(["train_id", "timestamp"]).repartition(5)
+    n = df.count()
+    out = surrogate_id(df, ["train_id", "timestamp"])
+    assert sorted(r.id for r in out.collect()) == list(range(1, n + 1))
+    want = df.withColumn("id", F.row_number().over(Window.orderBy("train_id", "timestamp")).cast("bigint"))
+    got = sorted((r.id, r.train_id, r.timestamp) for r in out.collect())
+    assert got == sorted((r.id, r.train_id, r.timestamp) for r in want.collect())
 
 
 def test_conform_and_nan(spark):
