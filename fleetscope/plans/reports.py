@@ -83,13 +83,17 @@ def signal_by_speed_band(t: DataFrame, mode: str = CANONICAL, digits: int | None
 
 # R4 -------------------------------------------------------------------------
 def temp_jumps(t: DataFrame, mode: str = CANONICAL, threshold: float = 30.0, k: int = 30,
-               buckets: Sequence[str] | None = None) -> DataFrame:
+               buckets: Sequence[str] | None = None, timestamp_delta: str = "seconds") -> DataFrame:
     """Largest temperature changes between consecutive readings of a train.
 
-    ``delta_timestamp`` is the elapsed time in seconds.  canonical: ``> threshold``;
-    raw: ``>= threshold``.
+    ``delta_timestamp`` is the elapsed time in seconds; ``timestamp_delta="years"``
+    gives the difference of the calendar years instead (what subtracting the
+    two timestamps as text yields in an engine that coerces text to its
+    leading number).  canonical: ``> threshold``; raw: ``>= threshold``.
     """
     raw = _check(mode)
+    if timestamp_delta not in ("seconds", "years"):
+        raise ValueError("timestamp_delta must be 'seconds' or 'years'")
     src = t.select("train_id", "timestamp", "temp_celsius")
     prev = previous_row(src, "train_id", ["timestamp"], ["timestamp", "temp_celsius"],
                         prefix="previous_", buckets=buckets)
@@ -97,7 +101,9 @@ def temp_jumps(t: DataFrame, mode: str = CANONICAL, threshold: float = 30.0, k:
     out = (prev.filter(F.col("previous_temp_celsius").isNotNull())
                .withColumn("delta_temp", delta)
                .filter(F.col("delta_temp") >= threshold if raw else F.col("delta_temp") > threshold)
-               .withColumn("delta_timestamp", F.abs(seconds_between("previous_timestamp", "timestamp"))))
+               .withColumn("delta_timestamp", F.abs(seconds_between("previous_timestamp", "timestamp"))
+                           if timestamp_delta == "seconds"
+                           else F.abs(F.year("timestamp") - F.year("previous_timestamp")).cast("double")))
     out = top_k(out, [F.desc("delta_temp"), F.asc("train_id"), F.asc("timestamp")], k)
     return out.select("train_id", "delta_timestamp", "delta_temp")
 

@@ -109,3 +109,18 @@ def test_multi_level_lag_equals_plain_lag(spark):
         for buckets in [("day",), ("minute", "day"), ("minute", "hour", "day")]:
             multi = previous_row(t, key, order, ["temp_celsius", "timestamp"], buckets=buckets)
             assert plain.exceptAll(multi).count() == 0 and multi.exceptAll(plain).count() == 0, buckets
+
+
+def test_temp_jump_year_difference_variant(spark):
+    from datetime import datetime
+    from toy import T0
+    rows = [row(minutes=0, temp=10.0), row(minutes=1, temp=50.0)]
+    ny = [("TRN-2", datetime(2024, 12, 31, 23, 59), 10.0), ("TRN-2", datetime(2025, 1, 1, 0, 1), 60.0)]
+    t = frame(spark, rows).unionByName(
+        spark.createDataFrame([(a, b, c) for a, b, c in ny], "train_id string, timestamp timestamp_ntz, temp_celsius double"),
+        allowMissingColumns=True)
+    got = {r.train_id: r.delta_timestamp for r in R.temp_jumps(t, timestamp_delta="years").collect()}
+    assert got == {"TRN-1": 0.0, "TRN-2": 1.0}
+    secs = {r.train_id: r.delta_timestamp for r in R.temp_jumps(t).collect()}
+    assert secs == {"TRN-1": 60.0, "TRN-2": 120.0}
+    assert T0.year == 2024
