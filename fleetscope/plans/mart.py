@@ -63,26 +63,31 @@ MART_COLUMNS = ["train_id", "cell_tower_id", "temp_celsius", "status", "speed_km
 
 
 def mart_rows(raw: DataFrame, order: Sequence[str | Column] = ("event_id",),
-              buckets: Sequence[str] | None = None, materialize: bool = True) -> DataFrame:
+              buckets: Sequence[str] | None = None, materialize: bool = True,
+              materialize_path: str | None = None) -> DataFrame:
     """M1-M9 (all columns kept).  ``order`` picks the surviving copy of a key
     (arrival order); it is dropped from the output unless it is a mart column.
 
     The de-duplicated table feeds four passes (two previous-row lags, each with
     its boundary pass); with ``materialize`` it is written once under the
-    shared checkpoint folder instead of being re-shuffled for every pass.
+    shared checkpoint folder (or at ``materialize_path``) instead of being
+    re-shuffled for every pass.
     """
     df = add_keys(round_columns(raw))
     df = keep_first(df, KEYS, list(order))
-    if materialize:
+    if materialize and materialize_path:
+        df.write.mode("overwrite").parquet(materialize_path)
+        df = raw.sparkSession.read.parquet(materialize_path)
+    elif materialize:
         df = write_and_read(df, "mart-dedup")
     return add_quality(add_deltas(df, buckets=buckets))
 
 
 def bi_mart(raw: DataFrame, order: Sequence[str | Column] = ("event_id",),
             buckets: Sequence[str] | None = None, drop: Sequence[str] = MART_DROP,
-            materialize: bool = True) -> DataFrame:
+            materialize: bool = True, materialize_path: str | None = None) -> DataFrame:
     """The 17-column mart: ``mart_rows`` without the generator/high-cardinality columns."""
-    df = mart_rows(raw, order, buckets, materialize)
+    df = mart_rows(raw, order, buckets, materialize, materialize_path)
     extra = [c for c in df.columns if c not in MART_COLUMNS and c not in drop]
     return df.drop(*drop, *extra)
 
