@@ -29,26 +29,32 @@ def _as_list(x) -> list:
 
 def previous_row(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
                  cols: Sequence[str], prefix: str = "previous_",
-                 buckets: Sequence[str] | None = None) -> DataFrame:
+                 buckets: Sequence[str] | None = None,
+                 boundary_source: DataFrame | None = None) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same ``key``.
 
     ``order`` (ascending) should be unique within a key for a deterministic
     answer; its first column must be a timestamp when ``buckets`` is given.
     Previous *row*, not previous non-NULL value.
+    ``boundary_source``: a cheaper frame with the same rows (e.g. the stored
+    table ``df`` was derived from) to read the bucket boundaries from, so the
+    boundary pass does not re-derive ``df``.
     """
     keys, order, cols = _as_list(key), _as_list(order), list(cols)
-    out = _previous(df, keys, order, cols, list(buckets or []), level=0)
+    out = _previous(df, keys, order, cols, list(buckets or []), level=0, boundary_source=boundary_source)
     return out.select(*df.columns, *[F.col(f"_prev_{c}").alias(prefix + c) for c in cols])
 
 
-def _previous(df: DataFrame, keys: list, order: list, cols: list, units: list, level: int) -> DataFrame:
+def _previous(df: DataFrame, keys: list, order: list, cols: list, units: list, level: int,
+              boundary_source: DataFrame | None = None) -> DataFrame:
     """``df`` plus ``_prev_<c>`` for every ``c`` in ``cols``."""
     if not units:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({f"_prev_{c}": F.lag(c).over(w) for c in cols})
 
     b, rn, cnt, carry = f"_b{level}", f"_rn{level}", f"_cnt{level}", f"_carry{level}"
-    x = df.withColumn(b, F.date_trunc(units[0], F.col(order[0])).cast("timestamp_ntz"))
+    bucket = F.date_trunc(units[0], F.col(order[0])).cast("timestamp_ntz")
+    x = df.withColumn(b, bucket)
     w = Window.partitionBy(*keys, b).orderBy(*order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     inner = (x.withColumns({f"_prev_{c}": F.lag(c).over(w) for c in cols})
@@ -58,8 +64,13 @@ def _previous(df: DataFrame, keys: list, order: list, cols: list, units: list, l
     # Boundary table: the last row of each (key, bucket), taken from the same
     # window pass (same partitioning and order, so no extra shuffle or sort);
     # the whole row is carried because the value itself may be NULL.
-    last = (inner.filter(F.col(rn) == F.col(cnt))
-                 .select(*keys, b, F.struct(*[F.col(c).alias(c) for c in cols]).alias("_last")))
+    if boundary_source is None:
+        ranked = inner
+    else:
+        ranked = (boundary_source.select(*keys, *dict.fromkeys([*order, *cols])).withColumn(b, bucket)
+                  .withColumn(rn, F.row_number().over(w)).withColumn(cnt, F.count(F.lit(1)).over(whole)))
+    last = (ranked.filter(F.col(rn) == F.col(cnt))
+                  .select(*keys, b, F.struct(*[F.col(c).alias(c) for c in cols]).alias("_last")))
     # Previous non-empty bucket of the same key: the same problem one level coarser.
     prev_last = _previous(last, keys, [b], ["_last"], units[1:], level + 1)
     prev_last = prev_last.select(*keys, b, F.col("_prev__last").alias(carry)).repartition(*keys, b)

@@ -39,8 +39,9 @@ def add_deltas(df: DataFrame, buckets: Sequence[str] | None = None) -> DataFrame
         "delta_temp_celsius": F.bround(F.col("temp_celsius") - F.col("_pt_temp_celsius"), 2),
         "delta_time_min": F.bround(seconds_between("_pt_timestamp", "timestamp") / F.lit(60.0), 2),
     }).drop("_pt_temp_celsius", "_pt_timestamp")
+    # the tower boundaries come straight from ``df`` (same rows), not from the train-lag output
     s = previous_row(t, "cell_tower_id", ["timestamp", "train_id"], ["signal_strength_dbm"],
-                     prefix="_ps_", buckets=buckets)
+                     prefix="_ps_", buckets=buckets, boundary_source=df)
     return s.withColumn("delta_signal_dbm",
                         F.bround(F.abs(F.col("signal_strength_dbm") - F.col("_ps_signal_strength_dbm")), 2)
                         ).drop("_ps_signal_strength_dbm")
