@@ -79,14 +79,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (HDFS/object-store) folder in that setting and it
-    is used as is.  Only when it is unset (local tests) a scratch folder is
-    created and registered.
+    is used as is.  Only when it is unset *and* the master is local (tests) a
+    scratch folder is created and registered; on a cluster an unset setting
+    is an error rather than a machine-local folder.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder")
         d = tempfile.mkdtemp(prefix="fleetscope-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return d
