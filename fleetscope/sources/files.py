@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from fleetscope.session import checkpoint_dir
 
@@ -61,9 +62,9 @@ def read_report_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     """A report written by ``write_csv``; None when it is missing or has no rows."""
     try:
         df = read_csv(spark, path, schema)
-        return None if df.isEmpty() else df
-    except Exception:  # noqa: BLE001 -- missing path
+    except AnalysisException:  # missing path
         return None
+    return None if df.isEmpty() else df
 
 
 def latest_snapshot(spark: SparkSession, pattern: str, fmt: str = "parquet",
@@ -90,5 +91,5 @@ def latest_of(spark: SparkSession, folder: str, stem: str, schema: T.StructType
     """Newest ``stem*.parquet`` in ``folder``; falls back to ``stem*.csv`` when there is none."""
     try:
         return latest_snapshot(spark, f"{folder.rstrip('/')}/{stem}*.parquet", "parquet")
-    except Exception:  # noqa: BLE001 -- no Parquet snapshot: use the CSV twin
+    except AnalysisException:  # no Parquet snapshot matches: use the CSV twin
         return latest_snapshot(spark, f"{folder.rstrip('/')}/{stem}*.csv", "csv", schema)
