@@ -43,7 +43,9 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str] =
     in ``target`` keeps the stored row (first writer wins); rows with a NULL
     key are skipped.  The batch de-duplication and the anti join share the
     hash partitioning on ``keys``, so the batch is shuffled once.
-    Returns ``target ∪ new rows`` projected to ``columns``.
+    Returns ``target ∪ new rows`` projected to ``columns``.  For a large
+    stored table use ``append_if_absent``, which reads only the partitions
+    (days) the batch touches instead of all stored keys.
     """
     fresh = keep_first(batch, list(keys), list(order))
     new = fresh.join(target.select(*keys), list(keys), "left_anti")
