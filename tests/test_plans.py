@@ -63,3 +63,22 @@ def test_no_cross_joins(spark, qs):
         p = plan(fn(spark, SF))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, k
     assert "Subquery" in plan(qs["r10_consumption_baseline"](spark, SF))
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_baseline_reuses_per_train_shuffle(spark, qs):
+    p = _final_plan(qs["r10_consumption_baseline"](spark, SF))
+    assert "ReusedExchange" in p and "Subquery" in p
+
+
+def test_lag_boundary_reuses_row_shuffle(spark, qs):
+    p = _final_plan(qs["r04_temp_jumps"](spark, SF))
+    assert p.count("ReusedExchange") >= 1
+    # no window over the bare key on the rows: every row-level window is bucketed
+    import re
+    parts = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", p)
+    assert any("_b0" in x for x in parts)
