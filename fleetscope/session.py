@@ -65,7 +65,7 @@ def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.3
     shuffle_bytes = int(input_bytes * shuffle_fraction)
     n = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
     n = min(n, max_shuffle_partitions)
-    return {
+    conf = {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
@@ -73,6 +73,11 @@ def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.3
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     }
+    if n > 2 * total_cores:
+        # data-sized partitions: coalesce to the advisory size instead of keeping
+        # many tiny tasks (the busy-cluster setting; no gain at test sizes)
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
+    return conf
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
