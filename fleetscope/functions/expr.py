@@ -21,6 +21,7 @@ __all__ = [
 
 
 def col_(c: str | Column) -> Column:
+    """A column name or Column, as a Column."""
     return F.col(c) if isinstance(c, str) else c
 
 
@@ -35,10 +36,12 @@ def hour_text(ts: str | Column = "timestamp") -> Column:
 
 
 def hour_int(ts: str | Column = "timestamp") -> Column:
+    """Hour of day as INT 0..23."""
     return F.hour(col_(ts))
 
 
 def minute_int(ts: str | Column = "timestamp") -> Column:
+    """Minute of hour as INT 0..59."""
     return F.minute(col_(ts))
 
 
@@ -107,6 +110,7 @@ def safe_div(num: str | Column, den: str | Column) -> Column:
 
 
 def nan_to_null(c: str | Column) -> Column:
+    """NaN -> NULL (other values unchanged)."""
     x = col_(c)
     return F.when(F.isnan(x), F.lit(None)).otherwise(x)
 

@@ -24,6 +24,7 @@ MANIFEST_SCHEMA = T.StructType([
 
 
 def slug(name: str) -> str:
+    """File-name-safe lower-case form of a report name."""
     return "".join(ch if ch.isalnum() else "_" for ch in name.lower()).strip("_")
 
 

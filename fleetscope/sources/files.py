@@ -38,6 +38,7 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+    """Parquet sink (optionally partitioned by columns)."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

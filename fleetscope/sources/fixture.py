@@ -80,6 +80,7 @@ def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_copies(shaped: DataFrame) -> DataFrame:
+    """Emit the rows with ``event_id % 50 = 11`` twice (one generator over the same scan, no UNION)."""
     return shaped.selectExpr("*", _COPIES).drop("_copy")
 
 
