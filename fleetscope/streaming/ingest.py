@@ -17,14 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fleetscope.schema import COLUMNS, KEYS
 from fleetscope.sources.ingest import append_if_absent
-from fleetscope.sources.fixture import EVENT_COLUMNS, shape_events, with_copies
+from fleetscope.sources.fixture import EVENT_COLUMNS, EVENTS_SCHEMA, shape_events, with_copies
 
 
 def telemetry_stream(spark: SparkSession, folder: str, glob: str = "events*.parquet",
                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """Raw telemetry rows from event files arriving in ``folder`` (schema taken from the files)."""
-    schema = spark.read.option("pathGlobFilter", glob).parquet(folder).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    """Raw telemetry rows from event files arriving in ``folder``.
+
+    The source schema is declared (never inferred), so the stream can start
+    on an empty landing folder.
+    """
+    r = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return with_copies(shape_events(r.parquet(folder).select(*EVENT_COLUMNS)))

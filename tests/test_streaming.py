@@ -33,3 +33,17 @@ def test_stream_replay_is_idempotent(spark):
     want = keep_first(raw_telemetry(spark, SF), ["train_id", "timestamp"], ["event_id"]).select(*COLUMNS)
     assert got.count() == want.count() == 1000
     assert got.exceptAll(want).count() == 0
+
+
+def test_stream_starts_on_empty_folder(spark):
+    src = tempfile.mkdtemp(prefix="fleetscope-stream-empty-")
+    out = tempfile.mkdtemp(prefix="fleetscope-stream-empty-out-")
+    q = load_stream(telemetry_stream(spark, src), os.path.join(out, "table"), os.path.join(out, "ckpt"))
+    q.awaitTermination()
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    ev.coalesce(1).write.parquet(os.path.join(src, "_tmp"))
+    f = [x for x in os.listdir(os.path.join(src, "_tmp")) if x.endswith(".parquet")][0]
+    os.link(os.path.join(src, "_tmp", f), os.path.join(src, "events-late.parquet"))
+    q = load_stream(telemetry_stream(spark, src), os.path.join(out, "table"), os.path.join(out, "ckpt"))
+    q.awaitTermination()
+    assert spark.read.parquet(os.path.join(out, "table")).count() == 1000
