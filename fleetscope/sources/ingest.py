@@ -12,13 +12,15 @@ from fleetscope.operators.dedup import keep_first
 from fleetscope.schema import COLUMNS, DOUBLE_COLUMNS, KEYS, TELEMETRY
 
 
-def conform_schema(df: DataFrame, schema=TELEMETRY, strict: bool = False) -> DataFrame:
+def conform_schema(df: DataFrame, schema=TELEMETRY, strict: bool = False,
+                   keep: Sequence[str] = ()) -> DataFrame:
     """Project to the schema's columns in its order, cast each column, drop NULL keys.
 
     ``strict=False`` uses ``try_cast`` (a bad value becomes NULL instead of
-    failing the job); NOT NULL columns are enforced by filtering.
+    failing the job); NOT NULL columns are enforced by filtering.  ``keep``
+    names extra columns carried through unchanged (e.g. an arrival order).
     """
-    exprs = []
+    exprs = [F.col(k) for k in keep]
     for f in schema.fields:
         c = F.col(f.name)
         exprs.append((c.cast(f.dataType) if strict else c.try_cast(f.dataType)).alias(f.name))
@@ -129,11 +131,19 @@ def load_files(spark, source: str, table_path: str, fmt: str = "parquet", schema
                order: Sequence[str | Column] | None = None) -> None:
     """The load job: read a telemetry file set, conform it, NaN -> NULL, append new keys.
 
-    Without an arrival-order column the first copy of a key is the lowest row
-    by all payload columns (deterministic under retries).
+    Without an explicit ``order``, the first copy of a key in arrival order
+    wins: (file time, file path, row index in the file) for Parquet, as the
+    rows were written; for CSV (no row index) the lowest row by all payload
+    columns, which is still the same on every retry.
     """
     r = spark.read.format(fmt)
     if fmt == "csv":
         r = r.option("header", True).schema(schema or TELEMETRY)
-    batch = normalise_nans(conform_schema(r.load(source)))
+    raw = r.load(source)
+    keep: list[str] = []
+    if order is None and fmt == "parquet":
+        raw = raw.withColumn("_arrival", F.struct(F.col("_metadata.file_modification_time"),
+                                                  F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+        keep, order = ["_arrival"], ["_arrival"]
+    batch = normalise_nans(conform_schema(raw, keep=keep))
     append_if_absent(batch, table_path, order=list(order or [c for c in COLUMNS if c not in KEYS]))

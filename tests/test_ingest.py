@@ -97,3 +97,14 @@ def test_cli_load_reports_mart_end_to_end(spark, tmp_path):
     assert len(man) == 11 and all(r.status in ("ok", "empty") for r in man)
     main(["mart", src, str(tmp_path / "mart")])
     assert spark.read.parquet(str(tmp_path / "mart")).count() == 1000
+
+
+def test_load_keeps_first_copy_in_file_order(spark, tmp_path):
+    """Two copies of a key with different payloads in one file: the earlier row wins."""
+    from fleetscope.sources.ingest import load_files
+    rows = [row(train="A", temp=2.0), row(train="A", temp=1.0), row(train="B", minutes=1, temp=5.0)]
+    src = str(tmp_path / "src")
+    frame(spark, rows).coalesce(1).write.parquet(src)
+    load_files(spark, src, str(tmp_path / "t"))
+    got = {r.train_id: r.temp_celsius for r in spark.read.parquet(str(tmp_path / "t")).collect()}
+    assert got == {"A": 2.0, "B": 5.0}
