@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import argparse
 
-from fleetscope.schema import COLUMNS
+from pyspark.sql import functions as F
+
 from fleetscope.session import get_session
 
 
@@ -49,9 +50,11 @@ def main(argv=None) -> None:
     elif args.cmd == "mart":
         from fleetscope.plans import mart as M
         from fleetscope.plans.reports import SKEW_BUCKETS
-        raw = spark.read.parquet(args.source)
-        order = [c for c in COLUMNS if c not in ("train_id", "timestamp")]
-        M.write_mart(M.bi_mart(raw, order=order, buckets=SKEW_BUCKETS), args.out, args.partition_by_date)
+        # the first copy of a key in file arrival order survives the de-duplication
+        raw = spark.read.parquet(args.source).withColumn("_arrival", F.struct(
+            F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"),
+            F.col("_metadata.row_index")))
+        M.write_mart(M.bi_mart(raw, order=["_arrival"], buckets=SKEW_BUCKETS), args.out, args.partition_by_date)
 
 
 if __name__ == "__main__":
