@@ -87,16 +87,26 @@ def surrogate_id(df: DataFrame, order: Sequence[str], name: str = "id") -> DataF
         Window.partitionBy(key).orderBy("_d").rowsBetween(upto, 0)) - F.col("_n")).alias("_od"))
     off_min = c_min.select(key, "_d", "_mi", (F.sum("_n").over(
         Window.partitionBy(key, "_d").orderBy("_mi").rowsBetween(upto, 0)) - F.col("_n")).alias("_om"))
-    offsets = (off_min.join(off_day, [key, "_d"]).join(off_key, [key])
-                      .select(key, "_d", "_mi", (F.col("_ok") + F.col("_od") + F.col("_om")).alias("_off"))
+    offsets = _join_null_safe(_join_null_safe(off_min, off_day, [key, "_d"]), off_key, [key])
+    offsets = (offsets.select(key, "_d", "_mi", (F.col("_ok") + F.col("_od") + F.col("_om")).alias("_off"))
                       .repartition(key, "_d", "_mi"))
     w = Window.partitionBy(key, "_d", "_mi").orderBy(ts, *rest)
     numbered = x.withColumn("_r", F.row_number().over(w))
-    return (numbered.join(offsets, [key, "_d", "_mi"])
+    return (_join_null_safe(numbered, offsets, [key, "_d", "_mi"])
                     .withColumn(name, (F.col("_off") + F.col("_r")).cast("bigint"))
                     .drop("_d", "_mi", "_r", "_off"))
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner equi-join on ``on`` where NULL matches NULL (a NULL key or timestamp keeps its rows)."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on])
+    cond = None
+    for c in on:
+        e = left[c].eqNullSafe(r[f"_r_{c}"])
+        cond = e if cond is None else cond & e
+    return left.join(r, cond).drop(*[f"_r_{c}" for c in on])
+
+
 DAY = "day"
 
 

@@ -108,3 +108,13 @@ def test_load_keeps_first_copy_in_file_order(spark, tmp_path):
     load_files(spark, src, str(tmp_path / "t"))
     got = {r.train_id: r.temp_celsius for r in spark.read.parquet(str(tmp_path / "t")).collect()}
     assert got == {"A": 2.0, "B": 5.0}
+
+
+def test_surrogate_ids_keep_null_keys(spark):
+    from pyspark.sql import Window
+    df = spark.createDataFrame([(None, 1), ("A", 2), ("A", None), ("B", 3), (None, None)],
+                               "k string, m int").withColumn(
+        "ts", F.timestamp_add("MINUTE", F.col("m"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")))
+    out = surrogate_id(df.select("k", "ts"), ["k", "ts"])
+    want = df.select("k", "ts").withColumn("id", F.row_number().over(Window.orderBy("k", "ts")).cast("bigint"))
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
