@@ -23,6 +23,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _first_bucket() -> Column:
+    """Bucket of NULL timestamps: earlier than any real one (a real year-1 reading may share it:
+    harmless, the rows inside a bucket are still ordered by their own timestamps, NULLs first)."""
+    return F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def _as_list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
@@ -41,8 +47,18 @@ def previous_row(df: DataFrame, key: str | Sequence[str], order: str | Sequence[
     boundary pass does not re-derive ``df``.
     """
     keys, order, cols = _as_list(key), _as_list(order), list(cols)
-    out = _previous(df, keys, order, cols, list(buckets or []), level=0, boundary_source=boundary_source)
-    return out.select(*df.columns, *[F.col(f"_prev_{c}").alias(prefix + c) for c in cols])
+    # One struct key: struct fields compare NULL = NULL, so a NULL key is a group of its
+    # own (as in a SQL window) while every join stays a plain, co-partitioned equi-join.
+    # The keys travel only inside the struct (unpacked at the end), so the lag pass and the
+    # boundary pass shuffle identical columns and Spark computes that shuffle once.
+    def packed(frame: DataFrame) -> DataFrame:
+        return frame.select(F.struct(*[F.col(k) for k in keys]).alias("_kk"),
+                            *[c for c in frame.columns if c not in keys])
+
+    bsrc = packed(boundary_source) if boundary_source is not None else None
+    out = _previous(packed(df), ["_kk"], order, cols, list(buckets or []), level=0, boundary_source=bsrc)
+    return out.select(*[F.col("_kk")[c].alias(c) if c in keys else F.col(c) for c in df.columns],
+                      *[F.col(f"_prev_{c}").alias(prefix + c) for c in cols])
 
 
 def _previous(df: DataFrame, keys: list, order: list, cols: list, units: list, level: int,
@@ -53,7 +69,8 @@ def _previous(df: DataFrame, keys: list, order: list, cols: list, units: list, l
         return df.withColumns({f"_prev_{c}": F.lag(c).over(w) for c in cols})
 
     b, rn, cnt, carry = f"_b{level}", f"_rn{level}", f"_cnt{level}", f"_carry{level}"
-    bucket = F.date_trunc(units[0], F.col(order[0])).cast("timestamp_ntz")
+    # a NULL timestamp goes to a bucket that sorts before every real one (NULLS FIRST)
+    bucket = F.coalesce(F.date_trunc(units[0], F.col(order[0])).cast("timestamp_ntz"), _first_bucket())
     x = df.withColumn(b, bucket)
     w = Window.partitionBy(*keys, b).orderBy(*order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -76,35 +76,31 @@ def surrogate_id(df: DataFrame, order: Sequence[str], name: str = "id") -> DataF
     row per key.
     """
     key, ts, rest = order[0], order[1], list(order[2:])
-    x = df.withColumns({"_d": F.date_trunc("day", ts), "_mi": F.date_trunc("minute", ts)})
-    c_min = x.groupBy(key, "_d", "_mi").agg(F.count(F.lit(1)).alias("_n"))
-    c_day = c_min.groupBy(key, "_d").agg(F.sum("_n").alias("_n"))
-    c_key = c_day.groupBy(key).agg(F.sum("_n").alias("_n"))
+    # struct key (NULL = NULL inside a struct) and sentinel buckets for NULL timestamps keep
+    # NULLs in their own groups while every join stays a plain, co-partitioned equi-join;
+    # both sort first, as NULLs do in the ascending order
+    first = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+    x = df.withColumns({"_k": F.struct(F.col(key)),
+                        "_d": F.coalesce(F.date_trunc("day", ts).cast("timestamp_ntz"), first),
+                        "_mi": F.coalesce(F.date_trunc("minute", ts).cast("timestamp_ntz"), first)})
+    c_min = x.groupBy("_k", "_d", "_mi").agg(F.count(F.lit(1)).alias("_n"))
+    c_day = c_min.groupBy("_k", "_d").agg(F.sum("_n").alias("_n"))
+    c_key = c_day.groupBy("_k").agg(F.sum("_n").alias("_n"))
     upto = Window.unboundedPreceding
-    off_key = c_key.select(key, (F.sum("_n").over(Window.orderBy(key).rowsBetween(upto, 0)) - F.col("_n"))
+    off_key = c_key.select("_k", (F.sum("_n").over(Window.orderBy("_k").rowsBetween(upto, 0)) - F.col("_n"))
                            .alias("_ok"))
-    off_day = c_day.select(key, "_d", (F.sum("_n").over(
-        Window.partitionBy(key).orderBy("_d").rowsBetween(upto, 0)) - F.col("_n")).alias("_od"))
-    off_min = c_min.select(key, "_d", "_mi", (F.sum("_n").over(
-        Window.partitionBy(key, "_d").orderBy("_mi").rowsBetween(upto, 0)) - F.col("_n")).alias("_om"))
-    offsets = _join_null_safe(_join_null_safe(off_min, off_day, [key, "_d"]), off_key, [key])
-    offsets = (offsets.select(key, "_d", "_mi", (F.col("_ok") + F.col("_od") + F.col("_om")).alias("_off"))
-                      .repartition(key, "_d", "_mi"))
-    w = Window.partitionBy(key, "_d", "_mi").orderBy(ts, *rest)
+    off_day = c_day.select("_k", "_d", (F.sum("_n").over(
+        Window.partitionBy("_k").orderBy("_d").rowsBetween(upto, 0)) - F.col("_n")).alias("_od"))
+    off_min = c_min.select("_k", "_d", "_mi", (F.sum("_n").over(
+        Window.partitionBy("_k", "_d").orderBy("_mi").rowsBetween(upto, 0)) - F.col("_n")).alias("_om"))
+    offsets = (off_min.join(off_day, ["_k", "_d"]).join(off_key, ["_k"])
+                      .select("_k", "_d", "_mi", (F.col("_ok") + F.col("_od") + F.col("_om")).alias("_off"))
+                      .repartition("_k", "_d", "_mi"))
+    w = Window.partitionBy("_k", "_d", "_mi").orderBy(ts, *rest)
     numbered = x.withColumn("_r", F.row_number().over(w))
-    return (_join_null_safe(numbered, offsets, [key, "_d", "_mi"])
+    return (numbered.join(offsets, ["_k", "_d", "_mi"])
                     .withColumn(name, (F.col("_off") + F.col("_r")).cast("bigint"))
-                    .drop("_d", "_mi", "_r", "_off"))
-
-
-def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Inner equi-join on ``on`` where NULL matches NULL (a NULL key or timestamp keeps its rows)."""
-    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on])
-    cond = None
-    for c in on:
-        e = left[c].eqNullSafe(r[f"_r_{c}"])
-        cond = e if cond is None else cond & e
-    return left.join(r, cond).drop(*[f"_r_{c}" for c in on])
+                    .drop("_k", "_d", "_mi", "_r", "_off"))
 
 
 DAY = "day"

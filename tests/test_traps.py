@@ -124,3 +124,16 @@ def test_temp_jump_year_difference_variant(spark):
     secs = {r.train_id: r.delta_timestamp for r in R.temp_jumps(t).collect()}
     assert secs == {"TRN-1": 60.0, "TRN-2": 120.0}
     assert T0.year == 2024
+
+
+def test_multi_level_lag_null_key_is_a_group(spark):
+    rows = [row(train=None, minutes=m, temp=float(m)) for m in (0, 1, 1500, 3000)]
+    rows += [row(train="A", minutes=m, temp=float(-m)) for m in (0, 2000)]
+    from pyspark.sql import types as T
+    from fleetscope.schema import TELEMETRY
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in TELEMETRY.fields])
+    t = spark.createDataFrame(rows, schema)
+    plain = previous_row(t, "train_id", ["timestamp"], ["temp_celsius"])
+    multi = previous_row(t, "train_id", ["timestamp"], ["temp_celsius"], buckets=("minute", "day"))
+    key = lambda r: (str(r.train_id), r.timestamp)
+    assert sorted(plain.collect(), key=key) == sorted(multi.collect(), key=key)
