@@ -51,13 +51,16 @@ def previous_row(df: DataFrame, key: str | Sequence[str], order: str | Sequence[
     # own (as in a SQL window) while every join stays a plain, co-partitioned equi-join.
     # The keys travel only inside the struct (unpacked at the end), so the lag pass and the
     # boundary pass shuffle identical columns and Spark computes that shuffle once.
+    used = set(order) | set(cols)
+
     def packed(frame: DataFrame) -> DataFrame:
         return frame.select(F.struct(*[F.col(k) for k in keys]).alias("_kk"),
-                            *[c for c in frame.columns if c not in keys])
+                            *[c for c in frame.columns if c not in keys or c in used])
 
     bsrc = packed(boundary_source) if boundary_source is not None else None
     out = _previous(packed(df), ["_kk"], order, cols, list(buckets or []), level=0, boundary_source=bsrc)
-    return out.select(*[F.col("_kk")[c].alias(c) if c in keys else F.col(c) for c in df.columns],
+    return out.select(*[F.col("_kk")[c].alias(c) if c in keys and c not in used else F.col(c)
+                        for c in df.columns],
                       *[F.col(f"_prev_{c}").alias(prefix + c) for c in cols])
 
 
