@@ -116,14 +116,15 @@ def nan_to_null(c: str | Column) -> Column:
 
 
 def hash_unit(key: str | Column, salt: int, modulus: int = 10000) -> Column:
-    """Deterministic pseudo-uniform value in [0, 1) from a non-negative integer key.
+    """Deterministic pseudo-uniform value in [0, 1) from an integer key.
 
-    ``((key % 100003) * 7919 + salt) % modulus / modulus``: independent of
-    partitioning and task retries, so a re-executed task draws the same rows,
-    and expressible in any SQL dialect for the oracle.
+    ``(pmod(key, 100003) * 7919 + salt) % modulus / modulus`` (positive modulo,
+    so negative keys draw in range too): independent of partitioning and task
+    retries, so a re-executed task draws the same rows, and expressible in any
+    SQL dialect for the oracle.
     """
-    k = col_(key).cast("bigint")
-    return (((k % 100003) * 7919 + salt) % modulus) / dbl(modulus)
+    k = F.pmod(col_(key).cast("bigint"), F.lit(100003))
+    return ((k * 7919 + salt) % modulus) / dbl(modulus)
 
 
 def weighted_category(u: Column, values: Sequence[str], probs: Sequence[float],

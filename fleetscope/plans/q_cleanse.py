@@ -30,7 +30,7 @@ COLS = ", ".join(COLUMNS)
 
 def _hu(key: str, salt: int) -> str:
     """SQL twin of ``hash_unit``."""
-    return f"((({key} % 100003) * 7919 + {salt}) % 10000) / 10000e0"
+    return f"((((({key} % 100003) + 100003) % 100003) * 7919 + {salt}) % 10000) / 10000e0"
 
 
 def _ku(key: str, salt: str) -> str:

@@ -39,3 +39,9 @@ def test_config_checks():
     assert offs == {"A": 0.0, "B": -13.33, "C": -26.67, "D": -40.0}
     hours = C.hour_factors(0.8, 1.2, 17)
     assert len(hours) == 24 and all(0.8 <= v < 1.2 for v in hours.values())
+
+
+def test_hash_unit_negative_keys_in_range(spark):
+    df = spark.range(-5000, 0).select(hash_unit("id", 11).alias("u"))
+    lo, hi = df.agg(F.min("u"), F.max("u")).first()
+    assert 0.0 <= lo and hi < 1.0
