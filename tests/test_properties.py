@@ -66,3 +66,38 @@ def test_canonical_equals_variant_on_clean_data(spark, rs):
     a = {r[0]: r[1] for r in R.segment_blackout(df).collect()}
     b = {r[0]: r[1] for r in R.segment_blackout(df, mode=R.RAW).collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) <= 1e-4 for k in a)
+
+
+keyed_times = st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["A", "B", "C", "D"])),
+                                 st.integers(0, 3 * 24 * 60 * 60)),
+                       min_size=1, max_size=40, unique=True)
+
+
+@SETTINGS
+@given(keyed_times)
+def test_surrogate_id_equals_global_row_number(spark, pairs):
+    from pyspark.sql import Window
+    from fleetscope.sources.ingest import surrogate_id
+    df = spark.createDataFrame(pairs, "k string, s int").select(
+        "k", F.timestamp_add("SECOND", F.col("s"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("ts"))
+    got = sorted(map(tuple, surrogate_id(df, ["k", "ts"]).collect()), key=str)
+    want = df.withColumn("id", F.row_number().over(Window.orderBy("k", "ts")).cast("bigint"))
+    assert got == sorted(map(tuple, want.collect()), key=str)
+
+
+lag_rows = st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["A", "B"])),
+                              st.integers(0, 3 * 24 * 60 * 60),
+                              st.one_of(st.none(), st.floats(-50, 50, allow_nan=False))),
+                    min_size=1, max_size=40, unique_by=lambda r: (r[0], r[1]))
+
+
+@SETTINGS
+@given(lag_rows)
+def test_multi_level_lag_equals_plain(spark, rs):
+    from fleetscope.operators.lag import previous_row
+    df = spark.createDataFrame(rs, "k string, s int, v double").select(
+        "k", F.timestamp_add("SECOND", F.col("s"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("ts"),
+        "v")
+    plain = previous_row(df, "k", ["ts"], ["v", "ts"])
+    multi = previous_row(df, "k", ["ts"], ["v", "ts"], buckets=("minute", "day"))
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, multi.collect()), key=str)
