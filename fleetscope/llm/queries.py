@@ -3,12 +3,23 @@
 from __future__ import annotations
 
 from .decontam import OP5_SQL, op5_benchmark_decontamination
+from .htmltext import op2_tag_path_ratios
+from .linededup import OP9_SQL, op9_line_hashing
+from .permindex import op10_permutation_index
+from .quality import op7_rule_ensemble
 from .sharding import op8_bin_packing_shards
+from .tokenbin import op4_bit_packed_ids
 
 QUERIES = {
+    "op2_tag_path_ratios": op2_tag_path_ratios,
+    "op4_bit_packed_ids": op4_bit_packed_ids,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op7_rule_ensemble": op7_rule_ensemble,
     "op8_bin_packing_shards": op8_bin_packing_shards,
+    "op9_line_hashing": op9_line_hashing,
+    "op10_permutation_index": op10_permutation_index,
 }
 ORACLE = {
     "op5_benchmark_decontamination": OP5_SQL,
+    "op9_line_hashing": OP9_SQL,
 }
