@@ -1,23 +1,28 @@
 """Command-line entry points (one Spark job each).
 
-  python -m fleetscope load    SOURCE TABLE [--format parquet|csv]
+  python -m fleetscope load    SOURCE TABLE [--format parquet|csv] [--newest STEM]
   python -m fleetscope reports TABLE OUT_DIR [--mode canonical|raw]
-  python -m fleetscope mart    SOURCE OUT [--partition-by-date]
+  python -m fleetscope mart    SOURCE OUT --scratch DIR [--newest STEM] [--partition-by-date]
 
 ``load`` appends new (train_id, timestamp) keys of SOURCE to the day-partitioned
-Parquet TABLE (idempotent); ``reports`` runs the eleven reports over TABLE and
-writes one CSV per non-empty report plus a manifest; ``mart`` builds the BI mart
-from raw telemetry and writes it clustered by (DateKey, train_id, TimeKey).
+Parquet TABLE (idempotent) and prints what it read; ``reports`` runs the eleven
+reports over TABLE and writes one CSV per non-empty report plus a manifest;
+``mart`` builds the BI mart from raw telemetry and writes it clustered by
+(DateKey, train_id, TimeKey).  With ``--newest`` SOURCE is a folder and its
+newest snapshot STEM*.parquet, else STEM*.csv, is read.  ``mart`` keeps the
+unique rows in a new folder under DIR while it runs and removes it.
 The master and resources come from ``spark-submit``.
 """
 
 from __future__ import annotations
 
 import argparse
+import uuid
 
 from pyspark.sql import functions as F
 
 from fleetscope.session import get_session
+from fleetscope.sources import files as IO
 
 
 def main(argv=None) -> None:
@@ -27,6 +32,7 @@ def main(argv=None) -> None:
     a.add_argument("source")
     a.add_argument("table")
     a.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    a.add_argument("--newest", metavar="STEM")
     r = sub.add_parser("reports")
     r.add_argument("table")
     r.add_argument("out_dir")
@@ -34,13 +40,21 @@ def main(argv=None) -> None:
     m = sub.add_parser("mart")
     m.add_argument("source")
     m.add_argument("out")
+    m.add_argument("--scratch", required=True)
+    m.add_argument("--newest", metavar="STEM")
     m.add_argument("--partition-by-date", action="store_true")
     args = ap.parse_args(argv)
 
     spark = get_session()
+    source, fmt = getattr(args, "source", None), getattr(args, "format", "parquet")
+    if getattr(args, "newest", None):
+        found = [(p, f) for f in ("parquet", "csv") if (p := IO.newest_path(spark, source, args.newest, f".{f}"))]
+        if not found:
+            raise FileNotFoundError(f"no {args.newest}*.parquet or {args.newest}*.csv in {source}")
+        source, fmt = found[0]
     if args.cmd == "load":
         from fleetscope.sources.ingest import load_files
-        load_files(spark, args.source, args.table, fmt=args.format)
+        print(load_files(spark, source, args.table, fmt=fmt))
     elif args.cmd == "reports":
         from fleetscope.plans.manifest import run_reports
         from fleetscope.sources.files import write_csv
@@ -49,12 +63,20 @@ def main(argv=None) -> None:
         write_csv(manifest.coalesce(1), f"{args.out_dir.rstrip('/')}/_manifest")
     elif args.cmd == "mart":
         from fleetscope.plans import mart as M
-        from fleetscope.plans.reports import SKEW_BUCKETS
+        from fleetscope.schema import TELEMETRY
         # the first copy of a key in file arrival order survives the de-duplication
-        raw = spark.read.parquet(args.source).withColumn("_arrival", F.struct(
-            F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"),
-            F.col("_metadata.row_index")))
-        M.write_mart(M.bi_mart(raw, order=["_arrival"], buckets=SKEW_BUCKETS), args.out, args.partition_by_date)
+        file = [F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("path")]
+        if fmt == "csv":
+            place = F.struct(*file, F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+            raw = IO.read_csv(spark, source, TELEMETRY, tag=place.alias("_arrival"))
+        else:
+            raw = spark.read.parquet(source).withColumn("_arrival", F.struct(*file, F.col("_metadata.row_index").alias("row")))
+        kept = f"{args.scratch.rstrip('/')}/mart-{uuid.uuid4().hex}"
+        try:
+            IO.write_parquet(M.unique_rows(raw, order=["_arrival"]), kept)
+            M.write_mart(M.bi_mart(IO.read_parquet(spark, kept)), args.out, args.partition_by_date)
+        finally:
+            IO.remove_path(spark, kept)
 
 
 if __name__ == "__main__":

@@ -50,22 +50,20 @@ def get_session(master: str | None = None, app: str = "fleetscope",
 
 
 def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.3,
-               target_partition_bytes: int = 256 << 20, max_shuffle_partitions: int = 100_000) -> dict:
+               target_partition_bytes: int = 256 << 20) -> dict:
     """Scan and shuffle sizing for a job reading ``input_bytes`` on ``total_cores`` cores.
 
     * scan splits of ``target_partition_bytes`` (Parquet row groups permitting);
     * shuffle partitions so that the largest shuffle -- assumed to be
       ``shuffle_fraction`` of the input after column pruning -- gives about one
-      target-sized partition each (at least two waves of tasks, at most
-      ``max_shuffle_partitions`` to keep the map x reduce block count sane);
-      AQE then coalesces small ones to the advisory size;
+      target-sized partition each (at least two waves of tasks); AQE then
+      coalesces small ones to the advisory size, at every size alike;
     * skew splitting above 4x the target, and a checked 64 MB broadcast bound.
-    E.g. 100 TB on 1000 executors x 8 cores -> 100 000 shuffle partitions of ~300 MB.
+    E.g. 100 TB on 1000 executors x 8 cores -> 111 759 shuffle partitions of 256 MB.
     """
     shuffle_bytes = int(input_bytes * shuffle_fraction)
     n = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
-    n = min(n, max_shuffle_partitions)
-    conf = {
+    return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
@@ -73,11 +71,6 @@ def scale_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.3
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     }
-    if n > 2 * total_cores:
-        # data-sized partitions: coalesce to the advisory size instead of keeping
-        # many tiny tasks (the busy-cluster setting; no gain at test sizes)
-        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
-    return conf
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

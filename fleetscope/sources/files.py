@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -52,45 +53,81 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
        .csv(path))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and a declared schema (never inferred): one pass, typed."""
-    return (spark.read.schema(schema).option("header", True)
-            .option("timestampNTZFormat", TS_TEXT).option("timestampFormat", TS_TEXT)
-            .option("mode", "PERMISSIVE").csv(path))
+CORRUPT = "_corrupt_record"
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, corrupt: bool = False,
+             tag: Column | None = None) -> DataFrame:
+    """CSV with a header, read by column name into ``schema`` (declared, never inferred).
+
+    The columns may stand in any order and others are ignored; a missing one
+    is an error, and so are files of one path whose headers differ.  A row that
+    does not fit the types is kept with NULLs; with ``corrupt`` its text is in
+    ``_corrupt_record`` (NULL for sound rows), so a caller can count it; a row is
+    found corrupt in the columns that a query reads.  ``tag``
+    is one more column, which may use the scan's ``_metadata``.
+    """
+    base = (spark.read.option("header", True).option("timestampNTZFormat", TS_TEXT).option("timestampFormat", TS_TEXT))
+    names = base.option("inferSchema", False).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
+    known = {f.name: f.dataType for f in schema.fields}
+    declared = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
+    if corrupt:
+        declared = declared.add(CORRUPT, T.StringType())
+    df = (base.schema(declared).option("enforceSchema", False).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    return df.select(*schema.fieldNames(), *([CORRUPT] if corrupt else []), *([tag] if tag is not None else []))
 
 
 def read_report_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """A report written by ``write_csv``; None when it is missing or has no rows."""
     try:
         df = read_csv(spark, path, schema)
-    except AnalysisException:  # missing path
+    except (AnalysisException, ValueError):  # missing path, or a file without a header
         return None
     return None if df.isEmpty() else df
 
 
-def latest_snapshot(spark: SparkSession, pattern: str, fmt: str = "parquet",
-                    schema: T.StructType | None = None) -> DataFrame:
-    """Rows of the most recently modified file matching ``pattern``.
+def newest_path(spark: SparkSession, folder: str, stem: str, suffix: str) -> str | None:
+    """The newest snapshot ``folder/stem*suffix``: one file, or one folder of part files.
 
-    Uses the scan's ``_metadata.file_modification_time``: the newest time is
-    a scalar subquery, and the filter on the metadata column lets Spark skip
-    the data of every older file.
+    Lists files only (the content column of the scan is pruned away).  A folder
+    counts with its newest file, and a snapshot without rows counts like any
+    other; of equally new ones the last by name is taken.
     """
-    r = spark.read.format(fmt)
-    if schema is not None:
-        r = r.schema(schema)
-    if fmt == "csv":
-        r = r.option("header", True).option("timestampNTZFormat", TS_TEXT)
-    df = r.load(pattern)
-    cols = df.columns
-    tagged = df.select("*", F.col("_metadata.file_modification_time").alias("_mtime"))
-    newest = tagged.agg(F.max("_mtime")).scalar()
-    return tagged.filter(F.col("_mtime") == newest).select(*cols)
+    folder = folder.rstrip("/")
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                 .load(f"{folder}/{stem}*{suffix}").select("path", "modificationTime"))
+    except AnalysisException:  # nothing matches
+        return None
+    base = folder.rsplit("/", 1)[-1]
+    below = F.substring_index(F.col("path"), f"/{base}/{stem}", -1)
+    name = F.concat(F.lit(stem), F.regexp_extract(below, f"^(.*?{re.escape(suffix)})(/|$)", 1))
+    found = (files.groupBy(name.alias("name")).agg(F.max("modificationTime").alias("at"))
+             .orderBy(F.desc("at"), F.desc("name")).first())
+    return f"{folder}/{found['name']}" if found else None
 
 
 def latest_of(spark: SparkSession, folder: str, stem: str, schema: T.StructType | None = None) -> DataFrame:
-    """Newest ``stem*.parquet`` in ``folder``; falls back to ``stem*.csv`` when there is none."""
-    try:
-        return latest_snapshot(spark, f"{folder.rstrip('/')}/{stem}*.parquet", "parquet")
-    except AnalysisException:  # no Parquet snapshot matches: use the CSV twin
-        return latest_snapshot(spark, f"{folder.rstrip('/')}/{stem}*.csv", "csv", schema)
+    """All rows of the newest ``stem*.parquet`` in ``folder``; of the newest ``stem*.csv`` when there is none.
+
+    Only the chosen snapshot is read.  A CSV is read by its header into
+    ``schema``.  Raises FileNotFoundError when nothing matches.
+    """
+    if path := newest_path(spark, folder, stem, ".parquet"):
+        return spark.read.parquet(path)
+    if path := newest_path(spark, folder, stem, ".csv"):
+        if schema is None:
+            raise ValueError("a CSV snapshot needs a schema")
+        return read_csv(spark, path, schema)
+    raise FileNotFoundError(f"no {stem}*.parquet or {stem}*.csv in {folder}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this job wrote, through the file system that Spark uses for it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).delete(p, True)

@@ -21,6 +21,8 @@ EVENTS_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
 ])
 SCHEMAS = {"events": EVENTS_SCHEMA}
+# What raw_telemetry has beside the telemetry columns: the arrival order.
+RAW_EXTRA = T.StructType([T.StructField("event_id", T.LongType())])
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fleetscope.functions.expr import nan_to_null
 from fleetscope.operators.dedup import keep_first
 from fleetscope.schema import COLUMNS, DOUBLE_COLUMNS, KEYS, TELEMETRY
+from fleetscope.sources.files import CORRUPT, read_csv
 
 
 def conform_schema(df: DataFrame, schema=TELEMETRY, strict: bool = False,
@@ -41,30 +42,30 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str] =
                      columns: Sequence[str] = COLUMNS) -> DataFrame:
     """The table after appending ``batch`` with INSERT-OR-IGNORE semantics.
 
-    Within the batch the first row (by ``order``) of a key wins; a key already
-    in ``target`` keeps the stored row (first writer wins); rows with a NULL
-    key are skipped.  The batch de-duplication and the anti join share the
-    hash partitioning on ``keys``, so the batch is shuffled once.
-    Returns ``target ∪ new rows`` projected to ``columns``.  For a large
-    stored table use ``append_if_absent``, which reads only the partitions
-    (days) the batch touches instead of all stored keys.
+    Stored rows rank before the batch and the batch is ranked by ``order``;
+    the first row of each key is kept.  So a stored key keeps its row, the
+    first copy in the batch wins otherwise, and rows with a NULL key are
+    skipped.  One shuffle on ``keys`` (with a partial limit before it) and no
+    join.  For a large stored table use ``append_if_absent``, which reads only
+    the days that the batch touches.
     """
-    fresh = keep_first(batch, list(keys), list(order))
-    new = fresh.join(target.select(*keys), list(keys), "left_anti")
-    return target.select(*columns).unionByName(new.select(*columns))
+    ranks = [F.col(o) if isinstance(o, str) else o for o in order]
+    old = target.select(*columns, F.lit(0).alias("_src"))
+    new = batch.select(*columns, F.lit(1).alias("_src"), F.struct(*ranks).alias("_ord"))
+    old = old.withColumn("_ord", F.lit(None).cast(new.schema["_ord"].dataType))
+    return keep_first(old.unionByName(new), list(keys), ["_src", "_ord"]).select(*columns)
 
 
-def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str] = KEYS,
-             order: Sequence[str | Column] = ("event_id",), columns: Sequence[str] = COLUMNS) -> DataFrame:
-    """Only the rows ``insert_if_absent`` would append (for an append-mode write)."""
-    fresh = keep_first(batch, list(keys), list(order))
-    return fresh.join(target.select(*keys), list(keys), "left_anti").select(*columns)
+# Bounds of the sampled key ranges in surrogate_id.
+KEY_RANGES = 1000
 
 
-def surrogate_id(df: DataFrame, order: Sequence[str], name: str = "id") -> DataFrame:
-    """Dense 1..n ids in ``order`` = (key, timestamp[, tie-breaks...]), without a global sort.
+def surrogate_id(df: DataFrame, order: Sequence[str], name: str = "id", start: int = 0) -> DataFrame:
+    """Dense ids from ``start`` + 1 in ``order`` = (key, timestamp[, tie-breaks...]), without a global sort.
 
-    id = (rows of smaller keys) + (rows of the same key on earlier days)
+    ``start`` is the largest id in use, so that ids continue over loads.
+
+    id = start + (rows of smaller keys) + (rows of the same key on earlier days)
        + (rows of that day in earlier minutes) + (position within the minute).
     The three offsets come from count tables (per key / key-day / key-minute,
     each partially aggregated and far smaller than the rows) and are folded
@@ -72,8 +73,9 @@ def surrogate_id(df: DataFrame, order: Sequence[str], name: str = "id") -> DataF
     (key, day, minute), where the position is numbered and the offset joined.
     No range sampling is involved, so the ids are the same on every re-run
     (given a unique ``order``), and no window holds more than one minute of
-    one key -- except the running total over the distinct keys, which has one
-    row per key.
+    one key.  The running total over the distinct keys is split too: sampled
+    keys (at most ``KEY_RANGES``) part the key space, totals run inside a
+    range, and one window adds up the ranges.
     """
     key, ts, rest = order[0], order[1], list(order[2:])
     # struct key (NULL = NULL inside a struct) and sentinel buckets for NULL timestamps keep
@@ -87,8 +89,16 @@ def surrogate_id(df: DataFrame, order: Sequence[str], name: str = "id") -> DataF
     c_day = c_min.groupBy("_k", "_d").agg(F.sum("_n").alias("_n"))
     c_key = c_day.groupBy("_k").agg(F.sum("_n").alias("_n"))
     upto = Window.unboundedPreceding
-    off_key = c_key.select("_k", (F.sum("_n").over(Window.orderBy("_k").rowsBetween(upto, 0)) - F.col("_n"))
-                           .alias("_ok"))
+    sample = c_key.orderBy(F.xxhash64("_k"), "_k").limit(KEY_RANGES).select(F.col("_k")[key].alias("k")).collect()
+    bounds = sorted(r["k"] for r in sample if r["k"] is not None)
+    typ = df.schema[key].dataType
+    at = F.size(F.filter(F.array(*[F.lit(x).cast(typ) for x in bounds]), lambda x: x <= F.col("_k")[key])) if bounds else F.lit(0)
+    c_key = c_key.withColumn("_g", F.when(F.col("_k")[key].isNull(), F.lit(-1)).otherwise(at))
+    ranges = c_key.groupBy("_g").agg(F.sum("_n").alias("_n"))                      # at most KEY_RANGES + 2 rows
+    ranges = ranges.select("_g", (F.sum("_n").over(Window.orderBy("_g").rowsBetween(upto, 0)) - F.col("_n")).alias("_og"))
+    inside = F.sum("_n").over(Window.partitionBy("_g").orderBy("_k").rowsBetween(upto, 0)) - F.col("_n")
+    off_key = (c_key.withColumn("_ok", inside).join(F.broadcast(ranges), "_g")
+                    .select("_k", (F.col("_ok") + F.col("_og")).alias("_ok")))
     off_day = c_day.select("_k", "_d", (F.sum("_n").over(
         Window.partitionBy("_k").orderBy("_d").rowsBetween(upto, 0)) - F.col("_n")).alias("_od"))
     off_min = c_min.select("_k", "_d", "_mi", (F.sum("_n").over(
@@ -99,11 +109,12 @@ def surrogate_id(df: DataFrame, order: Sequence[str], name: str = "id") -> DataF
     w = Window.partitionBy("_k", "_d", "_mi").orderBy(ts, *rest)
     numbered = x.withColumn("_r", F.row_number().over(w))
     return (numbered.join(offsets, ["_k", "_d", "_mi"])
-                    .withColumn(name, (F.col("_off") + F.col("_r")).cast("bigint"))
+                    .withColumn(name, (F.lit(start) + F.col("_off") + F.col("_r")).cast("bigint"))
                     .drop("_k", "_d", "_mi", "_r", "_off"))
 
 
 DAY = "day"
+ARRIVAL = "_arrival"
 
 
 def append_if_absent(batch: DataFrame, table_path: str, keys: Sequence[str] = KEYS,
@@ -112,44 +123,60 @@ def append_if_absent(batch: DataFrame, table_path: str, keys: Sequence[str] = KE
     """Append ``batch`` to the day-partitioned Parquet table at ``table_path``, INSERT-OR-IGNORE style.
 
     The batch is de-duplicated (first ``order`` wins), its keys are checked
-    against the stored keys of the *same days only* (a semi join on the
-    ``day`` partition column, so only those partitions are read) and the new
-    rows are appended.  Re-running the same batch after a failure appends
-    nothing twice: the step is idempotent.
+    against the stored keys of its days and the new rows are appended.  The
+    first and last day of the batch are one small aggregate over the
+    timestamps; as literals on the partition column they leave only those
+    days' files in the scan.  Re-running the same batch after a failure
+    appends nothing twice: the step is idempotent.
     """
     spark = batch.sparkSession
     fresh = keep_first(batch, list(keys), list(order)).withColumn(DAY, F.to_date(ts))
     out = fresh.select(*columns, DAY)
     ensure_table(spark, table_path, out.schema)
-    stored = spark.read.schema(out.schema).parquet(table_path)
-    days = fresh.select(DAY).distinct()
-    stored = stored.join(days, DAY, "left_semi").select(*keys, DAY)
+    days = batch.agg(F.to_date(F.min(ts)).alias("first"), F.to_date(F.max(ts)).alias("last")).first()
+    if days["first"] is None:
+        return
+    stored = stored_between(spark, table_path, out.schema, days["first"], days["last"]).select(*keys, DAY)
     new = out.join(stored, [*keys, DAY], "left_anti")
     new.write.mode("append").partitionBy(DAY).parquet(table_path)
 
 
+def stored_between(spark, table_path: str, schema, first, last) -> DataFrame:
+    """The stored rows of the days from ``first`` to ``last``; other days' files are not listed as splits."""
+    return spark.read.schema(schema).parquet(table_path).filter(F.col(DAY).between(F.lit(first), F.lit(last)))
+
+
 def ensure_table(spark, table_path: str, schema) -> None:
     """Create an empty day-partitioned table at ``table_path`` if there is none (idempotent)."""
     (spark.createDataFrame([], schema).write.mode("append").partitionBy(DAY).parquet(table_path))
 
 
 def load_files(spark, source: str, table_path: str, fmt: str = "parquet", schema=None,
-               order: Sequence[str | Column] | None = None) -> None:
+               order: Sequence[str | Column] | None = None) -> dict:
     """The load job: read a telemetry file set, conform it, NaN -> NULL, append new keys.
 
     Without an explicit ``order``, the first copy of a key in arrival order
-    wins: (file time, file path, row index in the file) for Parquet, as the
-    rows were written; for CSV (no row index) the lowest row by all payload
-    columns, which is still the same on every retry.
+    wins: file time, file path, then the place in the file.  Returns what was
+    read: ``rows``, ``corrupt`` (rows that do not fit the types, CSV only) and
+    ``null_keys``; neither of the latter is loaded.
     """
-    r = spark.read.format(fmt)
+    schema = schema or TELEMETRY
+    file = [F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("path")]
     if fmt == "csv":
-        r = r.option("header", True).schema(schema or TELEMETRY)
-    raw = r.load(source)
-    keep: list[str] = []
-    if order is None and fmt == "parquet":
-        raw = raw.withColumn("_arrival", F.struct(F.col("_metadata.file_modification_time"),
-                                                  F.col("_metadata.file_path"), F.col("_metadata.row_index")))
-        keep, order = ["_arrival"], ["_arrival"]
-    batch = normalise_nans(conform_schema(raw, keep=keep))
-    append_if_absent(batch, table_path, order=list(order or [c for c in COLUMNS if c not in KEYS]))
+        # no row index in text files: the split's offset, then the order in which the split is read
+        place = [F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")]
+        raw = read_csv(spark, source, schema, corrupt=True, tag=F.struct(*file, *place).alias(ARRIVAL))
+    else:
+        place = [F.col("_metadata.row_index").alias("row")]
+        raw = spark.read.format(fmt).load(source).select("*", F.struct(*file, *place).alias(ARRIVAL), F.lit(None).alias(CORRUPT))
+    required = [f.name for f in schema.fields if not f.nullable]
+    no_key = F.greatest(*[F.col(c).isNull() for c in required]) if len(required) > 1 else F.col(required[0]).isNull()
+    seen = raw.agg(F.count(F.lit(1)).alias("rows"), F.count(CORRUPT).alias("corrupt"),
+                   F.count_if(F.col(CORRUPT).isNull() & no_key).alias("null_keys"),
+                   # reads every column, as the load does: text is parsed only where it is read
+                   F.bit_xor(F.xxhash64(*schema.fieldNames())).alias("_read")).first().asDict()
+    seen.pop("_read")
+    sound = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    batch = normalise_nans(conform_schema(sound, keep=[ARRIVAL]))
+    append_if_absent(batch, table_path, order=list(order or [ARRIVAL]))
+    return seen

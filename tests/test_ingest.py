@@ -57,7 +57,7 @@ def test_conform_and_nan(spark):
 def test_scale_conf_sizes():
     from fleetscope.session import scale_conf
     big = scale_conf(100 * 10**12, 8000)
-    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(big["spark.sql.shuffle.partitions"]) == 111_759
     small = scale_conf(10 * 2**20, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
 
@@ -70,7 +70,7 @@ def test_cleansing_preserves_rows(spark):
         lambda d: C.clip_columns(d, {"temp_celsius": (0.0, 120.0)}),
         lambda d: C.scale_by_key(d, "speed_kmh", "train_id", 0.7, 1.3, "s"),
         lambda d: C.scale_by_hour(d, "speed_kmh", C.hour_factors(0.8, 1.2, 1)),
-        lambda d: C.offset_by_segment(d, "signal_strength_dbm", C.segment_offsets(["SEG-A", "SEG-B"])),
+        lambda d: C.offset_by_segment(d, "signal_strength_dbm", {"SEG-A": 0.0, "SEG-B": -10.0}),
         lambda d: C.overwrite_fraction(d, "temp_celsius", None, 0.5, "event_id", 3),
         lambda d: C.overwrite_fraction(d, "temp_celsius", 999.0, 0.5, "event_id", 4),
     ]
@@ -95,8 +95,9 @@ def test_cli_load_reports_mart_end_to_end(spark, tmp_path):
     main(["reports", table, str(tmp_path / "reports")])
     man = spark.read.option("header", True).csv(str(tmp_path / "reports" / "_manifest")).collect()
     assert len(man) == 11 and all(r.status in ("ok", "empty") for r in man)
-    main(["mart", src, str(tmp_path / "mart")])
+    main(["mart", src, str(tmp_path / "mart"), "--scratch", str(tmp_path / "scratch")])
     assert spark.read.parquet(str(tmp_path / "mart")).count() == 1000
+    assert not list((tmp_path / "scratch").iterdir())  # the job removes what it kept
 
 
 def test_load_keeps_first_copy_in_file_order(spark, tmp_path):
@@ -118,3 +119,56 @@ def test_surrogate_ids_keep_null_keys(spark):
     out = surrogate_id(df.select("k", "ts"), ["k", "ts"])
     want = df.select("k", "ts").withColumn("id", F.row_number().over(Window.orderBy("k", "ts")).cast("bigint"))
     assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_load_raw_csv_in_another_column_order(spark, tmp_path):
+    """15 columns, other order: all rows load; corrupt and keyless rows are counted; the first row of a key stays."""
+    from fleetscope.sources.ingest import load_files
+    src = tmp_path / "raw.csv"
+    head = "cell_tower_id,hour_noise,train_id,timestamp,temp_celsius,status,speed_kmh,latitude,longitude,signal_strength_dbm,"
+    head += "power_consumption_kw,network_type,line_segment,speed_modifier,signal_malus"
+    line = "TWR-1,1.0,{},{},{},OK,100.0,45.0,9.0,-70.0,500.0,4G,SEG-A,1.0,0.0"
+    rows = [line.format("A", "2024-01-01 08:00:00", "90.0"), line.format("A", "2024-01-01 08:00:00", "10.0"),
+            line.format("B", "2024-01-02 08:00:00", "20.0"), line.format("C", "2024-01-02 08:00:00", "warm"),
+            line.format("", "2024-01-02 09:00:00", "20.0")]
+    src.write_text("\n".join([head, *rows]) + "\n")
+    for _ in range(2):
+        seen = load_files(spark, str(src), str(tmp_path / "t"), fmt="csv")
+        assert seen == {"rows": 5, "corrupt": 1, "null_keys": 1}
+    got = {r.train_id: (r.temp_celsius, r.cell_tower_id) for r in spark.read.parquet(str(tmp_path / "t")).collect()}
+    assert got == {"A": (90.0, "TWR-1"), "B": (20.0, "TWR-1")}
+
+
+def test_csv_without_a_column_is_an_error(spark, tmp_path):
+    import pytest
+
+    from fleetscope.schema import TELEMETRY
+    from fleetscope.sources.files import read_csv
+    (tmp_path / "x.csv").write_text("train_id,timestamp\nA,2024-01-01 08:00:00\n")
+    with pytest.raises(ValueError, match="temp_celsius"):
+        read_csv(spark, str(tmp_path / "x.csv"), TELEMETRY)
+
+
+def test_ids_continue_from_the_stored_maximum(spark):
+    df = frame(spark, [row(train="A"), row(train="B")])
+    assert sorted(r.id for r in surrogate_id(df, ["train_id", "timestamp"], start=40).collect()) == [41, 42]
+
+
+def test_sample_is_exact_with_few_and_many_hash_buckets(spark):
+    from fleetscope.operators import cleanse as C
+    df = spark.range(20_000)
+    for frac in (0.0, 0.0001, 0.05, 0.5, 1.0):
+        got = C.sample_exact(df, frac, "id", "s", ["id"])
+        want = {r[0] for r in df.orderBy(C.row_hash("id", "s"), "id").limit(round(20_000 * frac)).collect()}
+        assert {r.id for r in got.collect()} == want and got.count() == len(want)
+
+
+def test_cli_newest_snapshot(spark, tmp_path):
+    from fleetscope.__main__ import main
+    folder = tmp_path / "data"
+    frame(spark, [row(train="OLD")]).write.parquet(str(folder / "telemetry_b.parquet"))
+    frame(spark, [row(train=f"T{i}") for i in range(9)]).repartition(3).write.parquet(str(folder / "telemetry_a.parquet"))
+    main(["load", str(folder), str(tmp_path / "t"), "--newest", "telemetry"])
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 9
+    main(["mart", str(folder), str(tmp_path / "m"), "--newest", "telemetry", "--scratch", str(tmp_path / "s")])
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 9

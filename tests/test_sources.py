@@ -55,7 +55,7 @@ def test_mart_write_is_clustered_and_prunable(spark, tmp_path):
     from fleetscope.plans import mart as M
     from fleetscope.sources.fixture import raw_telemetry
     out = str(tmp_path / "mart")
-    M.write_mart(M.bi_mart(raw_telemetry(spark, SF)), out, partition_by_date=True)
+    M.write_mart(M.bi_mart(M.unique_rows(raw_telemetry(spark, SF))), out, partition_by_date=True)
     back = spark.read.parquet(out)
     day = back.select(F.min("DateKey")).first()[0]
     q = back.filter(F.col("DateKey") == day)
@@ -70,3 +70,10 @@ def test_mart_write_is_clustered_and_prunable(spark, tmp_path):
         by_file.setdefault(r.f, []).append((r.train_id, r.TimeKey))
     for f, seq in by_file.items():
         assert seq == sorted(seq), f
+
+
+def test_latest_snapshot_without_rows_is_taken_whole(spark, tmp_path):
+    t = train_telemetry(spark, SF).select(*COLUMNS)
+    t.write.parquet(str(tmp_path / "telemetry_old.parquet"))
+    t.limit(0).write.parquet(str(tmp_path / "telemetry_new.parquet"))
+    assert latest_of(spark, str(tmp_path), "telemetry").count() == 0
