@@ -1,9 +1,10 @@
-"""Previous-row values per key (offset-1 LAG), optionally multi-level for skew.
+"""Previous-row values per key (offset-1 LAG), by levels of time, so that no key is one task.
 
 A plain ``lag`` over ``partitionBy(key)`` sorts all rows of one key in one
 task: a train or tower carrying a third of the table would serialise the job.
-With ``buckets`` (``date_trunc`` units of the leading order column, finest
-first, e.g. ``("minute", "day")``) the lag runs per (key, finest bucket).
+By default the lag runs per (key, day): ``buckets`` are ``date_trunc`` units of
+the leading order column, finest first; ``("minute", "day")`` suits dense data
+and ``()`` is the plain lag, for a key column known to be fine.
 The first row of a bucket then needs the last row of the previous non-empty
 bucket of the same key: the last row of every (key, bucket) forms a boundary
 table (read off the same window pass), and *its* previous row per key is
@@ -23,6 +24,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# One level: the rows are shuffled once, on (key, day), and the boundary table has a row per key and day.
+DAY_BUCKETS = ("day",)
+
+
 def _first_bucket() -> Column:
     """Bucket of NULL timestamps: earlier than any real one (a real year-1 reading may share it:
     harmless, the rows inside a bucket are still ordered by their own timestamps, NULLs first)."""
@@ -35,12 +40,12 @@ def _as_list(x) -> list:
 
 def previous_row(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
                  cols: Sequence[str], prefix: str = "previous_",
-                 buckets: Sequence[str] | None = None,
+                 buckets: Sequence[str] = DAY_BUCKETS,
                  boundary_source: DataFrame | None = None) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same ``key``.
 
     ``order`` (ascending) should be unique within a key for a deterministic
-    answer; its first column must be a timestamp when ``buckets`` is given.
+    answer; its first column must be a timestamp unless ``buckets`` is empty.
     Previous *row*, not previous non-NULL value.
     ``boundary_source``: a cheaper frame with the same rows (e.g. the stored
     table ``df`` was derived from) to read the bucket boundaries from, so the
@@ -99,16 +104,3 @@ def _previous(df: DataFrame, keys: list, order: list, cols: list, units: list, l
     out = out.withColumns({
         f"_prev_{c}": F.when(F.col(rn) == 1, F.col(carry)[c]).otherwise(F.col(f"_prev_{c}")) for c in cols})
     return out.drop(b, rn, cnt, carry)
-
-
-def delta_previous(df: DataFrame, key, order, col: str, name: str, absolute: bool = False,
-                   digits: int | None = None, buckets: Sequence[str] | None = None) -> DataFrame:
-    """``col - previous col`` per key (optionally absolute and rounded)."""
-    tmp = f"_prevd_{col}"
-    out = previous_row(df, key, order, [col], prefix="_prevd_", buckets=buckets)
-    d = F.col(col) - F.col(tmp)
-    if absolute:
-        d = F.abs(d)
-    if digits is not None:
-        d = F.round(d, digits)
-    return out.withColumn(name, d).drop(tmp)

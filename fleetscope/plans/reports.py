@@ -8,8 +8,9 @@ speed bands present.  Every threshold is a keyword argument with the
 original default.  Ties at a LIMIT are broken on the key columns so the
 answer is deterministic.
 
-``buckets`` (window reports) switches to the multi-level previous-row lag
-(see ``operators.lag``); the answer is the same.
+``buckets`` (window reports): the levels of the previous-row lag (see
+``operators.lag``); the answer is the same for any.  Values that the original
+leaves unrounded are unrounded; ``digits`` / ``sum_digits`` round them.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from fleetscope.functions.expr import (blackout, hour_int, round_to, safe_div,
                                        seconds_between, speed_band)
 from fleetscope.operators.aggregate import (contrast, delta_from_baseline, flag_rate,
                                             ratio_of_sums, top_k)
-from fleetscope.operators.lag import previous_row
+from fleetscope.operators.lag import DAY_BUCKETS, previous_row
 from fleetscope.schema import SPEED_LABELS
 
 CANONICAL, RAW = "canonical", "raw"
@@ -40,13 +41,8 @@ def _two_digit(c: str) -> Column:
     return F.lpad(F.col(c).cast("string"), 2, "0")
 
 
-# Time buckets of the multi-level previous-row lag (finest first): a window
-# then never holds more than one minute of one train or tower.
-SKEW_BUCKETS = ("minute", "day")
-
-
 # R1 -------------------------------------------------------------------------
-def hourly_speed(t: DataFrame, mode: str = CANONICAL, digits: int | None = 6) -> DataFrame:
+def hourly_speed(t: DataFrame, mode: str = CANONICAL, digits: int | None = None) -> DataFrame:
     """Average speed per hour of day (text 'HH'; int hour in raw mode)."""
     raw = _check(mode)
     agg = t.groupBy(hour_int().alias("hour")).agg(round_to(F.avg("speed_kmh"), digits).alias("avg_speed_kmh"))
@@ -63,7 +59,7 @@ def top_critical(t: DataFrame, mode: str = CANONICAL, k: int = 10, status: str =
 
 
 # R3 -------------------------------------------------------------------------
-def signal_by_speed_band(t: DataFrame, mode: str = CANONICAL, digits: int | None = 6) -> DataFrame:
+def signal_by_speed_band(t: DataFrame, mode: str = CANONICAL, digits: int | None = None) -> DataFrame:
     """Average signal per speed band.
 
     canonical: NULL speed falls into the last band, empty bands are absent.
@@ -83,7 +79,7 @@ def signal_by_speed_band(t: DataFrame, mode: str = CANONICAL, digits: int | None
 
 # R4 -------------------------------------------------------------------------
 def temp_jumps(t: DataFrame, mode: str = CANONICAL, threshold: float = 30.0, k: int = 30,
-               buckets: Sequence[str] | None = None, timestamp_delta: str = "seconds") -> DataFrame:
+               buckets: Sequence[str] = DAY_BUCKETS, timestamp_delta: str = "seconds") -> DataFrame:
     """Largest temperature changes between consecutive readings of a train.
 
     ``delta_timestamp`` is the elapsed time in seconds; ``timestamp_delta="years"``
@@ -95,7 +91,7 @@ def temp_jumps(t: DataFrame, mode: str = CANONICAL, threshold: float = 30.0, k:
     if timestamp_delta not in ("seconds", "years"):
         raise ValueError("timestamp_delta must be 'seconds' or 'years'")
     src = t.select("train_id", "timestamp", "temp_celsius")
-    prev = previous_row(src, "train_id", ["timestamp"], ["timestamp", "temp_celsius"],
+    prev = previous_row(src, "train_id", ["timestamp", "temp_celsius"], ["timestamp", "temp_celsius"],
                         prefix="previous_", buckets=buckets)
     delta = F.abs(F.col("temp_celsius") - F.col("previous_temp_celsius"))
     out = (prev.filter(F.col("previous_temp_celsius").isNotNull())
@@ -119,7 +115,7 @@ def segment_blackout(t: DataFrame, mode: str = CANONICAL, signal_threshold: floa
 
 # R6 -------------------------------------------------------------------------
 def power_speed_ratio(t: DataFrame, mode: str = CANONICAL, min_speed: float = 10.0, k: int = 15,
-                      sum_digits: int | None = 6) -> DataFrame:
+                      sum_digits: int | None = None) -> DataFrame:
     """Power-to-speed ratio of sums per train (moving above ``min_speed``), top ``k``."""
     raw = _check(mode)
     agg = ratio_of_sums(t.filter(F.col("speed_kmh") > min_speed), "train_id",
@@ -130,15 +126,15 @@ def power_speed_ratio(t: DataFrame, mode: str = CANONICAL, min_speed: float = 10
 
 # R7 -------------------------------------------------------------------------
 def signal_drops(t: DataFrame, mode: str = CANONICAL, max_minutes: float = 5.0,
-                 min_drop: float = 50.0, k: int = 15, buckets: Sequence[str] | None = None) -> DataFrame:
+                 min_drop: float = 50.0, k: int = 15, buckets: Sequence[str] = DAY_BUCKETS) -> DataFrame:
     """Largest signal changes between consecutive readings at one tower within a few minutes.
 
     canonical: the gap is rounded to whole minutes before ``< max_minutes``;
-    raw: unrounded.  Readings at one tower are ordered by time, then train.
+    raw: unrounded.  Readings at one tower are ordered by time, then train, then value.
     """
     raw = _check(mode)
     src = t.select("cell_tower_id", "timestamp", "train_id", "signal_strength_dbm")
-    prev = previous_row(src, "cell_tower_id", ["timestamp", "train_id"],
+    prev = previous_row(src, "cell_tower_id", ["timestamp", "train_id", "signal_strength_dbm"],
                         ["timestamp", "signal_strength_dbm"], prefix="previous_", buckets=buckets)
     minutes = seconds_between("previous_timestamp", "timestamp") / F.lit(60.0)
     if not raw:
@@ -176,7 +172,7 @@ def speed_signal_contrast(t: DataFrame, mode: str = CANONICAL, low_max: float =
 
 # R10 ------------------------------------------------------------------------
 def consumption_baseline(t: DataFrame, mode: str = CANONICAL, min_speed: float = 0.0, k: int = 15,
-                         digits: int | None = 6) -> DataFrame:
+                         digits: int | None = None) -> DataFrame:
     """Per-train power/speed mean ratio against the fleet ratio, top ``k`` by mean power.
 
     canonical: a NULL difference is 'Inefficient' (SQL ELSE); raw: 'Efficient'.

@@ -98,6 +98,6 @@ def test_multi_level_lag_equals_plain(spark, rs):
     df = spark.createDataFrame(rs, "k string, s int, v double").select(
         "k", F.timestamp_add("SECOND", F.col("s"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("ts"),
         "v")
-    plain = previous_row(df, "k", ["ts"], ["v", "ts"])
+    plain = previous_row(df, "k", ["ts"], ["v", "ts"], buckets=())
     multi = previous_row(df, "k", ["ts"], ["v", "ts"], buckets=("minute", "day"))
     assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, multi.collect()), key=str)

@@ -21,11 +21,12 @@ def test_hot_tower_is_split_by_multi_level_lag(spark):
     try:
         t = (train_telemetry(spark, SF).select("train_id", "timestamp", "signal_strength_dbm")
              .withColumn("cell_tower_id", F.lit("TWR-HOT")))          # every reading at one tower
-        plain = previous_row(t, "cell_tower_id", ["timestamp", "train_id"], ["signal_strength_dbm"])
-        multi = previous_row(t, "cell_tower_id", ["timestamp", "train_id"], ["signal_strength_dbm"],
-                             buckets=("minute", "day"))
+        plain = previous_row(t, "cell_tower_id", ["timestamp", "train_id"], ["signal_strength_dbm"],
+                             buckets=())
+        multi = previous_row(t, "cell_tower_id", ["timestamp", "train_id"], ["signal_strength_dbm"])
+        fine = previous_row(t, "cell_tower_id", ["timestamp", "train_id"], ["signal_strength_dbm"], buckets=("minute", "day"))
         assert _largest_partition_share(plain) == 1.0
         assert _largest_partition_share(multi) < 0.5
-        assert plain.exceptAll(multi).count() == 0
+        assert plain.exceptAll(multi).count() == 0 and plain.exceptAll(fine).count() == 0
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)

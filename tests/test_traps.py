@@ -105,7 +105,7 @@ def test_multi_level_lag_equals_plain_lag(spark):
             for k in range(3) for m in range(0, 5 * 1440 * 4, 331) if not (2880 * 4 <= m < 4320 * 4)]
     t = frame(spark, rows)
     for key, order in [("train_id", ["timestamp"]), ("cell_tower_id", ["timestamp", "train_id"])]:
-        plain = previous_row(t, key, order, ["temp_celsius", "timestamp"])
+        plain = previous_row(t, key, order, ["temp_celsius", "timestamp"], buckets=())
         for buckets in [("day",), ("minute", "day"), ("minute", "hour", "day")]:
             multi = previous_row(t, key, order, ["temp_celsius", "timestamp"], buckets=buckets)
             assert plain.exceptAll(multi).count() == 0 and multi.exceptAll(plain).count() == 0, buckets
@@ -133,7 +133,7 @@ def test_multi_level_lag_null_key_is_a_group(spark):
     from fleetscope.schema import TELEMETRY
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in TELEMETRY.fields])
     t = spark.createDataFrame(rows, schema)
-    plain = previous_row(t, "train_id", ["timestamp"], ["temp_celsius"])
+    plain = previous_row(t, "train_id", ["timestamp"], ["temp_celsius"], buckets=())
     multi = previous_row(t, "train_id", ["timestamp"], ["temp_celsius"], buckets=("minute", "day"))
     key = lambda r: (str(r.train_id), r.timestamp)
     assert sorted(plain.collect(), key=key) == sorted(multi.collect(), key=key)
