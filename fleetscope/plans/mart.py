@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from fleetscope.functions.expr import date_key, seconds_between, speed_band, time_key
 from fleetscope.operators.dedup import keep_first
-from fleetscope.operators.lag import previous_row
-from fleetscope.sources.files import materialize as write_and_read
-from fleetscope.schema import KEYS, MART_DROP, MART_ORDER, MART_ROUNDING, TEMP_MAX
+from fleetscope.operators.lag import DAY_BUCKETS, previous_row
+from fleetscope.schema import KEYS, MART_ORDER, MART_ROUNDING, TEMP_MAX
 
 
 def round_columns(df: DataFrame, spec: dict[str, int] = MART_ROUNDING, half_even: bool = True) -> DataFrame:
@@ -30,21 +29,28 @@ def add_keys(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     return df.withColumns({"DateKey": date_key(ts), "TimeKey": time_key(ts)})
 
 
-def add_deltas(df: DataFrame, buckets: Sequence[str] | None = None) -> DataFrame:
-    """M5-M7: signed temperature delta and minutes since the previous reading per train,
-    absolute signal delta per tower (readings at a tower ordered by time, then train)."""
-    t = previous_row(df, "train_id", ["timestamp"], ["temp_celsius", "timestamp"],
-                     prefix="_pt_", buckets=buckets)
-    t = t.withColumns({
+def add_train_deltas(df: DataFrame, buckets: Sequence[str] = DAY_BUCKETS) -> DataFrame:
+    """M5 + M6: signed temperature delta and minutes since the previous reading of the train."""
+    t = previous_row(df, "train_id", ["timestamp"], ["temp_celsius", "timestamp"], prefix="_pt_", buckets=buckets)
+    return t.withColumns({
         "delta_temp_celsius": F.bround(F.col("temp_celsius") - F.col("_pt_temp_celsius"), 2),
         "delta_time_min": F.bround(seconds_between("_pt_timestamp", "timestamp") / F.lit(60.0), 2),
     }).drop("_pt_temp_celsius", "_pt_timestamp")
+
+
+def add_tower_delta(df: DataFrame, buckets: Sequence[str] = DAY_BUCKETS,
+                    boundary_source: DataFrame | None = None) -> DataFrame:
+    """M7: absolute signal delta per tower (readings at a tower ordered by time, then train)."""
+    s = previous_row(df, "cell_tower_id", ["timestamp", "train_id"], ["signal_strength_dbm"],
+                     prefix="_ps_", buckets=buckets, boundary_source=boundary_source)
+    delta = F.bround(F.abs(F.col("signal_strength_dbm") - F.col("_ps_signal_strength_dbm")), 2)
+    return s.withColumn("delta_signal_dbm", delta).drop("_ps_signal_strength_dbm")
+
+
+def add_deltas(df: DataFrame, buckets: Sequence[str] = DAY_BUCKETS) -> DataFrame:
+    """M5-M7."""
     # the tower boundaries come straight from ``df`` (same rows), not from the train-lag output
-    s = previous_row(t, "cell_tower_id", ["timestamp", "train_id"], ["signal_strength_dbm"],
-                     prefix="_ps_", buckets=buckets, boundary_source=df)
-    return s.withColumn("delta_signal_dbm",
-                        F.bround(F.abs(F.col("signal_strength_dbm") - F.col("_ps_signal_strength_dbm")), 2)
-                        ).drop("_ps_signal_strength_dbm")
+    return add_tower_delta(add_train_deltas(df, buckets), buckets, boundary_source=df)
 
 
 def add_quality(df: DataFrame, temp_max: float = TEMP_MAX) -> DataFrame:
@@ -63,34 +69,27 @@ MART_COLUMNS = ["train_id", "cell_tower_id", "temp_celsius", "status", "speed_km
                 "IsMissingTemp", "IsExtremeTemp", "SpeedRange"]
 
 
-def mart_rows(raw: DataFrame, order: Sequence[str | Column] = ("event_id",),
-              buckets: Sequence[str] | None = None, materialize: bool = True,
-              materialize_path: str | None = None) -> DataFrame:
-    """M1-M9 (all columns kept).  ``order`` picks the surviving copy of a key
-    (arrival order); it is dropped from the output unless it is a mart column.
+# What the mart is computed from: its own columns, the timestamp for the keys and deltas.
+MART_INPUTS = ["train_id", "timestamp", "cell_tower_id", "temp_celsius", "status", "speed_kmh", "signal_strength_dbm",
+               "line_segment", "network_type", "power_consumption_kw"]
+
+
+def unique_rows(raw: DataFrame, order: Sequence[str | Column] = ("event_id",),
+                columns: Sequence[str] = MART_INPUTS) -> DataFrame:
+    """M1-M4: rounded rows of ``columns`` with their keys, one per (train, timestamp): the first by ``order``."""
+    ranks = [F.col(o) if isinstance(o, str) else o for o in order]
+    narrow = raw.select(*columns, F.struct(*ranks).alias("_order"))
+    return keep_first(add_keys(round_columns(narrow)), KEYS, ["_order"]).drop("_order")
+
+
+def bi_mart(unique: DataFrame, buckets: Sequence[str] = DAY_BUCKETS) -> DataFrame:
+    """M5-M9 and the column order of the 17-column mart, from ``unique_rows``.
 
-    The de-duplicated table feeds four passes (two previous-row lags, each with
-    its boundary pass); with ``materialize`` it is written once under the
-    shared checkpoint folder (or at ``materialize_path``) instead of being
-    re-shuffled for every pass.
+    A lazy plan.  ``unique`` feeds both lags and their boundary passes, so a
+    job over a large table writes it once and passes what it reads back (the
+    ``mart`` command does, into a folder it is given and removes).
     """
-    df = add_keys(round_columns(raw))
-    df = keep_first(df, KEYS, list(order))
-    if materialize and materialize_path:
-        df.write.mode("overwrite").parquet(materialize_path)
-        df = raw.sparkSession.read.parquet(materialize_path)
-    elif materialize:
-        df = write_and_read(df, "mart-dedup")
-    return add_quality(add_deltas(df, buckets=buckets))
-
-
-def bi_mart(raw: DataFrame, order: Sequence[str | Column] = ("event_id",),
-            buckets: Sequence[str] | None = None, drop: Sequence[str] = MART_DROP,
-            materialize: bool = True, materialize_path: str | None = None) -> DataFrame:
-    """The 17-column mart: ``mart_rows`` without the generator/high-cardinality columns."""
-    df = mart_rows(raw, order, buckets, materialize, materialize_path)
-    extra = [c for c in df.columns if c not in MART_COLUMNS and c not in drop]
-    return df.drop(*drop, *extra)
+    return add_quality(add_deltas(unique, buckets=buckets)).select(*MART_COLUMNS)
 
 
 def write_mart(mart: DataFrame, path: str, partition_by_date: bool = False) -> None:
