@@ -57,7 +57,7 @@ def contrast(df: DataFrame, keys, value: str, low: Column, high: Column,
     src = df.filter(low | high)  # rows in neither band never reach the shuffle
     agg = src.groupBy(*_keys(keys)).agg(
         F.avg(F.when(low, col_(value))).alias("_lo"), F.avg(F.when(high, col_(value))).alias("_hi"))
-    agg = agg.filter(F.col("_lo").isNotNull() & F.col("_hi").isNotNull())
+    agg = agg.dropna(subset=["_lo", "_hi"])
     if round_first:
         lo, hi = F.bround("_lo", digits), F.bround("_hi", digits)
         return agg.select(*_keys(keys), lo.alias(low_name), hi.alias(high_name),

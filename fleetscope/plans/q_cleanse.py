@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fleetscope.functions.expr import hash_unit, weighted_category
 from fleetscope.operators import cleanse as C
 from fleetscope.operators.dedup import duplicate_count
 from fleetscope.plans.catalog import register
@@ -12,16 +12,15 @@ from fleetscope.schema import COLUMNS, SIGNAL_MAX, SIGNAL_MIN, SPEED_MAX, SPEED_
 from fleetscope.sources.fixture import raw_telemetry, train_telemetry
 
 # Parameters of the registered runs (seeds are salts of the row-key hash).
-SEGMENTS = ["SEG-A", "SEG-B", "SEG-C", "SEG-D"]
 TRAIN_GAIN = (0.7, 1.3)
 HOUR_GAIN = (0.8, 1.2)
 STATUS_P = [0.95, 0.04, 0.01]
-BROKEN_STATUS_P = [0.6, 0.3, 0.1]
 SIGNAL_JITTER = (-15, 15)
 BAD_TRAINS = 15
 FRAC_MISSING, FRAC_OUTLIER, FRAC_DUP, FRAC_STOP, FRAC_SAMPLE = 0.05, 0.01, 0.02, 0.03, 0.05
 SALT_MISSING, SALT_OUTLIER, SALT_DUP, SALT_STOP = 101, 202, 303, 404
-SALT_BROKEN, SALT_NOISE, SALT_STATUS, SALT_JITTER, SALT_SAMPLE, SALT_HOUR = 505, 606, 707, 808, 909, 17
+SALT_NOISE, SALT_STATUS, SALT_JITTER, SALT_HOUR = 606, 707, 808, 17
+SALT_SAMPLE = "sample"
 POWER_SCALE = 5.0
 NOISE_MEAN, NOISE_SD = (SPEED_MAX - SPEED_MIN) / 2, (SPEED_MAX - SPEED_MIN) / 3
 
@@ -96,7 +95,8 @@ def c05(spark, d):
     return t.select("train_id", "timestamp", "hour_noise", "speed_kmh")
 
 
-_OFFSETS = C.segment_offsets(SEGMENTS)
+# Calibration in dBm of the readings of each segment.
+_OFFSETS = {"SEG-A": 0.0, "SEG-B": -13.33, "SEG-C": -26.67, "SEG-D": -40.0}
 
 
 @register("c06_segment_offset", f"""SELECT train_id, timestamp, signal_malus, signal_strength_dbm + signal_malus AS signal_strength_dbm
@@ -148,16 +148,12 @@ def c11(spark, d):
     return C.first_k_keys(raw_telemetry(spark, d), "train_id", "event_id", BAD_TRAINS)
 
 
-@register("c12_override_keys", f"""SELECT r.train_id, r.timestamp,
-  CASE WHEN b.train_id IS NOT NULL THEN {_wc(_hu('r.event_id', SALT_BROKEN), STATUSES, BROKEN_STATUS_P)}
-       ELSE r.status END AS status
-FROM raw_telemetry r LEFT JOIN bad b ON r.train_id = b.train_id""", f"bad AS ({_FIRST_K})")
+@register("c12_override_keys", f"""SELECT train_id, timestamp,
+  if(train_id IN (SELECT train_id FROM ({_FIRST_K})), 'WARNING', status) AS status FROM raw_telemetry""")
 def c12(spark, d):
     raw = raw_telemetry(spark, d)
     bad = C.first_k_keys(raw, "train_id", "event_id", BAD_TRAINS)
-    value = weighted_category(hash_unit("event_id", SALT_BROKEN), STATUSES, BROKEN_STATUS_P)
-    t = C.override_for_keys(raw, bad, "train_id", "status", value, max_keys=BAD_TRAINS)
-    return t.select("train_id", "timestamp", "status")
+    return C.override_for_keys(raw, bad, "train_id", "status", "WARNING").select("train_id", "timestamp", "status")
 
 
 _V1 = f"(({_hu('event_id', SALT_NOISE)}) * 10000 + 1) / 10001e0"
@@ -207,14 +203,24 @@ def c17(spark, d):
     return C.observed_minute_spine(raw_telemetry(spark, d))
 
 
-@register("c18_canonical_order")
+@register("c18_canonical_order", """SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS inversions_inside,
+  CAST(0 AS BIGINT) AS inversions_between FROM raw_telemetry""")
 def c18(spark, d):
-    return C.canonical_order(raw_telemetry(spark, d)).select(*COLUMNS)
-
-
-@register("c19_sample_exact", f"""SELECT {COLS} FROM (
-  SELECT *, row_number() OVER (ORDER BY CAST({_hu('event_id', SALT_SAMPLE)} * 10000 AS INT), event_id) AS rk
-  FROM raw_telemetry) z
-WHERE rk <= (SELECT round(count(*) * {FRAC_SAMPLE!r}) FROM raw_telemetry)""")
+    """The ordered rows checked: neighbours out of order inside a partition, and partitions that begin before the last ends."""
+    key = F.struct("train_id", "timestamp", "event_id")
+    ordered = C.canonical_order(raw_telemetry(spark, d), tiebreak=["event_id"]).select(
+        key.alias("k"), F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("at"))
+    near = Window.partitionBy("p", F.floor(F.col("at") / 100_000)).orderBy("at")
+    parts = ordered.withColumn("bad", F.coalesce(F.lag("k").over(near) > F.col("k"), F.lit(False))).groupBy("p").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad"), F.min("k").alias("lo"), F.max("k").alias("hi"))
+    beside = Window.orderBy("p")  # a row per partition
+    parts = parts.withColumn("late", F.coalesce(F.lag("hi").over(beside) > F.col("lo"), F.lit(False)))
+    return parts.agg(F.sum("n").alias("row_count"), F.sum("bad").alias("inversions_inside"),
+                     F.count_if("late").alias("inversions_between"))
+
+
+@register("c19_sample_exact", f"""SELECT {COLS} FROM raw_telemetry
+QUALIFY row_number() OVER (ORDER BY CAST(('0x' || substr(md5('{SALT_SAMPLE}' || event_id), 1, 15)) AS BIGINT), event_id)
+  <= (SELECT round(count(*) * {FRAC_SAMPLE!r}) FROM raw_telemetry)""")
 def c19(spark, d):
     return C.sample_exact(raw_telemetry(spark, d), FRAC_SAMPLE, "event_id", SALT_SAMPLE, ["event_id"]).select(*COLUMNS)

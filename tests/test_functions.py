@@ -31,12 +31,8 @@ def test_weighted_category_checks_and_shares(spark):
 
 
 def test_config_checks():
-    with pytest.raises(ValueError):
-        C.segment_offsets(["only-one"])
     with pytest.raises(ValueError):
         C.key_factor("train_id", 1.3, 0.7, "s")
-    offs = C.segment_offsets(["A", "B", "C", "D"])
-    assert offs == {"A": 0.0, "B": -13.33, "C": -26.67, "D": -40.0}
     hours = C.hour_factors(0.8, 1.2, 17)
     assert len(hours) == 24 and all(0.8 <= v < 1.2 for v in hours.values())
 
