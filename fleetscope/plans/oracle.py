@@ -7,6 +7,8 @@ names and types match the Spark result.
 
 from __future__ import annotations
 
+from fleetscope.schema import SPEED_EDGES, SPEED_LABELS
+
 FIXTURE_CTE = """
 base AS (
   SELECT event_id, user_id, event_type, value,
@@ -50,8 +52,8 @@ def with_fixture(select: str, extra_ctes: str = "") -> str:
     return "WITH " + ctes.strip() + "\n" + select.strip()
 
 
-ORACLE: dict[str, str] = {}
-
-
-def oracle(key: str, select: str, extra_ctes: str = "") -> None:
-    ORACLE[key] = with_fixture(select, extra_ctes)
+def band_sql(x: str, null_to_last: bool = True) -> str:
+    """The speed bands of ``schema`` as a CASE over ``x``."""
+    whens = " ".join(f"WHEN {x} <= {e} THEN '{label}'" for e, label in zip(SPEED_EDGES, SPEED_LABELS))
+    null = "" if null_to_last else f"WHEN {x} IS NULL THEN NULL "
+    return f"CASE {null}{whens} ELSE '{SPEED_LABELS[-1]}' END"
