@@ -15,19 +15,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope.llm import bpe, decontam, linededup, neardup, quality
-from fleetscope.llm.common import durable, table
+from fleetscope.llm.common import durable, free_name, table
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose quality score is below 0.3; learns as op7 does."""
     rules = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs.withColumn("row", F.struct("*")), rules).filter("score >= 0.3").select("row.*")
+    whole = docs.select("text", F.struct("*").alias("row"))
+    return quality.score(whole, rules).filter("score >= 0.3").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each class of near duplicates: the one with the smallest doc_id."""
-    kept = neardup.classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    name = free_name(docs, "kept_id")
+    kept = neardup.classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(name)).distinct()
+    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
     if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1):
         left = left.dropDuplicates(["doc_id"])
     return left
@@ -44,8 +46,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of which 5 % or more of the words lie in windows of the benchmark."""
     found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
-    bad = found.select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    name = free_name(docs, "bad_id")
+    bad = found.select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

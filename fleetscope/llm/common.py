@@ -44,6 +44,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as it takes to differ from all columns of ``df``."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Bound the rows of one Arrow batch, so that a Python worker never holds more than that many texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, table
+from .common import durable, free_name, table
 
 
 def _starts(lines: Column) -> Column:
@@ -57,14 +57,7 @@ def clean(docs: DataFrame, min_words: int = 5) -> DataFrame:
 
     The struct's name gives way (``dedup_``, ...) if the input has a column of that name already.
     """
-    have = {c.lower() for c in docs.columns}
-
-    def free(name: str) -> str:
-        while name in have:
-            name += "_"
-        return name
-
-    key, digest, gone, lines, starts, out = (free(n) for n in ("row_doc", "row_md5", "gone", "lines", "starts", "dedup"))
+    key, digest, gone, lines, starts, out = (free_name(docs, n) for n in ("row_doc", "row_md5", "gone", "lines", "starts", "dedup"))
     found = find(docs, min_words).select(F.col("doc_id").alias(key), F.col("text_md5").alias(digest), F.col("units").alias(gone))
     text, id_ = F.col("text").cast("string"), F.col("doc_id").cast("long")
     joined = docs.join(found, id_.eqNullSafe(F.col(key)) & (F.md5(text) == F.col(digest)), "left")
