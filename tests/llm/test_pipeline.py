@@ -1,12 +1,16 @@
+import hashlib
 import os
 
 import corpus_pipeline as C
 import public_tokenizers as P
 import tiktoken
 from helpers import HARD, documents
+from pyspark.sql import functions as F
+from test_decontam import brute as windows
+from test_linededup import brute as lines
+from test_neardup import brute as near
 
-from fleetscope.llm import bpe
-from fleetscope.llm.common import words
+from fleetscope.llm import bpe, quality
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,18 +30,28 @@ def test_stages_keep_columns_and_take_hard_rows(spark):
             assert len(kept) == len(set(kept)) and 1 in kept and 2 not in kept and 3 not in kept
 
 
-def test_run_equals_the_stages_by_hand(spark):
+def test_run_equals_brute_force(spark):
+    """Every stage by all pairs, all lines, all windows and the reference tokenizer; the rules by their array form."""
     got = {r.doc_id: r for r in C.run(spark, SF).collect()}
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    for _, stage in C.STAGES[:-1]:
-        docs = stage(spark, docs, SF)
-    left = {r.doc_id: r.text for r in docs.collect()}
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rules = quality.fit(docs, labels)
+    stats = docs.select("doc_id", "text", *(c.cast("double").alias(k) for k, c in quality.statistics(F.col("text")).items())).toPandas()
+    score = rules.score({k: stats[k].to_numpy() for k in stats.columns[2:]}, len(stats))
+    left = [(int(i), t) for i, t, s in zip(stats.doc_id, stats.text, score, strict=True) if s >= 0.3]
+    assert 0 < len(left) < len(stats)
+    class_of = dict(near(left))
+    left = [(i, t) for i, t in left if class_of[i] == i]
+    left = [(i, t) for i, t, _ in lines(left)]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    bad = {i for i, *_, hit in windows(left, items) if hit}
+    left = {i: t for i, t in left if i not in bad}
     enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
     assert set(got) == set(left) and len(got) > 100
-    assert all(got[i].n_tokens == len(enc.encode_ordinary(t)) for i, t in left.items())
-    lines = [" ".join(x.lower().split()) for t in left.values() for x in t.split("\n") if len(x.split()) >= 5]
-    assert len(lines) == len(set(lines))
-    assert sum(len(words(t)) > 0 for t in left.values()) > 100
+    for i, t in left.items():
+        ids = enc.encode_ordinary(t)
+        assert got[i].n_tokens == len(ids)
+        assert got[i].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert got[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
 
 
 def test_queries_are_registered():
