@@ -79,13 +79,15 @@ def _search_block(row: dict, pivots: np.ndarray, length: int, k: int, share: flo
     ids, qids = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["qids"], "<i8")
     x, q = (np.frombuffer(row[c], "<f8").reshape(-1, pivots.shape[1]) for c in ("vectors", "queries"))
     lists, members = np.frombuffer(row["lists"], "<u4"), np.frombuffer(row["members"], "<u4")
-    places = np.frombuffer(row["places"], "<u2").astype(np.int32)
+    # What a place in a vector's order can save at most; 0 for vectors outside a pivot's list.
+    worth = np.zeros((len(pivots), ids.size), np.int16)
+    for p in range(len(pivots)):
+        a, b = lists[p], lists[p + 1]
+        worth[p, members[a:b]] = length - np.frombuffer(row["places"], "<u2")[a:b].astype(np.int16)
     want = max(least, int(np.ceil(share * ids.size)))
     for n, order in enumerate(_orders(q, pivots, length)):
-        saved = np.zeros(ids.size, np.int32)
-        for at, p in enumerate(order.tolist()):
-            a, b = lists[p], lists[p + 1]
-            saved[members[a:b]] += order.size - np.maximum(places[a:b], at)
+        # of two places of a pivot the worse one counts: (length - larger place) is what sharing the pivot saves
+        saved = np.minimum(worth[order], np.arange(length, 0, -1, dtype=np.int16)[:order.size, None]).sum(axis=0, dtype=np.int32)
         if want < ids.size:
             near = np.flatnonzero(saved >= np.partition(saved, ids.size - want)[ids.size - want])
         else:
