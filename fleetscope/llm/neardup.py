@@ -254,8 +254,8 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     texts = durable(one.groupBy("key").agg(F.first("words").alias("words"), F.first("n_words").alias("n_words"), F.first("sketch").alias("sketch")))
     links = durable(_verified(pairs.sortWithinPartitions("a"), texts, similar))
     label = durable(components(links))
-    # Buckets that hold several components.
-    known = shared.join(label, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    # Buckets that hold several components; one of two members has been compared already.
+    known = shared.filter("n > 2").join(label, "key", "left").withColumn("label", F.coalesce("label", "key"))
     open_ = known.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).filter("l0 <> l1").select("bucket")
     chunks = F.greatest(F.ceil(F.col("n") / CHUNK), F.ceil(F.col("total") / CHUNK_WORDS)).cast("int")
     dealt = known.join(open_, "bucket", "left_semi").withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
