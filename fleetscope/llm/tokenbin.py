@@ -6,8 +6,7 @@ payload (unsigned 64); then the payload. A block holds ``BLOCK_IDS`` ids of ``bi
 vocabulary, lowest bit first. 64 ids fill exactly ``bits`` 64-bit words, so numpy packs and unpacks lane by lane, and a reader
 can unpack any block alone.
 
-Documents are encoded once and kept as Parquet in the shared folder, dealt out by ranges of doc_id, sorted and written: file
-after file holds ascending ids. A file's name carries the task attempt, and the manifest lists what the successful attempts
+Documents are dealt out by ranges of doc_id, sorted, encoded and written in one go: file after file holds ascending ids. A file's name carries the task attempt, and the manifest lists what the successful attempts
 wrote; a lost executor's half-written files are never read.
 
 Defined cases: a null or empty text has only the end id; a null doc_id sorts first; equal rows are all kept; an empty table
@@ -17,7 +16,6 @@ gives no files and no rows; only doc_id and text are read, whatever other column
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +30,8 @@ MAGIC = b"FSTOKEN1"
 BLOCK_IDS = 4096
 #: Ids of one file, 16 MB at 16 bits.
 FILE_IDS = 8_000_000
-#: Words that a worker remembers; beyond it forgets all and starts anew.
-CACHE_WORDS = 500_000
+#: Words that a worker remembers at most, about.
+CACHE_WORDS = 800_000
 
 
 def pack_ids(ids: np.ndarray, bits: int) -> bytes:
@@ -104,27 +102,42 @@ class TokenFile:
         return unpack_ids(raw, there, self.bits)[start - a * self.block:stop - a * self.block]
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it prints, else the next free one from 256."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class WordEncoder:
     """Whole texts by a tokenizers file, word for word.
 
-    A text is cut at spaces and line feeds. The tokenizer's own splitting never joins what white space parts (``check`` holds
-    it to that for the file in use), so the ids of a text are those of its words, and a word is encoded once per worker.
-    Words of printable ASCII are cut by the file's own pattern in its ASCII form and go to the model directly.
+    A text is cut at spaces and line feeds. The tokenizer's own splitting never joins what white space parts (the constructor
+    holds it to that for the file in use), so the ids of a text are those of its words, and a word is encoded once while it is
+    remembered. Words of printable Latin characters are cut by the file's own pattern and go to the model directly.
+
+    Two generations are remembered: words met since the last change, and those of the time before, so that frequent words stay.
     """
 
-    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    #: Characters below it have no combining marks, so they are as NFC has them; dotted capital I and the marks are left out.
+    LATIN = "\u0250"
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import regex
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.by_word: dict[str, bytes] = {"": b""}
+        self.pieces = regex.compile(self.PATTERN)
+        self.letters = _byte_letters()
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
         self.by_piece: dict[str, bytes] = {}
         self.wide = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
-        sample = "It's a Test,\n with 12 (odd) wörds' &&& don't!! A.B"
-        self.direct = all(self._whole(w) == self._ascii(w) for w in sample.split() if w.isascii())
+        sample = "It's a Test,\n with 12 (odd) wörds' ÉTÉ &&& don't!! A.B ñ%%% ¿x? straße.²"
+        self.direct = all(self._whole(w) == self._pieces(w) for w in sample.split())
         if self._whole(sample) != b"".join(map(self._whole, sample.split())):
             raise ValueError(f"{path} joins words across white space")
 
@@ -134,25 +147,28 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return self._raw(self.tok.encode(text, add_special_tokens=False).ids)
 
-    def _ascii(self, word: str) -> bytes:
+    def _pieces(self, word: str) -> bytes:
         out = []
-        for p in self.PIECES.findall(word.lower()):
+        for p in self.pieces.findall(word.lower()):
             if (got := self.by_piece.get(p)) is None:
-                got = self.by_piece[p] = self._raw([x.id for x in self.tok.model.tokenize(p)])
+                shown = p if p.isascii() else "".join(map(self.letters.__getitem__, p.encode()))
+                got = self.by_piece[p] = self._raw([x.id for x in self.tok.model.tokenize(shown)])
             out.append(got)
         return b"".join(out)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian integers of ``wide``."""
-        if len(self.by_word) > CACHE_WORDS:
-            self.by_word = {"": b""}
+        if len(self.young) > CACHE_WORDS // 2:
+            self.old, self.young = self.young, {"": b""}
         if len(self.by_piece) > CACHE_WORDS:
             self.by_piece = {}
         cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        known, late = self.by_word, []
-        for w in {w for ws in cut for w in ws if w not in known}:
-            if self.direct and w.isascii() and w.isprintable():
-                known[w] = self._ascii(w)
+        known, old, late = self.young, self.old, []
+        for w in {w for ws in cut for w in ws}.difference(known):
+            if (got := old.get(w)) is not None:
+                known[w] = got
+            elif self.direct and max(w) < self.LATIN and w.isprintable() and "\u0130" not in w:
+                known[w] = self._pieces(w)
             else:
                 late.append(w)
         for k in range(0, len(late), 2000):
@@ -193,14 +209,19 @@ def _open_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def write_files(encoded: DataFrame, folder: str, vocab_size: int, file_ids: int = FILE_IDS) -> DataFrame:
-    """Write the files in ascending doc_id order; the manifest: name, part, k, n_docs, n_tokens, start (ids in files before)."""
-    bits, wide = max(1, (vocab_size - 1).bit_length()), "<u2" if vocab_size <= 1 << 16 else "<u4"
-    total = encoded.agg(F.sum("n_tokens")).first()[0] or 0
+def write_files(docs: DataFrame, folder: str, path: str, end_id: int | None, vocab_size: int, file_ids: int = FILE_IDS) -> DataFrame:
+    """Encode ``docs`` and write the files in ascending doc_id order; the manifest: name, part, k, n_docs, n_tokens, start (ids in
+    files before)."""
+    bits = max(1, (vocab_size - 1).bit_length())
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # a text has at most a handful of ids for every four bytes, so a range of this many bytes is about half a file
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(1, -(-size // (2 * file_ids)))
     schema = pa.schema([("name", pa.string()), ("part", pa.int32()), ("k", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 
     def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, fs_root, made = TaskContext.get(), None, 0
+        task, fs_root, made, enc = TaskContext.get(), None, 0, _encoder(path)
+        end = enc._raw([end_id]) if end_id is not None else b""
         held: list[tuple[int | None, np.ndarray]] = []
         n = 0
 
@@ -217,8 +238,8 @@ def write_files(encoded: DataFrame, folder: str, vocab_size: int, file_ids: int
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for b in parts:
-            for i, raw in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
-                ids = np.frombuffer(raw, wide)
+            for i, raw in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist()), strict=True):
+                ids = np.frombuffer(raw + end, enc.wide)
                 if held and n + ids.size > file_ids:
                     yield flush()
                 held.append((i, ids))
@@ -226,10 +247,9 @@ def write_files(encoded: DataFrame, folder: str, vocab_size: int, file_ids: int
         if held:
             yield flush()
 
-    files = (encoded.repartitionByRange(max(1, -(-total * 2 // file_ids)), F.col("doc_id").asc_nulls_first())
-             .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n_tokens", "ids")
-             .mapInArrow(write, "name string, part int, k int, n_docs long, n_tokens long"))
-    done = durable(files)
+    dealt = docs.repartitionByRange(ranges, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    small_batches(docs.sparkSession)
+    done = durable(dealt.mapInArrow(write, "name string, part int, k int, n_docs long, n_tokens long"))
     # A row per file, not per document: the running total is over the manifest only.
     before = F.sum("n_tokens").over(Window.orderBy("part", "k").rowsBetween(Window.unboundedPreceding, -1))
     return durable(done.withColumn("start", F.coalesce(before, F.lit(0))))
@@ -265,7 +285,7 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
 def token_files(docs: DataFrame, path: str, end_id: int | None, vocab_size: int) -> tuple[DataFrame, str]:
     """Encode ``docs`` and write the files to a new shared folder: their manifest and the folder."""
     folder = shared_dir(docs.sparkSession)
-    return write_files(durable(encode_documents(docs, path, end_id)), folder, vocab_size), folder
+    return write_files(docs, folder, path, end_id, vocab_size), folder
 
 
 def op4_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
