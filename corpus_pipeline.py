@@ -6,7 +6,7 @@ reads back to the next stage, so a lost executor costs the running stage only. A
 
 Defined cases: each stage handles null and empty texts, null ids, repeated rows and empty tables as its operator documents; a
 document whose text is null or empty passes the quality stage by its score like any other, and near_duplicates keeps one of all
-documents without words.
+documents without words. Rows are told apart by doc_id and text, so rows that share a doc_id, or have none, are judged one by one.
 """
 
 from __future__ import annotations
@@ -26,12 +26,14 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each class of near duplicates: the one with the smallest doc_id."""
-    name = free_name(docs, "kept_id")
-    kept = neardup.classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(name)).distinct()
-    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
+    """Keep one row of each class of near duplicates: the smallest by (doc_id, md5 of the text), a null doc_id last."""
+    id_, digest = free_name(docs, "kept_id"), free_name(docs, "kept_md5")
+    kept = neardup.representatives(docs).toDF(id_, digest)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & neardup.text_digest().eqNullSafe(F.col(digest))
+    left = docs.join(kept, same, "left_semi")
     if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1):
-        left = left.dropDuplicates(["doc_id"])
+        # rows equal in doc_id and text are in one class: the smallest by all columns stays
+        left = left.groupBy("doc_id", "text").agg(F.min(F.struct("*")).alias("row")).select("row.*")
     return left
 
 

@@ -26,7 +26,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import durable, small_batches, table, words
@@ -82,10 +82,16 @@ def order_sketch(lab: np.ndarray, n: int = SKETCHES, picks: int = PICKS) -> np.n
     return out.view(np.int64)
 
 
-def sketch_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, key (md5 of the words), n_words, sketch, words (a hash of each word) of every row."""
+def text_digest() -> Column:
+    """md5 of the text as it is, null for a null text."""
+    return F.unhex(F.md5(F.col("text").cast("string")))
+
+
+def sketch_documents(docs: DataFrame, digest: bool = False) -> DataFrame:
+    """doc_id, key (md5 of the words), n_words, sketch, words (a hash of each word) of every row; with ``digest`` text_md5 too."""
     small_batches(docs.sparkSession, 500)
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("n_words", pa.int32()), ("sketch", pa.list_(pa.int64())), ("words", pa.binary())])
+    extra = [("text_md5", pa.binary())] if digest else []
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("n_words", pa.int32()), ("sketch", pa.list_(pa.int64())), ("words", pa.binary()), *extra])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts:
@@ -96,10 +102,11 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
                 out.append((hashlib.md5(b" ".join(w)).digest(), len(w), order_sketch(labelled(shingles(hashes))), hashes.astype("<u4").tobytes()))
             if out:
                 cols = list(zip(*out, strict=True))
-                yield pa.record_batch([b.column(0), *(pa.array(c, t) for c, t in zip(cols, schema.types[1:], strict=True))], schema=schema)
+                yield pa.record_batch([b.column(0), *(pa.array(c, t) for c, t in zip(cols, schema.types[1:5], strict=True)), *b.columns[2:]], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, key binary, n_words int, sketch array<long>, words binary")
+    more = [text_digest().alias("text_md5")] if digest else []
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *more).mapInArrow(
+        run, "doc_id long, key binary, n_words int, sketch array<long>, words binary" + (", text_md5 binary" if digest else ""))
 
 
 def common_in_order(a: np.ndarray, b: np.ndarray, band: int) -> int:
@@ -236,9 +243,8 @@ def _across(t: pa.Table, similar: float) -> pa.Table:
     return pa.table([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
 
-def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """doc_id and class_id (the smallest doc_id of the class) of every row."""
-    rows = durable(sketch_documents(docs))
+def _labels(rows: DataFrame, similar: float) -> DataFrame:
+    """key and label (of its class) of every key that shares a class with another; a key without a row is its own class."""
     # One row per node and bucket; the bucket's number is the sketch itself, whose salt differs by position.
     member = rows.select("key", "n_words", F.explode("sketch").alias("bucket")).groupBy("bucket", "key").agg(F.first("n_words").alias("n_words"))
     member = durable(member)
@@ -265,11 +271,29 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     more = durable(across)
     if more.take(1):
         label = durable(components(label.select(F.col("key").alias("a"), F.col("label").alias("b")).unionByName(more)))
+    return label
+
+
+def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """doc_id and class_id (the smallest doc_id of the class) of every row."""
+    rows = durable(sketch_documents(docs))
+    label = _labels(rows, similar)
+    nodes = rows.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     named = nodes.join(label, "key", "left").withColumn("label", F.coalesce("label", "key"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     class_of = named.join(least, "label").select("key", "class_id")
     return rows.select("doc_id", "key").join(class_of, "key").select("doc_id", "class_id")
 
 
+def representatives(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """doc_id and text_md5 of one text of each class: the smallest by (doc_id, text_md5), a null doc_id last."""
+    rows = durable(sketch_documents(docs, digest=True))
+    label = _labels(rows, similar)
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_md5")
+    nodes = rows.groupBy("key").agg(F.min(order).alias("row"))
+    named = nodes.join(label, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    return named.groupBy("label").agg(F.min("row").alias("row")).select("row.doc_id", "row.text_md5")
+
+
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents"))

@@ -4,7 +4,7 @@ import os
 import corpus_pipeline as C
 import public_tokenizers as P
 import tiktoken
-from helpers import HARD, documents
+from helpers import BASE, HARD, documents, edited, prose
 from pyspark.sql import functions as F
 from test_decontam import brute as windows
 from test_linededup import brute as lines
@@ -59,3 +59,13 @@ def test_queries_are_registered():
     names = E.queries()
     assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
     assert os.path.exists(SF)
+
+
+def test_near_duplicates_tells_rows_of_one_id_apart(spark):
+    rows = [(None, prose(8, 40)), (None, None), (None, prose(9, 50)), (3, BASE), (20, prose(21, 90)), (20, edited(BASE, 5, 2)), (20, prose(22, 80)),
+            (21, prose(21, 90)), (22, prose(23, 70)), (22, prose(23, 70)), (5, "")]
+    got = C.near_duplicates(spark, documents(spark, rows).repartition(4), SF).collect()
+    want = [(None, prose(8, 40)), (None, prose(9, 50)), (3, BASE), (20, prose(21, 90)), (20, prose(22, 80)), (22, prose(23, 70)), (5, "")]
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(want, key=str)
+    clean = [r.text for r in C.near_duplicates(spark, documents(spark, HARD), SF).collect() if r.doc_id is None]
+    assert clean == [prose(8, 40)]
