@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope.llm import bpe, decontam, linededup, neardup, quality
-from fleetscope.llm.common import durable, free_name, table
+from fleetscope.llm.common import durable, free_name, table, text_digest
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keep one row of each class of near duplicates: the smallest by (doc_id, md5 of the text), a null doc_id last."""
     id_, digest = free_name(docs, "kept_id"), free_name(docs, "kept_md5")
     kept = neardup.representatives(docs).toDF(id_, digest)
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & neardup.text_digest().eqNullSafe(F.col(digest))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & text_digest().eqNullSafe(F.col(digest))
     left = docs.join(kept, same, "left_semi")
     if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1):
         # rows equal in doc_id and text are in one class: the smallest by all columns stays
@@ -48,9 +48,10 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of which 5 % or more of the words lie in windows of the benchmark."""
     found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
-    name = free_name(docs, "bad_id")
-    bad = found.select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
+    id_, digest = free_name(docs, "bad_id"), free_name(docs, "bad_md5")
+    bad = found.select("doc_id", "text_md5").distinct().toDF(id_, digest)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (text_digest() == F.col(digest))
+    return docs.join(bad, same, "left_anti")
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

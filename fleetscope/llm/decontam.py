@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import durable, small_batches, table, words
+from .common import durable, small_batches, table, text_digest, words
 
 INDEX_SCHEMA = T.StructType([
     T.StructField("segment", T.StringType()),
     T.StructField("doc_ids", T.ArrayType(T.LongType())),
+    T.StructField("doc_md5", T.ArrayType(T.BinaryType())),
     T.StructField("doc_starts", T.BinaryType()),
     T.StructField("doc_words", T.BinaryType()),
     T.StructField("terms", T.ArrayType(T.BinaryType())),
@@ -39,6 +40,7 @@ INDEX_SCHEMA = T.StructType([
 HIT_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("doc_key", T.StringType()),
+    T.StructField("text_md5", T.BinaryType()),
     T.StructField("n_words", T.LongType()),
     T.StructField("starts", T.ArrayType(T.LongType())),
     T.StructField("lengths", T.ArrayType(T.LongType())),
@@ -50,7 +52,7 @@ SEGMENT_WORDS = 2_000_000
 BLOCK_WORDS = 2_000_000
 
 
-def _segment(ids: list, terms: list[np.ndarray], names: list[bytes], gap: int) -> dict:
+def _segment(ids: list, md5: list, terms: list[np.ndarray], names: list[bytes], gap: int) -> dict:
     """One index row. Documents lie ``gap`` positions apart, so that no phrase spans two of them."""
     lens = np.array([len(t) for t in terms], dtype=np.int64)
     starts = np.concatenate([[0], np.cumsum(lens + gap)[:-1]]).astype(np.int64)
@@ -66,6 +68,7 @@ def _segment(ids: list, terms: list[np.ndarray], names: list[bytes], gap: int) -
     lists = [at[first[k]:ends[k]] for k in by_name]
     return {
         "doc_ids": ids,
+        "doc_md5": md5,
         "doc_starts": starts.astype("<u4").tobytes(),
         "doc_words": lens.astype("<u4").tobytes(),
         "terms": [names[used[k]] for k in by_name],
@@ -83,7 +86,7 @@ def build_index(docs: DataFrame, terms: list[bytes] | None = None, gap: int = 64
     spark = docs.sparkSession
     small_batches(spark)
     kept = spark.sparkContext.broadcast(sorted(set(terms))) if terms is not None else None
-    schema = pa.schema([("segment", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("doc_starts", pa.binary()), ("doc_words", pa.binary()),
+    schema = pa.schema([("segment", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("doc_md5", pa.list_(pa.binary())), ("doc_starts", pa.binary()), ("doc_words", pa.binary()),
                         ("terms", pa.list_(pa.binary())), ("offsets", pa.binary()), ("positions", pa.binary())])
 
     def build(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,28 +99,29 @@ def build_index(docs: DataFrame, terms: list[bytes] | None = None, gap: int = 64
                 self[w] = n = len(self)
                 return n
 
-        known, ids, found, n, part, made = Numbers(fixed or {}), [], [], 0, TaskContext.get().partitionId(), 0
+        known, ids, md5, found, n, part, made = Numbers(fixed or {}), [], [], [], 0, TaskContext.get().partitionId(), 0
         for b in parts:
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for i, text, m in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 w = words(text)
                 ids.append(i)
+                md5.append(m)
                 found.append(np.fromiter(map(known.__getitem__, w), np.int64, len(w)))
                 n += len(w) + gap
                 if n >= segment_words:
-                    yield pa.RecordBatch.from_pylist([{"segment": f"{part}-{made}"} | _segment(ids, found, list(known), gap)], schema=schema)
+                    yield pa.RecordBatch.from_pylist([{"segment": f"{part}-{made}"} | _segment(ids, md5, found, list(known), gap)], schema=schema)
                     made += 1
-                    known, ids, found, n = Numbers(fixed or {}), [], [], 0
+                    known, ids, md5, found, n = Numbers(fixed or {}), [], [], [], 0
         if ids:
-            yield pa.RecordBatch.from_pylist([{"segment": f"{part}-{made}"} | _segment(ids, found, list(known), gap)], schema=schema)
+            yield pa.RecordBatch.from_pylist([{"segment": f"{part}-{made}"} | _segment(ids, md5, found, list(known), gap)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(build, INDEX_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_digest()).mapInArrow(build, INDEX_SCHEMA)
 
 
 class Segment:
     """An index row opened for look-ups."""
 
     def __init__(self, row: dict):
-        self.ids = row["doc_ids"]
+        self.ids, self.md5 = row["doc_ids"], row["doc_md5"]
         self.starts = np.frombuffer(row["doc_starts"], "<u4").astype(np.int64)
         self.lens = np.frombuffer(row["doc_words"], "<u4").astype(np.int64)
         self.terms = {w: k for k, w in enumerate(row["terms"])}
@@ -165,7 +169,7 @@ def windows_of(text: str | None, size: int) -> list[tuple[bytes, ...]]:
 def _look_up(index: DataFrame, found: list[tuple[tuple[bytes, ...], list]], within: int | None) -> DataFrame:
     """Hits of the given phrases (words, item ids) in every segment, a row per document."""
     sent = index.sparkSession.sparkContext.broadcast(found)
-    schema = pa.schema([("doc_id", pa.int64()), ("doc_key", pa.string()), ("n_words", pa.int64()),
+    schema = pa.schema([("doc_id", pa.int64()), ("doc_key", pa.string()), ("text_md5", pa.binary()), ("n_words", pa.int64()),
                         ("starts", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("items", pa.list_(pa.int64()))])
 
     def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +196,7 @@ def _look_up(index: DataFrame, found: list[tuple[tuple[bytes, ...], list]], with
                         mine[p] = max(mine.get(p, 0), len(ws) if within is None else 1)
                         items.setdefault(d, set()).update(of)
                 out = [{
-                    "doc_id": i, "doc_key": f"{row['segment']}-{d}", "n_words": int(seg.lens[d]),
+                    "doc_id": i, "doc_key": f"{row['segment']}-{d}", "text_md5": seg.md5[d], "n_words": int(seg.lens[d]),
                     "starts": sorted(starts.get(d, ())), "lengths": [v for _, v in sorted(starts.get(d, {}).items())],
                     "items": sorted(x for x in items.get(d, ()) if x is not None),
                 } for d, i in enumerate(seg.ids)]
@@ -214,7 +218,7 @@ def _blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int | Non
 
 def phrases(docs: DataFrame, items: DataFrame, size: int = 13, within: int | None = None,
             block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Per document: doc_id, n_words, starts and lengths (in words) of all exact windows of the items, and the item ids.
+    """Per document: doc_id, text_md5, n_words, starts and lengths (in words) of all exact windows of the items, and the item ids.
 
     With ``within``, the proximity matches instead: positions of an item window's rarest term (rarest in its segment) that have
     all its other terms at most that many words away.
@@ -235,14 +239,14 @@ def phrases(docs: DataFrame, items: DataFrame, size: int = 13, within: int | Non
     for x in out[1:]:
         both = both.unionByName(x)
     return both.groupBy("doc_key").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+        F.first("doc_id").alias("doc_id"), F.first("text_md5").alias("text_md5"), F.first("n_words").alias("n_words"),
         F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("lengths")).alias("lengths"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
     ).drop("doc_key")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, size: int = 13) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit (words inside any window), items (sorted ids), contaminated (5 % or more of its words hit)."""
+    """Per document: doc_id, text_md5, n_words, n_hit (words inside any window), items (sorted ids), contaminated (5 % or more of its words hit)."""
     hits = phrases(docs, items, size)
     # Words covered: walk the spans by start, counting of each what lies beyond the furthest end so far.
     spans = F.array_sort(F.arrays_zip("starts", "lengths"))

@@ -26,10 +26,10 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, small_batches, table, words
+from .common import durable, small_batches, table, text_digest, words
 
 SHINGLE, SKETCHES, PICKS, SIMILAR = 5, 20, 3, 0.8
 #: Members and words of a chunk of a large bucket.
@@ -82,11 +82,6 @@ def order_sketch(lab: np.ndarray, n: int = SKETCHES, picks: int = PICKS) -> np.n
     return out.view(np.int64)
 
 
-def text_digest() -> Column:
-    """md5 of the text as it is, null for a null text."""
-    return F.unhex(F.md5(F.col("text").cast("string")))
-
-
 def sketch_documents(docs: DataFrame, digest: bool = False) -> DataFrame:
     """doc_id, key (md5 of the words), n_words, sketch, words (a hash of each word) of every row; with ``digest`` text_md5 too."""
     small_batches(docs.sparkSession, 500)

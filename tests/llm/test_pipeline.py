@@ -69,3 +69,11 @@ def test_near_duplicates_tells_rows_of_one_id_apart(spark):
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(want, key=str)
     clean = [r.text for r in C.near_duplicates(spark, documents(spark, HARD), SF).collect() if r.doc_id is None]
     assert clean == [prose(8, 40)]
+
+
+def test_decontaminate_tells_rows_of_one_id_apart(spark):
+    leak = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").collect() if r.text and len(r.text.split()) > 12)
+    rows = [(None, leak), (None, prose(8, 40)), (None, None), (7, leak), (7, prose(9, 40)), (7, prose(9, 40)), (8, leak + " " + prose(3, 30)), (9, "")]
+    got = C.decontaminate(spark, documents(spark, rows).repartition(3), SF).collect()
+    want = [(i, t) for i, t in rows if not (t or "").startswith(leak)]
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(want, key=str)
