@@ -116,6 +116,9 @@ class WordEncoder:
     holds it to that for the file in use), so the ids of a text are those of its words, and a word is encoded once while it is
     remembered. Words of printable Latin characters are cut by the file's own pattern and go to the model directly.
 
+    The strings of added tokens (``<|endoftext|>``) in a text are ordinary text, or, with ``added_as_text`` False, the tokens they
+    name, as the library has them by default; a text that holds one is then encoded whole by the library.
+
     Two generations are remembered: words met since the last change, and those of the time before, so that frequent words stay.
     """
 
@@ -123,13 +126,18 @@ class WordEncoder:
     #: Characters below it have no combining marks, so they are as NFC has them; dotted capital I and the marks are left out.
     LATIN = "\u0250"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_as_text: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tok.encode_special_tokens = added_as_text
+        added = [] if added_as_text else list(self.tok.get_added_tokens_decoder().values())
+        if any(t.normalized for t in added):
+            raise ValueError(f"{path} looks for added tokens in the normalised text")
+        self.added = [t.content for t in added]
+        self.mark = os.path.commonprefix(self.added)
         self.pieces = regex.compile(self.PATTERN)
         self.letters = _byte_letters()
         self.young: dict[str, bytes] = {"": b""}
@@ -158,6 +166,14 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian integers of ``wide``."""
+        if self.added:
+            whole = {k: self._whole(t) for k, t in enumerate(texts) if t and self.mark in t and any(a in t for a in self.added)}
+            if whole:
+                rest = iter(self._by_words([t for k, t in enumerate(texts) if k not in whole]))
+                return [whole[k] if k in whole else next(rest) for k in range(len(texts))]
+        return self._by_words(texts)
+
+    def _by_words(self, texts: list[str | None]) -> list[bytes]:
         if len(self.young) > CACHE_WORDS // 2:
             self.old, self.young = self.young, {"": b""}
         if len(self.by_piece) > CACHE_WORDS:
@@ -178,13 +194,13 @@ class WordEncoder:
         return [b"".join(map(known.__getitem__, ws)) for ws in cut]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
-def _encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+def _encoder(path: str, added_as_text: bool = True) -> WordEncoder:
+    if (path, added_as_text) not in _ENCODERS:
+        _ENCODERS[path, added_as_text] = WordEncoder(path, added_as_text)
+    return _ENCODERS[path, added_as_text]
 
 
 def encode_documents(docs: DataFrame, path: str, end_id: int | None) -> DataFrame:
@@ -209,7 +225,8 @@ def _open_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def write_files(docs: DataFrame, folder: str, path: str, end_id: int | None, vocab_size: int, file_ids: int = FILE_IDS) -> DataFrame:
+def write_files(docs: DataFrame, folder: str, path: str, end_id: int | None, vocab_size: int, file_ids: int = FILE_IDS,
+                added_as_text: bool = True) -> DataFrame:
     """Encode ``docs`` and write the files in ascending doc_id order; the manifest: name, part, k, n_docs, n_tokens, start (ids in
     files before)."""
     bits = max(1, (vocab_size - 1).bit_length())
@@ -220,7 +237,7 @@ def write_files(docs: DataFrame, folder: str, path: str, end_id: int | None, voc
     schema = pa.schema([("name", pa.string()), ("part", pa.int32()), ("k", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 
     def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, fs_root, made, enc = TaskContext.get(), None, 0, _encoder(path)
+        task, fs_root, made, enc = TaskContext.get(), None, 0, _encoder(path, added_as_text)
         end = enc._raw([end_id]) if end_id is not None else b""
         held: list[tuple[int | None, np.ndarray]] = []
         n = 0
@@ -282,14 +299,15 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
         read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_files(docs: DataFrame, path: str, end_id: int | None, vocab_size: int) -> tuple[DataFrame, str]:
+def token_files(docs: DataFrame, path: str, end_id: int | None, vocab_size: int, added_as_text: bool = True) -> tuple[DataFrame, str]:
     """Encode ``docs`` and write the files to a new shared folder: their manifest and the folder."""
     folder = shared_dir(docs.sparkSession)
-    return write_files(docs, folder, path, end_id, vocab_size), folder
+    return write_files(docs, folder, path, end_id, vocab_size, added_as_text=added_as_text), folder
 
 
 def op4_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    manifest, folder = token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1, 49408)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    manifest, folder = token_files(table(spark, sf_dir, "documents"), path, 1, 49408, added_as_text=False)
     return read_files(manifest, folder)

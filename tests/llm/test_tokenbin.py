@@ -61,3 +61,16 @@ whole.encode_special_tokens = True
 @given(st.text(alphabet=st.sampled_from("abT's12 \n\t éß́你🙂.,!ﬁİ"), max_size=40))
 def test_word_by_word_is_exact(text):
     assert np.frombuffer(words.encode([text])[0], words.wide).tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_as_the_library_has_them(spark, tmp_path):
+    plain = Tokenizer.from_file(PATH)
+    rows = [(1, "a <|endoftext|> b"), (2, "x<|startoftext|>\n<|ENDOFTEXT|> It's"), (3, "a <| b"), (4, None), (5, "after")]
+    want, start = [], 0
+    for i, t in rows:
+        ids = np.array([*plain.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
+        want.append((i, start, ids.size, zlib.crc32(ids.tobytes())))
+        start += ids.size
+    assert plain.encode(rows[0][1], add_special_tokens=False).ids == [320, 49407, 321]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(map(tuple, B.op4_bit_packed_ids(spark, str(tmp_path)).collect())) == want
