@@ -3,8 +3,10 @@
 A page becomes a sequence of blocks, each with its root-to-leaf path of block-level tags. Per path the text length and the
 punctuation of its blocks are aggregated; the two ratios (text and punctuation per block of the path) are smoothed along the page
 with a Gaussian, discounted by the share of link text and fused into one weight per path. Paths whose weight reaches a share of
-the heaviest path's are content. What the markup itself says comes before: paths through menus, forms, adverts, notices, comments
-and the like weigh nothing, and where a page marks its article, paths through it are content and others weigh nothing.
+the heaviest path's are content. What the markup itself says comes before: menus, asides and the like are left out, paths through
+forms and through elements whose class, id or role speaks of adverts, notices, comments and the like weigh a tenth, and where a
+page marks its article, paths through it are content and others weigh nothing. An article inside such a form or element is not
+touched by it, nor is a page of which most of the text lies in one.
 
 Each page is worked on alone, inside Arrow batches of bounded rows; nothing is shuffled.
 
@@ -28,7 +30,7 @@ from .common import small_batches, table
 
 #: Elements that never hold main text.
 SKIPPED = frozenset(
-    "head title script style noscript template nav menu header footer aside form button select option textarea input label "
+    "head title script style noscript template nav menu header footer aside button select option textarea input label "
     "fieldset dialog iframe object embed svg math canvas audio video map".split())
 #: Elements without content or end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -48,14 +50,22 @@ ENDS = {
     "option": ("option",), "thead": ("tr",), "tbody": ("thead", "tr"), "tfoot": ("tbody", "tr"),
 }
 ARTICLE = frozenset(("article", "main"))
+#: Ends the step of an element that its class, id or role discounts; no class name holds a space.
+ODD = " "
+#: What is left of the weight of a path through such an element,
+DISCOUNT = 0.1
+#: unless it holds this share of the page's (or its article's) text: then it is a wrapper of the page.
+WRAPPER = 0.75
 
 
 class Blocks(HTMLParser):
     """The page's blocks in order: [path, text, characters of link text]."""
 
-    def __init__(self) -> None:
+    def __init__(self, odd_inline: bool = False) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, str]] = []  # tag, skipped here or above, step of the path ("" for inline elements)
+        self.odd_inline = odd_inline  # whether odd inline elements keep their text
+        # tag, skipped here or above, step of the path ("" for inline elements), in an odd inline element
+        self.open: list[tuple[str, bool, str, bool]] = []
         self.found: list[list] = []
         self.text: list[str] = []
         self.links = 0
@@ -63,11 +73,11 @@ class Blocks(HTMLParser):
     def _cut(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.found.append(["/".join(s for _, _, s in self.open if s), text, self.links])
+            self.found.append(["/".join(x[2] for x in self.open if x[2]), text, self.links])
         self.text, self.links = [], 0
 
     def _pop(self, n: int) -> None:
-        if any(t not in INLINE for t, _, _ in self.open[n:]):
+        if any(x[0] not in INLINE for x in self.open[n:]):
             self._cut()
         del self.open[n:]
 
@@ -92,12 +102,16 @@ class Blocks(HTMLParser):
             return
         has = {k: v or "" for k, v in attrs}
         said = f"{has.get('class', '')} {has.get('id', '')} {has.get('role', '')}".lower()
-        odd = tag not in ("html", "body") and tag not in ARTICLE and not ODD_WORDS.isdisjoint(re.split(r"[^a-z]+", said))
+        odd = tag == "form" or tag not in ("html", "body") and tag not in ARTICLE and not ODD_WORDS.isdisjoint(re.split(r"[^a-z]+", said))
         hidden = "hidden" in has or has.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", has.get("style", ""))
-        skipped = tag in SKIPPED or odd or bool(hidden) or bool(self.open and self.open[-1][1])
-        if tag not in INLINE:
-            self._cut()
-        self.open.append((tag, skipped, "" if tag in INLINE else ".".join([tag, *sorted(has.get("class", "").split())])))
+        skipped = tag in SKIPPED or bool(hidden) or bool(self.open and self.open[-1][1])
+        above = bool(self.open and self.open[-1][3])
+        if tag in INLINE:
+            self.open.append((tag, skipped, "", above or odd and not self.odd_inline))
+            return
+        self._cut()
+        step = ".".join([tag, *sorted(has.get("class", "").split())])
+        self.open.append((tag, skipped, step + ODD if odd or above and tag not in ARTICLE else step, False))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -112,21 +126,36 @@ class Blocks(HTMLParser):
             self._pop(n)
 
     def handle_data(self, data: str) -> None:
-        if not (self.open and self.open[-1][1]):
+        if not (self.open and (self.open[-1][1] or self.open[-1][3])):
             self.text.append(data)
-            if any(t == "a" for t, _, _ in self.open):
+            if any(x[0] == "a" for x in self.open):
                 self.links += len(data.strip())
 
 
 def blocks_of(html: str | None) -> list[list]:
-    page = Blocks()
-    page.feed(html or "")
-    page.close()
-    page._pop(0)
-    page._cut()
+    """The blocks; text of odd inline elements counts only where there is no other."""
+    for odd_inline in (False, True):
+        page = Blocks(odd_inline)
+        page.feed(html or "")
+        page.close()
+        page._pop(0)
+        page._cut()
+        if page.found:
+            break
     return page.found
 
 
+def _marks(path: str) -> tuple[bool, list[str]]:
+    """Whether a path leads through an article, and the odd elements on it, as paths: those below its last article, if any."""
+    marked, odd, steps = False, [], path.split("/")
+    for k, step in enumerate(steps):
+        if step.split(".")[0] in ARTICLE:
+            marked, odd = True, []
+        elif step.endswith(ODD):
+            odd.append("/".join(steps[:k + 1]))
+    return marked, odd
+
+
 def path_weights(blocks: list[list], share: float, sigma: float = 1.0) -> dict[str, float]:
     """The fused weight of each path."""
     paths = [b[0] for b in blocks]
@@ -145,10 +174,19 @@ def path_weights(blocks: list[list], share: float, sigma: float = 1.0) -> dict[s
         return np.bincount(of, np.convolve(along, bell / bell.sum(), "valid")) / n
 
     fused = np.sqrt(smooth(text / n) * (1 + smooth(marks / n))) * (1 - linked)
-    marked = np.array([not ARTICLE.isdisjoint(s.split(".")[0] for s in p.split("/")) for p in kinds])
+    marks_of = [_marks(p) for p in kinds]
+    marked = np.array([m for m, _ in marks_of])
+    held: dict[str, int] = {}
+    for (_, above), size in zip(marks_of, text.tolist(), strict=True):
+        for x in above:
+            held[x] = held.get(x, 0) + size
+    whole = text[marked].sum() if marked.any() else text.sum()
+    odd = np.array([any(held[x] < WRAPPER * whole for x in above) for _, above in marks_of])
+    fused = np.where(odd, DISCOUNT * fused, fused)
     if marked.any():
         # The page says where its article is: paths through it count as content unless most of their text is links.
-        fused = np.where(marked, np.where(linked <= 0.5, np.maximum(fused, share * fused.max()), fused), 0)
+        raised = np.where((linked <= 0.5) & ~odd, np.maximum(fused, share * fused.max()), fused)
+        fused = np.where(marked, raised, 0)
     return {p: float(fused[k]) for p, k in kinds.items()}
 
 

@@ -33,3 +33,16 @@ def test_hard_pages(spark):
     assert by[1] == main_text(ARTICLE) and by[2] == "" and by[None] == "" and by[3] == "plain text" and by[4] == "deep" and by[7] == ""
     assert by[5].count("word,") == 3000
     assert extract(pages.limit(0)).count() == 0
+
+
+def test_odd_words_around_the_text():
+    text = "A long sentence, with commas; and some more words, so that it weighs. " * 4
+    body = f"<p>{text}</p><p>{text}</p>"
+    want = [text.strip(), text.strip()]
+    for mark in (f"<article>{body}</article>", f"<main>{body}</main>", body):
+        for wrapped in (f"<div class='content-sidebar-wrap'>{mark}</div>", f"<div id=page class=no-sidebar><div>{mark}</div></div>",
+                        f"<div class='ad-free'>{mark}</div>", f"<form action=x>{mark}</form>", f"<span class=widget>{mark}</span>"):
+            page = f"<body><div class=top><a href=x>Home</a></div>{wrapped}<div class=ad>Buy now.</div></body>"
+            assert main_text(page).split("\n\n") == want, page
+    assert main_text(f"<body><span class='ad-free'>{text}</span></body>") == text.strip()
+    assert main_text(f"<article>{body}<div class=comments><p>I read it.</p></div><form><p>Mail?</p></form></article>").split("\n\n") == want
