@@ -1,108 +1,211 @@
-"""Substring dedup by line hashing.
+"""Substring dedup by hashing the units of a text.
 
-A text's units are its lines. A unit is normalised (lower case, white space to one space, trimmed) and hashed; units of fewer
-than ``min_words`` words are left alone. Over all documents the earliest occurrence of a digest, by (doc_id, digest of the whole
-text, unit number), is kept and every later one is removed. The spans removed, and the start of every kept unit, are offsets in
-code points of the original text.
+A text is cut into units: a unit ends at a line feed, at a mark of punctuation (``MARKS``) or after ``UNIT_WORDS`` words, whichever
+comes first, and takes the marks and the white space that follow it along; so the units of a passage are the same whatever stands
+before and after it, but for the first and the last one. A unit is normalised (its words in lower case, joined by a space) and hashed
+to 64 bits. Over all documents the earliest occurrence of a digest, by (doc_id, digest of the whole text, unit number), is kept.
+What is removed are runs of later occurrences, one unit after the other, that have ``MIN_WORDS`` words or ``MIN_CHARS`` characters
+together: of a passage that repeats nothing stays but a part of a unit at either end, and phrases and lines that are merely common
+stay where they are. No unit's earliest occurrence is ever removed. Removed and kept spans are offsets in code points of the original.
 
-Only digests, ids and numbers are shuffled until the last join. The earliest occurrence is a partial aggregate, so a line that a
-third of the documents hold is one row per task; the join back to its occurrences is a plain equality join that adaptive
-execution may split.
+Each task remembers the earliest occurrence of up to ``HELD`` digests, so that an occurrence after it is known to be a later one on the
+spot; of a digest that a third of the documents hold, one row a task goes on to be compared over all, by one shuffle of numbers. Only
+documents with removed runs are cut again, to turn unit numbers into offsets.
 
 Defined cases: a null text stays null and has no units, an empty one stays empty; a null doc_id ranks first; rows equal in doc_id
-and text are the same document, whose units are kept or removed alike; an empty table gives no rows; only doc_id and text are
-read by ``find`` and ``clean`` keeps all columns of its input, whatever their names.
+and text are the same document, whose units are kept or removed alike; a word of any length is one unit, and a text of any length is
+taken whole; an empty table gives no rows; only doc_id and text are read by ``find`` and ``clean`` keeps all columns of its input,
+whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from .common import durable, free_name, table
-
+import re
+from collections.abc import Iterator
 
-def _starts(lines: Column) -> Column:
-    """The start of each line, in code points."""
-    return F.aggregate(
-        lines, F.struct(F.array().cast("array<long>").alias("at"), F.lit(0).cast("long").alias("next")),
-        lambda a, x: F.struct(F.array_append(a["at"], a["next"]).alias("at"), (a["next"] + F.length(x) + 1).alias("next")),
-        lambda a: a["at"])
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .common import free_name, table
 
-def normalised(unit: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(unit), r"[\x09-\x0D\x20]+", " "))
+# White space, and the marks that end a unit.
+SPACE, MARKS = " \t\v\f\r", "\n.!?,;:。！？、，；："
+#: Words of a unit at most.
+UNIT_WORDS = 10
+#: What a run of repeated units has to have to be removed: this many words, or this many characters.
+MIN_WORDS, MIN_CHARS = 30, 250
+#: Digests that a task remembers before it hands them on.
+HELD = 400_000
 
+UNIT = re.compile(rf"[^{MARKS}{SPACE}]+(?:[{SPACE}]+[^{MARKS}{SPACE}]+){{0,{UNIT_WORDS - 1}}}[{MARKS}{SPACE}]*|[{MARKS}{SPACE}]+")
+WORD = re.compile(rf"[^{MARKS}{SPACE}]+")
+DOC = "doc_id long, doc long, "
 
-def units(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, text_md5, unit (number), digest of every unit that is long enough."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
-    split = rows.select("doc_id", F.md5("text").alias("text_md5"), F.posexplode(F.split("text", "\n")).alias("unit", "line"))
-    plain = split.select("doc_id", "text_md5", "unit", normalised(F.col("line")).alias("plain"))
-    long_enough = F.length("plain") - F.length(F.replace("plain", F.lit(" "), F.lit(""))) >= min_words - 1
-    return plain.filter(long_enough & (F.col("plain") != "")).select("doc_id", "text_md5", "unit", F.md5("plain").alias("digest"))
 
+def doc_digest(text: Column) -> Column:
+    """60 bits of the text's md5, null for a null text."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
-def find(docs: DataFrame, min_words: int = 5) -> DataFrame:
-    """Units to remove: doc_id, text_md5, units (sorted numbers), of every document that has any."""
-    all_units = durable(units(docs, min_words))
-    order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "text_md5", "unit")
-    first = all_units.groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
-    later = all_units.join(first, "digest").filter(order > F.col("first"))
-    return later.groupBy("doc_id", "text_md5").agg(F.array_sort(F.collect_set("unit")).alias("units"))
 
+def units(docs: DataFrame) -> DataFrame:
+    """doc_id, doc (digest of the text), unit (number), words, chars, key and late of every unit with a word.
 
-def clean(docs: DataFrame, min_words: int = 5) -> DataFrame:
-    """``docs`` with the cleaned text, and a struct ``dedup``: n_units, removed (start and end of each removed unit), kept (starts).
+    ``late`` units are known to be later occurrences; the others of a digest share its ``key``, one for each task that meets it.
+    """
+    import xxhash
+
+    schema = pa.schema([("doc_id", pa.int64()), ("doc", pa.int64()), ("unit", pa.int64()), ("words", pa.int64()), ("chars", pa.int64()),
+                        ("key", pa.int64()), ("late", pa.bool_())])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: dict[int, tuple] = {}
+        late: list[tuple] = []
+
+        def out(rows: list[tuple], keys: list[int], is_late: bool) -> pa.RecordBatch:
+            order, words, chars = zip(*rows, strict=True) if rows else ((), (), ())
+            return pa.record_batch([
+                pa.array([o[1] if o[0] else None for o in order], pa.int64()), pa.array([o[2] for o in order], pa.int64()),
+                pa.array([o[3] for o in order], pa.int64()), pa.array(words, pa.int64()), pa.array(chars, pa.int64()), pa.array(keys, pa.int64()),
+                pa.array([is_late] * len(rows), pa.bool_())], schema=schema)
+
+        def spread(rows: list[tuple]) -> list[int]:
+            return [(o[2] + 0x9E3779B97F4A7C15 * o[3]) % (1 << 64) - (1 << 63) for o, _, _ in rows]
+
+        for b in parts:
+            for i, doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                known, number = (False, 0) if i is None else (True, i), -1
+                for m in UNIT.finditer(text.as_py()):
+                    number += 1
+                    piece = m.group()
+                    words = WORD.findall(piece.lower())
+                    if not words:
+                        continue
+                    digest = xxhash.xxh3_64_intdigest(" ".join(words).encode("utf-8", "surrogatepass")) - (1 << 63)
+                    here = ((*known, doc, number), len(words), len(piece))
+                    there = first.setdefault(digest, here)
+                    if there[0] < here[0]:
+                        late.append(here)
+                    elif there[0] > here[0]:
+                        first[digest] = here
+                        late.append(there)
+                if len(late) > 50_000:
+                    yield out(late, spread(late), True)
+                    late = []
+                if len(first) > HELD:
+                    yield out(list(first.values()), list(first), False)
+                    first = {}
+        yield out(late, spread(late), True)
+        yield out(list(first.values()), list(first), False)
+
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_digest(text).alias("doc"), text.alias("text")).filter("text IS NOT NULL")
+    return rows.mapInArrow(run, DOC + "unit long, words long, chars long, key long, late boolean")
+
+
+def find(docs: DataFrame, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """doc_id, doc and runs (first and last unit, in ascending order) of every document that loses any."""
+    order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "doc", "unit")
+    # numbers of one unit in one long, which halves what is shuffled; a unit's words and characters matter up to the minimum only
+    size = F.least(F.col("words"), F.lit(1023)) * (1 << 20) + F.least(F.col("chars"), F.lit((1 << 20) - 1))
+    slim = units(docs).select("key", "late", "doc_id", "doc", "unit", size.alias("size"))
+    first = F.min(order).over(Window.partitionBy("key", "late"))
+    later = slim.withColumn("order", order).withColumn("first", first).filter(F.col("late") | (F.col("order") > F.col("first")))
+    once = later.groupBy("doc_id", "doc", "unit").agg(F.first("size").alias("size"))
+    in_doc = Window.partitionBy("doc_id", "doc").orderBy("unit")
+    runs = (once.withColumn("run", F.col("unit") - F.row_number().over(in_doc)).groupBy("doc_id", "doc", "run")
+            .agg(F.min("unit").alias("first"), F.max("unit").alias("last"), F.sum(F.shiftright("size", 20)).alias("words"),
+                 F.sum(F.col("size").bitwiseAND((1 << 20) - 1)).alias("chars"))
+            .filter((F.col("words") >= min_words) | (F.col("chars") >= min_chars)))
+    return runs.groupBy("doc_id", "doc").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs"))
+
+
+def cut(text: str, runs: list[tuple[int, int]]) -> tuple[str, int, list[tuple[int, int]], list[tuple[int, int]]]:
+    """What stays of the text, the units removed, and the removed and the kept spans."""
+    removed, kept, at, wanted = [], [], 0, iter(runs)
+    first, last = next(wanted, (None, None))
+    for number, m in enumerate(UNIT.finditer(text)):
+        if number == first:
+            start = m.start()
+        if number == last:
+            removed.append((start, m.end()))
+            if start > at:
+                kept.append((at, start))
+            at = m.end()
+            first, last = next(wanted, (None, None))
+    if at < len(text):
+        kept.append((at, len(text)))
+    return "".join(text[a:z] for a, z in kept), sum(z - a + 1 for a, z in runs), removed, kept
+
+
+def clean(docs: DataFrame, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``docs`` with the cleaned text, and a struct ``dedup``: n_removed (units), removed and kept (start and end of each span).
 
     The struct's name gives way (``dedup_``, ...) if the input has a column of that name already.
     """
-    key, digest, gone, lines, starts, out = (free_name(docs, n) for n in ("row_doc", "row_md5", "gone", "lines", "starts", "dedup"))
-    found = find(docs, min_words).select(F.col("doc_id").alias(key), F.col("text_md5").alias(digest), F.col("units").alias(gone))
-    text, id_ = F.col("text").cast("string"), F.col("doc_id").cast("long")
-    joined = docs.join(found, id_.eqNullSafe(F.col(key)) & (F.md5(text) == F.col(digest)), "left")
-    split = joined.withColumn(lines, F.split(text, "\n"))
-    has = F.coalesce(F.col(gone), F.array().cast("array<int>"))
-    at = F.col(starts)
-    keep = F.filter(F.col(lines), lambda x, i: ~F.array_contains(F.col(gone), i))
-    removed = F.transform(has, lambda i: F.struct(F.get(at, i).alias("start"), (F.get(at, i) + F.length(F.get(F.col(lines), i))).alias("end")))
-    split = split.withColumn(starts, _starts(F.col(lines)))
-    new = F.when(F.col(gone).isNull(), text).otherwise(F.array_join(keep, "\n"))
-    report = F.struct(
-        F.size(F.coalesce(F.col(lines), F.array().cast("array<string>"))).alias("n_units"), removed.alias("removed"),
-        F.filter(at, lambda x, i: ~F.array_contains(has, i)).alias("kept"))
-    return split.select(*(new.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns), report.alias(out))
+    key, digest, runs, out = (free_name(docs, n) for n in ("row_doc", "row_digest", "runs", "dedup"))
+    whole = docs.withColumn("text", F.col("text").cast("string"))
+    found = find(docs, min_words, min_chars).toDF(key, digest, runs)
+    joined = whole.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(key)) & (doc_digest(F.col("text")) == F.col(digest)), "left")
+    joined = joined.select(*(F.col(f"`{c}`") for c in docs.columns), runs)
+    place, n = docs.columns.index("text"), len(docs.columns)
+    span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+    report = T.StructType([T.StructField("n_removed", T.LongType()), T.StructField("removed", span), T.StructField("kept", span)])
+    spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    kind = pa.struct([("n_removed", pa.int64()), ("removed", spans), ("kept", spans)])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(xs: list[tuple[int, int]]) -> list[dict]:
+            return [{"start": a, "end": z} for a, z in xs]
+
+        for b in parts:
+            texts, rows = b.column(place).to_pylist(), []
+            for k, (text, gone) in enumerate(zip(texts, b.column(n).to_pylist(), strict=True)):
+                if gone:
+                    texts[k], units_gone, removed, kept = cut(text, [(g["first"], g["last"]) for g in gone])
+                else:
+                    units_gone, removed, kept = 0, [], [(0, len(text))] if text else []
+                rows.append({"n_removed": units_gone, "removed": pairs(removed), "kept": pairs(kept)})
+            columns = [*b.columns[:place], pa.array(texts, pa.string()), *b.columns[place + 1:n], pa.array(rows, kind)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*b.schema.names[:n], out])
+
+    return joined.mapInArrow(run, T.StructType([*whole.schema.fields, T.StructField(out, report)]))
 
 
 def op9_line_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     spans = F.transform("dedup.removed", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
-    return clean(docs).select(
-        "doc_id", F.col("dedup.n_units").cast("long").alias("n_units"), F.size("dedup.removed").cast("long").alias("n_removed"),
-        F.array_join(spans, ",").alias("removed_spans"), "text")
+    return clean(docs).select("doc_id", F.col("dedup.n_removed").alias("n_removed"), F.array_join(spans, ",").alias("removed_spans"), "text")
 
 
 OP9_SQL = r"""
 WITH d AS (
-  SELECT row_number() OVER () AS r, doc_id, text, md5(text) AS m, string_split(text, chr(10)) AS lines FROM documents
+  SELECT row_number() OVER () AS r, doc_id, text, ('0x' || substr(md5(text), 1, 15))::BIGINT AS m FROM documents
+), p AS (
+  SELECT r, doc_id, m, unnest(pieces) AS piece, unnest(range(len(pieces))) AS unit
+  FROM (SELECT r, doc_id, m, regexp_extract_all(text,
+    '[^\n.!?,;:。！？、，；：\x20\x09\x0B-\x0D]+(?:[\x20\x09\x0B-\x0D]+[^\n.!?,;:。！？、，；：\x20\x09\x0B-\x0D]+){0,9}[\n.!?,;:。！？、，；：\x20\x09\x0B-\x0D]*|[\n.!?,;:。！？、，；：\x20\x09\x0B-\x0D]+') AS pieces FROM d)
 ), u AS (
-  SELECT r, doc_id, m, k - 1 AS unit, lines[k] AS line, list_sum(list_transform(lines[1:k - 1], lambda x: length(x) + 1)) AS before,
-    trim(regexp_replace(lower(lines[k]), '[\x09-\x0D\x20]+', ' ', 'g')) AS plain
-  FROM d, unnest(range(1, len(lines) + 1)) AS t(k) WHERE text IS NOT NULL
+  SELECT *, trim(regexp_replace(lower(piece), '[\n.!?,;:。！？、，；：\x20\x09\x0B-\x0D]+', ' ', 'g')) AS plain,
+    (sum(length(piece)) OVER (PARTITION BY r ORDER BY unit))::BIGINT AS stop FROM p
+), o AS (
+  SELECT *, (CASE WHEN doc_id IS NULL THEN 0 ELSE 1 END, coalesce(doc_id, 0), m, unit) AS place FROM u WHERE plain <> ''
 ), f AS (
-  SELECT *, plain <> '' AND length(plain) - length(replace(plain, ' ', '')) >= 4 AS counts FROM u
-), first AS (
-  SELECT md5(plain) AS g, min((CASE WHEN doc_id IS NULL THEN 0 ELSE 1 END, coalesce(doc_id, 0), m, unit)) AS o FROM f WHERE counts GROUP BY 1
+  SELECT plain, min(place) AS first FROM o GROUP BY 1
+), later AS (
+  SELECT o.*, unit - row_number() OVER (PARTITION BY r ORDER BY unit) AS run FROM o JOIN f USING (plain) WHERE place > first
+), runs AS (
+  SELECT r, run, min(unit) AS a, max(unit) AS z, min(stop - length(piece)) AS start, max(stop) AS stop, count(*) AS n FROM later GROUP BY r, run
+  HAVING sum(length(plain) - length(replace(plain, ' ', '')) + 1) >= 30 OR sum(length(piece)) >= 250
 ), marked AS (
-  SELECT f.*, counts AND (CASE WHEN doc_id IS NULL THEN 0 ELSE 1 END, coalesce(doc_id, 0), m, unit) > o AS gone
-  FROM f LEFT JOIN first ON counts AND md5(f.plain) = first.g
-), per AS (
-  SELECT r, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
-    string_agg(coalesce(before, 0)::BIGINT || '-' || (coalesce(before, 0) + length(line))::BIGINT, ',' ORDER BY unit) FILTER (gone) AS spans,
-    string_agg(line, chr(10) ORDER BY unit) FILTER (NOT coalesce(gone, false)) AS kept
-  FROM marked GROUP BY r
+  SELECT u.r, u.unit, u.piece, runs.r IS NOT NULL AS gone FROM u LEFT JOIN runs ON u.r = runs.r AND u.unit BETWEEN runs.a AND runs.z
+), stays AS (
+  SELECT r, string_agg(piece, '' ORDER BY unit) FILTER (NOT gone) AS text FROM marked GROUP BY r
+), removed AS (
+  SELECT r, sum(n)::BIGINT AS n_removed, string_agg(start || '-' || stop, ',' ORDER BY start) AS spans FROM runs GROUP BY r
 )
-SELECT d.doc_id, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(spans, '') AS removed_spans,
-  CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept, '') END AS text
-FROM d LEFT JOIN per USING (r)
+SELECT d.doc_id, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(spans, '') AS removed_spans,
+  CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(stays.text, '') END AS text
+FROM d LEFT JOIN removed USING (r) LEFT JOIN stays USING (r)
 """

@@ -1,54 +1,95 @@
+import hashlib
+import random
+
+import pytest
 from helpers import HARD, documents, prose
 
 from fleetscope.llm import linededup
 
 LINE = prose(30, 60)
-ROWS = [*HARD, (20, f"{LINE}\nshort line\n{LINE.upper()}"), (21, f"short line\n  {LINE.replace(' ', '   ')} \nlast of all the lines here"), (22, LINE)]
+ROWS = [
+    *HARD, (20, f"{LINE}\nshort line\n{LINE.upper()}"), (21, f"short line\n  {LINE.replace(' ', '   ')} \nlast of all the lines here"), (22, LINE),
+    (23, "..., \n ?! " + prose(31, 20)), (24, "word " * 500), (25, "你好世界，" * 90 + "再见。"), (26, "再见，" + "你好世界，" * 90), (27, "x" * 100_000), (28, "x" * 100_000),
+]
+
+
+def brute(rows, min_words, min_chars):
+    marks, space = "\n.!?,;:。！？、，；：", " \t\v\f\r"
 
+    def units(t):
+        """(start, end, normalised) by a walk over the characters."""
+        out, at = [], 0
+        while at < len(t):
+            z, words = at, []
+            while z < len(t) and len(words) < 10:
+                e = z
+                while e < len(t) and t[e] not in marks + space:
+                    e += 1
+                if e == z:
+                    break
+                words.append(t[z:e].lower())
+                z = e
+                while z < len(t) and t[z] in space:
+                    z += 1
+            while z < len(t) and t[z] in marks + space:
+                z += 1
+            out.append((at, z, " ".join(words)))
+            at = z
+        return out
 
-def brute(rows, min_words=5):
-    import hashlib
-    norm = lambda x: " ".join(x.lower().replace("\r", " ").split())
-    key = lambda i, t, k: (i is not None, i or 0, hashlib.md5(t.encode()).hexdigest(), k)
-    first = {}
+    doc = lambda t: int(hashlib.md5(t.encode()).hexdigest()[:15], 16)
+    first, out = {}, []
     for i, t in rows:
-        for k, x in enumerate((t or "").split("\n")):
-            if len(norm(x).split()) >= min_words:
-                first[norm(x)] = min(first.get(norm(x), (9,)), key(i, t, k))
-    out = []
+        for k, (_, _, n) in enumerate(units(t or "")):
+            if n:
+                first[n] = min(first.get(n, (9,)), (i is not None, i or 0, doc(t), k))
     for i, t in rows:
         if t is None:
-            out.append((i, None, []))
+            out.append((i, None, 0, [], []))
             continue
-        kept, gone, at = [], [], 0
-        for k, x in enumerate(t.split("\n")):
-            if len(norm(x).split()) >= min_words and first[norm(x)] < key(i, t, k):
-                gone.append((at, at + len(x)))
-            else:
-                kept.append(x)
-            at += len(x) + 1
-        out.append((i, "\n".join(kept), gone))
+        us = units(t)
+        late = [bool(n) and first[n] < (i is not None, i or 0, doc(t), k) for k, (_, _, n) in enumerate(us)]
+        gone, k = [], 0
+        while k < len(us):
+            z = k
+            while z < len(us) and late[z]:
+                z += 1
+            if z > k and (sum(len(n.split(" ")) for _, _, n in us[k:z]) >= min_words or us[z - 1][1] - us[k][0] >= min_chars):
+                gone.append((k, z))
+            k = max(z, k + 1)
+        removed = [(us[a][0], us[z - 1][1]) for a, z in gone]
+        edges = [0, *(x for s in removed for x in s), len(t)]
+        kept = [(a, z) for a, z in zip(edges[::2], edges[1::2], strict=True) if z > a]
+        out.append((i, "".join(t[a:z] for a, z in kept), sum(z - a for a, z in gone), removed, kept))
     return sorted(out, key=str)
 
 
-def test_equal_to_brute_force(spark):
-    cleaned = linededup.clean(documents(spark, ROWS))
+@pytest.mark.parametrize(("words", "chars", "held"), [(linededup.MIN_WORDS, linededup.MIN_CHARS, linededup.HELD), (4, 40, 5), (1, 1, 50), (12, 10**6, 10**6)])
+def test_equal_to_brute_force(spark, monkeypatch, words, chars, held):
+    monkeypatch.setattr(linededup, "HELD", held)
+    cleaned = linededup.clean(documents(spark, ROWS).repartition(4), words, chars)
     report = cleaned.columns[-1]
     assert report == "dedup_" and cleaned.columns[:-1] == documents(spark, []).columns
-    got = sorted(((r.doc_id, r.text, [tuple(x) for x in r[report].removed]) for r in cleaned.collect()), key=str)
-    assert got == brute(ROWS)
-
-
-def test_offsets_cut_the_original(spark):
-    texts = {}
-    for i, t in ROWS:
-        texts.setdefault(i, t)
-    for r in linededup.clean(documents(spark, ROWS).drop("dedup")).collect():
-        if r.doc_id is not None and r.text is not None:
-            lines = texts[r.doc_id].split("\n")
-            assert r.dedup.n_units == len(lines) == len(r.dedup.removed) + len(r.dedup.kept)
-            for a, z in r.dedup.removed:
-                assert texts[r.doc_id][a:z] in lines
+    got = [(r.doc_id, r.text, r[report].n_removed, [tuple(x) for x in r[report].removed], [tuple(x) for x in r[report].kept]) for r in cleaned.collect()]
+    assert sorted(got, key=str) == brute(ROWS, words, chars)
+
+
+def test_a_passage_goes_wherever_it_is_put_in_and_common_lines_stay(spark):
+    r, common = random.Random(3), prose(40, 13)
+    rows = []
+    for k in range(60):
+        w = prose(100 + k, 200).split(" ")
+        if k % 3 == 0:  # the passage, in the middle of a sentence
+            at = r.randrange(20, 180)
+            w[at:at] = prose(41, 200).split(" ")[70:121]
+        rows.append((k, common + "\n" + " ".join(w)))
+    passage = prose(41, 200).split(" ")[85:105]
+    for row in linededup.clean(documents(spark, rows)).collect():
+        if row.doc_id % 3 or row.doc_id == 0:
+            assert row.text == rows[row.doc_id][1]
+        else:
+            assert " ".join(passage) not in row.text and row.text.startswith(common)
+            assert len(row.text.split()) <= 213 + 22
 
 
 def test_empty_table(spark):
