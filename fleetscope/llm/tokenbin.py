@@ -6,16 +6,19 @@ payload (unsigned 64); then the payload. A block holds ``BLOCK_IDS`` ids of ``bi
 vocabulary, lowest bit first. 64 ids fill exactly ``bits`` 64-bit words, so numpy packs and unpacks lane by lane, and a reader
 can unpack any block alone.
 
-Documents are dealt out by ranges of doc_id, sorted, encoded and written in one go: file after file holds ascending ids. A file's name carries the task attempt, and the manifest lists what the successful attempts
-wrote; a lost executor's half-written files are never read.
+Documents are encoded where they are read; their ids, compressed, are dealt out by ranges of doc_id, sorted and written: file after
+file holds ascending doc_ids. A file's name carries the task attempt, and the manifest lists what the successful attempts wrote; a
+lost executor's half-written files are never read. Rows of one doc_id, or of none, are spread over as many ranges as they fill.
 
-Defined cases: a null or empty text has only the end id; a null doc_id sorts first; equal rows are all kept; an empty table
-gives no files and no rows; only doc_id and text are read, whatever other columns there are.
+Defined cases: a null or empty text has only the end id; a null doc_id sorts first; equal rows are all kept, and rows of one doc_id
+stand in any order; a text of any length is encoded whole (its ids must fit 2 GB); an empty table gives no files and no rows; only doc_id
+and text are read, whatever other columns there are.
 """
 
 from __future__ import annotations
 
 import os
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,12 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import crc32, durable, shared_dir, small_batches, table
+from .common import crc32, durable, shared_dir, table
 
 MAGIC = b"FSTOKEN1"
 BLOCK_IDS = 4096
 #: Ids of one file, 16 MB at 16 bits.
 FILE_IDS = 8_000_000
+#: Ranges that the documents are dealt out to at most (a range writes as many files as it needs), and rows sampled for each.
+MAX_RANGES, SAMPLED = 20_000, 60
 #: Words that a worker remembers at most, about.
 CACHE_WORDS = 800_000
 
@@ -203,69 +208,83 @@ def _encoder(path: str, added_as_text: bool = True) -> WordEncoder:
     return _ENCODERS[path, added_as_text]
 
 
-def encode_documents(docs: DataFrame, path: str, end_id: int | None) -> DataFrame:
-    """doc_id, n_tokens, ids (binary, little-endian integers) of each row; ``end_id`` is appended."""
-    small_batches(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
-
-    def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(path)
-        end = enc._raw([end_id]) if end_id is not None else b""
-        wide = np.dtype(enc.wide).itemsize
-        for b in parts:
-            ids = [x + end for x in enc.encode(b.column(1).to_pylist())]
-            yield pa.record_batch([b.column(0), pa.array([len(x) // wide for x in ids], pa.int64()), pa.array(ids, pa.binary())], schema=schema)
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(encode, "doc_id long, n_tokens long, ids binary")
-
-
 def _open_fs(uri: str):
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(uri)
 
 
+def _bounds(docs: DataFrame, ranges: int) -> list[tuple]:
+    """Up to ``ranges`` - 1 places (known, doc_id, salt) that part the rows evenly, from a sample of ``SAMPLED`` rows a range."""
+    if ranges < 2:
+        return []
+    few = docs.select("known", "doc_id", "salt").sample(fraction=min(1.0, SAMPLED * ranges / max(1, docs.count())), seed=3).toArrow().to_pydict()
+    places = sorted(zip(few["known"], few["doc_id"], few["salt"], strict=True))
+    return [places[k * len(places) // ranges] for k in range(1, ranges)] if places else []
+
+
 def write_files(docs: DataFrame, folder: str, path: str, end_id: int | None, vocab_size: int, file_ids: int = FILE_IDS,
                 added_as_text: bool = True) -> DataFrame:
     """Encode ``docs`` and write the files in ascending doc_id order; the manifest: name, part, k, n_docs, n_tokens, start (ids in
-    files before)."""
+    files before).
+
+    Texts are encoded where they are read; what is dealt out to the ranges is their ids, compressed.
+    """
     bits = max(1, (vocab_size - 1).bit_length())
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # rows of one doc_id, or of none, may fall to several ranges: the salt tells them apart and is the same on every run
+    docs = docs.select(F.col("doc_id").isNotNull().alias("known"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"),
+                       F.xxhash64(F.monotonically_increasing_id()).alias("salt"), F.col("text").cast("string").alias("text"))
     # a text has at most a handful of ids for every four bytes, so a range of this many bytes is about half a file
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(1, -(-size // (2 * file_ids)))
+    ranges = max(1, min(MAX_RANGES, -(-size // (2 * file_ids))))
+    bounds = _bounds(docs, ranges)
+    coded = pa.schema([("part", pa.int32()), ("known", pa.bool_()), ("doc_id", pa.int64()), ("salt", pa.int64()), ("n", pa.int32()), ("ids", pa.binary())])
     schema = pa.schema([("name", pa.string()), ("part", pa.int32()), ("k", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 
-    def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, fs_root, made, enc = TaskContext.get(), None, 0, _encoder(path, added_as_text)
+    def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, zstd = _encoder(path, added_as_text), pa.Codec("zstd", 1)
         end = enc._raw([end_id]) if end_id is not None else b""
+        for whole in parts:
+            for at in range(0, whole.num_rows, 1000):
+                b = whole.slice(at, 1000)
+                known, ids, salt = (b.column(c).to_pylist() for c in range(3))
+                raw = [x + end for x in enc.encode(b.column(3).to_pylist())]
+                where = [bisect_right(bounds, p) for p in zip(known, ids, salt, strict=True)] if bounds else [0] * len(raw)
+                yield pa.record_batch([
+                    pa.array(where, pa.int32()), b.column(0), b.column(1), b.column(2), pa.array([len(x) for x in raw], pa.int32()),
+                    pa.array([zstd.compress(x, asbytes=True) for x in raw], pa.binary())], schema=coded)
+
+    def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, fs_root, made, wide, zstd = TaskContext.get(), None, 0, _encoder(path, added_as_text).wide, pa.Codec("zstd", 1)
         held: list[tuple[int | None, np.ndarray]] = []
-        n = 0
+        n = part = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal held, n, made, fs_root
             if fs_root is None:
                 fs_root = _open_fs(folder)
                 fs_root[0].create_dir(fs_root[1], recursive=True)
-            name = f"ids-{task.partitionId():06d}-{made:04d}-{task.taskAttemptId()}.bin"
+            name = f"ids-{part:06d}-{made:04d}-{task.taskAttemptId()}.bin"
             with fs_root[0].open_output_stream(f"{fs_root[1]}/{name}") as out:
                 out.write(file_bytes(held, bits))
-            row = {"name": name, "part": task.partitionId(), "k": made, "n_docs": len(held), "n_tokens": n}
+            row = {"name": name, "part": part, "k": made, "n_docs": len(held), "n_tokens": n}
             held, n, made = [], 0, made + 1
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for b in parts:
-            for i, raw in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist()), strict=True):
-                ids = np.frombuffer(raw + end, enc.wide)
-                if held and n + ids.size > file_ids:
+            for p, known, i, size, raw in zip(*(b.column(c).to_pylist() for c in ("part", "known", "doc_id", "n", "ids")), strict=True):
+                ids = np.frombuffer(zstd.decompress(raw, size, asbytes=True), wide)
+                if held and (n + ids.size > file_ids or p != part):
                     yield flush()
-                held.append((i, ids))
+                if p != part:
+                    part, made = p, 0
+                held.append((i if known else None, ids))
                 n += ids.size
         if held:
             yield flush()
 
-    dealt = docs.repartitionByRange(ranges, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    small_batches(docs.sparkSession)
+    dealt = (docs.mapInArrow(encode, "part int, known boolean, doc_id long, salt long, n int, ids binary")
+             .repartitionById(ranges, F.col("part")).sortWithinPartitions("part", "known", "doc_id", "salt"))
     done = durable(dealt.mapInArrow(write, "name string, part int, k int, n_docs long, n_tokens long"))
     # A row per file, not per document: the running total is over the manifest only.
     before = F.sum("n_tokens").over(Window.orderBy("part", "k").rowsBetween(Window.unboundedPreceding, -1))

@@ -3,7 +3,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
-from helpers import HARD, documents
+import pytest
+from helpers import HARD, documents, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -32,19 +33,24 @@ def test_random_access():
         assert f.ids(a, z).tolist() == flat[a:z].tolist()
 
 
-def test_files_of_hard_texts(spark, monkeypatch):
+@pytest.mark.parametrize("size", [B.FILE_IDS, 500])
+def test_files_of_hard_texts(spark, size):
     tok = Tokenizer.from_file(PATH)
     tok.encode_special_tokens = True
-    rows = [*HARD, (30, "<|endoftext|> ÀÉ ǅ ́x don't  STOP now")]
-    want, start = [], 0
-    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
+    rows = [*HARD, (30, "<|endoftext|> ÀÉ ǅ ́x don't  STOP now"), *[(15, prose(k, 50)) for k in range(40)]]
+    want = []
+    for i, t in rows:
         ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
-        want.append((i, start, ids.size, zlib.crc32(ids.tobytes())))
-        start += ids.size
-    for size in (B.FILE_IDS, 500):
-        folder = B.shared_dir(spark)
-        files = B.write_files(documents(spark, rows).repartition(3), folder, PATH, 1, 49408, file_ids=size)
-        assert sorted(map(tuple, B.read_files(files, folder).collect()), key=str) == sorted(want, key=str)
+        want.append((i, ids.size, zlib.crc32(ids.tobytes())))
+    folder = B.shared_dir(spark)
+    files = B.write_files(documents(spark, rows).repartition(3), folder, PATH, 1, 49408, file_ids=size)
+    got = B.read_files(files, folder).orderBy("start").collect()
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=str) == sorted(want, key=str)
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1]]
+    ids = [(r.doc_id is not None, r.doc_id or 0) for r in got]
+    assert ids == sorted(ids)
+    if size == 500:  # one doc_id that holds much of the rows falls to several ranges
+        assert files.select("part").distinct().count() > 3
 
 
 def test_empty_table(spark):
