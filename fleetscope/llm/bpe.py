@@ -7,10 +7,10 @@ concatenates them.
 
 ``encode`` serves whole documents. Carrying ids back from distinct words to documents takes a shuffle of about the text's size, or
 the fold once per document and word; the README has the figures of both. So ``encode`` folds the same merges inside Arrow batches:
-a worker remembers the words that it has folded (at most ``CACHE_WORDS``), and nothing is shuffled.
+a worker remembers the words that it has folded (within ``CACHE_BYTES``), and nothing is shuffled.
 
 Defined cases: a null text counts as the empty text, which has no ids and decodes to no bytes; equal rows are encoded alike and
-all kept; an empty table gives no rows; ``encode`` reads doc_id and text only, ``encode_words`` and ``decode`` only the column
+all kept; a word of any length takes time in n log n of its bytes; an empty table gives no rows; ``encode`` reads doc_id and text only, ``encode_words`` and ``decode`` only the column
 named.
 """
 
@@ -20,16 +20,19 @@ import base64
 import json
 import re
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import table
 
-#: Words that a worker remembers; beyond it forgets all and starts anew.
-CACHE_WORDS = 400_000
+#: Bytes that a worker spends on remembered words, about; beyond it forgets all and starts anew.
+CACHE_BYTES = 160_000_000
+#: What an entry takes beside its word and ids, and the bytes of a word from which it isn't remembered, and is merged by a heap.
+ENTRY, LONG_WORD = 200, 100
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -39,9 +42,14 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one word: join the adjacent pair of the lowest rank, the leftmost of equals, while there is one."""
+    """Ids of one word: join the adjacent pair of the lowest rank, the leftmost of equals, while there is one.
+
+    Long words keep the candidate pairs in a heap and the pieces in a linked list, n log n in their bytes.
+    """
     if (whole := ranks.get(word)) is not None:
         return [whole]
+    if len(word) > LONG_WORD:
+        return _merge_long(word, ranks)
     parts = [word[k:k + 1] for k in range(len(word))]
     none = len(ranks) + (1 << 40)
     pairs = [ranks.get(parts[k] + parts[k + 1], none) for k in range(len(parts) - 1)]
@@ -56,6 +64,37 @@ def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts]
 
 
+def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    n, get = len(word), ranks.get
+    # A piece is named by its start; stop[k] is its end and so the piece to its right, pair[k] the rank of the two together or -1.
+    stop, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    pair = [get(word[k:k + 2], -1) for k in range(n - 1)] + [-1]
+    heap = [r * n + k for k, r in enumerate(pair) if r >= 0]
+    heapify(heap)
+    while heap:
+        r, a = divmod(heappop(heap), n)
+        if pair[a] != r:
+            continue  # one of the two has been joined to another since
+        b = stop[a]
+        stop[a] = z = stop[b]
+        pair[b] = pair[a] = -1
+        if z < n:
+            before[z] = a
+            pair[a] = r = get(word[a:stop[z]], -1)
+            if r >= 0:
+                heappush(heap, r * n + a)
+        if a:
+            left = before[a]
+            pair[left] = r = get(word[left:z], -1)
+            if r >= 0:
+                heappush(heap, r * n + left)
+    out, k = [], 0
+    while k < n:
+        out.append(ranks[word[k:stop[k]]])
+        k = stop[k]
+    return out
+
+
 class Encoder:
     """Whole texts, word by word.
 
@@ -71,12 +110,24 @@ class Encoder:
         self.ranks, self.pattern = load_ranks(path), regex.compile(pattern)
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.held = 0
+
+    def _remember(self, known: dict[str, bytes], word: str, ids: bytes) -> bytes:
+        """``ids``, remembered unless the word is long. Every entry of both tables goes through here, whatever text it is from."""
+        if len(word) <= LONG_WORD:
+            self.held += ENTRY + len(word) + len(ids)
+            if self.held > CACHE_BYTES:
+                self.chunks.clear()
+                self.words.clear()
+                self.held = ENTRY
+            known[word] = ids
+        return ids
 
     def _split(self, text: str) -> bytes:
         out = []
         for w in self.pattern.findall(text):
             if (got := self.words.get(w)) is None:
-                got = self.words[w] = np.array(merge_bytes(w.encode("utf-8", "surrogatepass"), self.ranks), "<i4").tobytes()
+                got = self._remember(self.words, w, np.array(merge_bytes(w.encode("utf-8", "surrogatepass"), self.ranks), "<i4").tobytes())
             out.append(got)
         return b"".join(out)
 
@@ -86,13 +137,11 @@ class Encoder:
             return b""
         if self.ODD.search(text):
             return self._split(text)
-        if len(self.chunks) > CACHE_WORDS or len(self.words) > CACHE_WORDS:
-            self.chunks, self.words = {}, {}
         first, *rest = text.split(" ")
         known, out = self.chunks, [self._split(first)]
         for w in rest:
             if (got := known.get(w)) is None:
-                got = known[w] = self._split(" " + w)
+                got = self._remember(known, w, self._split(" " + w))
             out.append(got)
         return b"".join(out)
 
@@ -102,7 +151,6 @@ _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id and ids (array of int) of every row."""
-    small_batches(docs.sparkSession, 500)
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,7 @@
 import base64
 import hashlib
+import random
+import time
 
 import public_tokenizers as P
 import pytest
@@ -53,3 +55,31 @@ def test_native_fold_gives_the_same_ids(spark, reference):
     assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
     for w, ids in got.collect():
         assert ids == reference.encode_ordinary(w or ""), w
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "ab", "étë你🙂", "a"])
+def test_long_words_are_merged_as_short_ones(reference, letters):
+    r = random.Random(letters)
+    for n in (bpe.LONG_WORD - 1, bpe.LONG_WORD + 1, 700, 30_000):
+        word = "".join(r.choice(letters) for _ in range(n)).encode()
+        assert bpe.merge_bytes(word, encoder.ranks) == reference._encode_single_piece(word)
+
+
+def test_a_word_of_a_million_bytes():
+    r = random.Random(1)
+    word = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000)).encode()
+    start = time.process_time()
+    ids = bpe.merge_bytes(word, encoder.ranks)
+    assert time.process_time() - start < 30  # some 4 s; a quadratic merge takes hours
+    pieces = {r: p for p, r in encoder.ranks.items()}
+    assert b"".join(pieces[i] for i in ids) == word
+
+
+def test_remembered_words_are_bounded_on_every_path(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 50_000)
+    own = bpe.Encoder(PATH, P.PATTERN)
+    for k in range(200):
+        for gap in (" ", "  "):  # plain texts, and texts that are split by the pattern as a whole
+            own.encode(gap.join(f"w{k}x{j}" for j in range(100)) + " " + "long" * 500)
+        assert (len(own.words) + len(own.chunks)) * bpe.ENTRY <= 50_000 + bpe.ENTRY
+        assert max(map(len, [*own.words, *own.chunks])) <= bpe.LONG_WORD
