@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,9 +52,13 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows of one Arrow batch, so that a Python worker never holds more than that many texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch as dicts, one at a time: only one row's values are held besides the batch.
+
+    Spark bounds a batch by bytes (``spark.sql.execution.arrow.maxBytesPerBatch``), so batches of few large rows need no setting.
+    """
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]
 
 
 def crc_mod(col: Column, m: int) -> Column:
@@ -72,17 +76,5 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(WORD_BYTES).split() if text else []
 
 
-def batches(rows: Iterable[dict], schema: pa.Schema, n: int = 2000) -> Iterator[pa.RecordBatch]:
-    """Dicts to record batches of at most n rows."""
-    out: list[dict] = []
-    for r in rows:
-        out.append(r)
-        if len(out) >= n:
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
-            out = []
-    if out:
-        yield pa.RecordBatch.from_pylist(out, schema=schema)
-
-
 def crc32(data: bytes) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import durable, small_batches, table, text_digest, words
+from .common import durable, table, text_digest, words
 
 INDEX_SCHEMA = T.StructType([
     T.StructField("segment", T.StringType()),
@@ -84,7 +84,6 @@ def build_index(docs: DataFrame, terms: list[bytes] | None = None, gap: int = 64
     ``gap`` bounds the phrases that can be looked up later. A document of more than ``segment_words`` words is a segment alone.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     kept = spark.sparkContext.broadcast(sorted(set(terms))) if terms is not None else None
     schema = pa.schema([("segment", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("doc_md5", pa.list_(pa.binary())), ("doc_starts", pa.binary()), ("doc_words", pa.binary()),
                         ("terms", pa.list_(pa.binary())), ("offsets", pa.binary()), ("positions", pa.binary())])

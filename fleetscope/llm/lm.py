@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc32, durable, small_batches, table
+from .common import crc32, durable, rows_of, table
 
 BLOCK_TOKENS = 1_500_000
 #: Keys of a bucket, about.
@@ -80,7 +80,6 @@ def unplanes(data: bytes) -> np.ndarray:
 
 def blocks_of(docs: DataFrame, folds: int, held_out: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Blocks of whole texts: ids, whether each trains, numbers of tokens, token numbers, and the hash of each numbered word."""
-    small_batches(docs.sparkSession, 500)
     schema = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("trains", pa.list_(pa.bool_())),
                         ("n_tokens", pa.list_(pa.int64())), ("total", pa.int64()), ("at", pa.binary()), ("hashes", pa.binary())])
 
@@ -245,20 +244,19 @@ def score(docs: DataFrame, folds: int = 7, held_out: int = 2, k: float = 1.0, bl
     ``held_out`` don't train."""
     spark = docs.sparkSession
     blocks = durable(blocks_of(docs, folds, held_out, block_tokens))
-    small_batches(spark, 1)  # from here on a row is a block or a block's part of a bucket
     total = blocks.agg(F.sum("total")).first()[0] or 0
     buckets = 1 << max(0, int(total // BUCKET_KEYS)).bit_length()
     special = (_hash(START),)
 
     def ask_counts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts:
-            for row in b.to_pylist():
+            for row in rows_of(b):
                 x = Block(row)
                 yield _ask(row["block"], x.keys, x.counts(), buckets)
 
     def ask_followers(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts:
-            for row in b.to_pylist():
+            for row in rows_of(b):
                 x = Block(row)
                 _, owned = _joined(row["first"])
                 order = np.argsort(x.hashes, kind="stable")
@@ -282,7 +280,7 @@ def score(docs: DataFrame, folds: int = 7, held_out: int = 2, k: float = 1.0, bl
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts:
-            for row in b.to_pylist():
+            for row in rows_of(b):
                 x = Block(row)
                 counts, _ = _joined(row["first"])
                 asked, _ = _joined(row["second"])

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, small_batches, table, text_digest, words
+from .common import durable, table, text_digest, words
 
 SHINGLE, SKETCHES, PICKS, SIMILAR = 5, 20, 3, 0.8
 #: Members and words of a chunk of a large bucket.
@@ -84,7 +84,6 @@ def order_sketch(lab: np.ndarray, n: int = SKETCHES, picks: int = PICKS) -> np.n
 
 def sketch_documents(docs: DataFrame, digest: bool = False) -> DataFrame:
     """doc_id, key (md5 of the words), n_words, sketch, words (a hash of each word) of every row; with ``digest`` text_md5 too."""
-    small_batches(docs.sparkSession, 500)
     extra = [("text_md5", pa.binary())] if digest else []
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("n_words", pa.int32()), ("sketch", pa.list_(pa.int64())), ("words", pa.binary()), *extra])
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import durable, small_batches, table
+from .common import durable, rows_of, table
 
 INDEX_COLUMNS = "ib long, ids binary, vectors binary, lists binary, members binary, places binary"
 
@@ -120,7 +120,7 @@ def search(index: DataFrame, queries: DataFrame, pivots: np.ndarray, k: int, len
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts:
-            for row in b.to_pylist():
+            for row in rows_of(b):
                 found = list(_search_block(row, pivots, length, k, share, least))
                 if found:
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*found, strict=True), schema.types, strict=True)], schema=schema)
@@ -138,7 +138,6 @@ def search(index: DataFrame, queries: DataFrame, pivots: np.ndarray, k: int, len
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, pivots: int = 256, length: int = 64, share: float = 0.2,
             least: int = 512) -> DataFrame:
     """Build the index of ``vectors`` and search it with ``queries`` (vec_id, embedding)."""
-    small_batches(vectors.sparkSession, 64)  # rows of the paired blocks are a few MB each
     all_rows = usable(vectors)
     chosen = pivots_of(all_rows, pivots)
     if not len(chosen):
