@@ -38,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove every line that an earlier document has; n_chars follows the text."""
+    """Remove passages that an earlier document has, in runs of units; n_chars follows the text."""
     cleaned = linededup.clean(docs)
     report = cleaned.columns[-1]
     n_chars = F.when(F.size(f"{report}.removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
