@@ -1,19 +1,22 @@
 """Substring dedup by hashing the units of a text.
 
-A text is cut into units: a unit ends at a line feed, at a mark of punctuation (``MARKS``) or after ``UNIT_WORDS`` words, whichever
-comes first, and takes the marks and the white space that follow it along; so the units of a passage are the same whatever stands
-before and after it, but for the first and the last one. A unit is normalised (its words in lower case, joined by a space) and hashed
-to 64 bits. Over all documents the earliest occurrence of a digest, by (doc_id, digest of the whole text, unit number), is kept.
-What is removed are runs of later occurrences, one unit after the other, that have ``MIN_WORDS`` words or ``MIN_CHARS`` characters
-together: of a passage that repeats nothing stays but a part of a unit at either end, and phrases and lines that are merely common
-stay where they are. No unit's earliest occurrence is ever removed. Removed and kept spans are offsets in code points of the original.
+The units are lines, and long lines are cut further by their content: a unit ends with its line, after a word whose digest names it
+an end (one word in four, whatever stands around it), or after ``UNIT_WORDS`` words. So the units of a passage are the same wherever
+it is put in, but for a part of a unit at either end. Words are what white space and the marks of unspaced scripts part. A unit is
+normalised (its words in lower case, A-Z, without marks at their ends, joined by a space) and hashed to 64 bits. Over all documents
+the earliest occurrence of a digest, by (doc_id, digest of the whole text, unit number), is kept.
+
+What is removed are runs of later occurrences, one unit after the other, that have ``MIN_WORDS`` words or ``MIN_BYTES`` bytes together:
+of a passage that repeats nothing stays but the few words at either end, and phrases and lines that are merely common stay where
+they are. No unit's earliest occurrence is ever removed. A unit takes what parts it from the next one along. Removed and kept spans
+are offsets in code points of the original.
 
 Each task remembers the earliest occurrence of up to ``HELD`` digests, so that an occurrence after it is known to be a later one on the
 spot; of a digest that a third of the documents hold, one row a task goes on to be compared over all, by one shuffle of numbers. Only
 documents with removed runs are cut again, to turn unit numbers into offsets.
 
 Defined cases: a null text stays null and has no units, an empty one stays empty; a null doc_id ranks first; rows equal in doc_id
-and text are the same document, whose units are kept or removed alike; a word of any length is one unit, and a text of any length is
+and text are the same document, whose units are kept or removed alike; a word of any length is one word, and a text of any length is
 taken whole; an empty table gives no rows; only doc_id and text are read by ``find`` and ``clean`` keeps all columns of its input,
 whatever their names.
 """
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import md5
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -30,18 +34,63 @@ from pyspark.sql import types as T
 
 from .common import free_name, table
 
-# White space, and the marks that end a unit.
-SPACE, MARKS = " \t\v\f\r", "\n.!?,;:。！？、，；："
+# White space, marks that part words where no spaces are written, and marks that are no part of a word's end.
+SPACE, UNSPACED, MARKS = " \t\v\f\r", "。！？、，；：", b".!?,;:"
 #: Words of a unit at most.
-UNIT_WORDS = 10
-#: What a run of repeated units has to have to be removed: this many words, or this many characters.
-MIN_WORDS, MIN_CHARS = 30, 250
-#: Digests that a task remembers before it hands them on.
+UNIT_WORDS = 16
+#: What a run of repeated units has to have to be removed: this many words, or this many bytes once normalised.
+MIN_WORDS, MIN_BYTES = 28, 300
+#: Digests (and documents) that a task remembers before it hands them on.
 HELD = 400_000
 
-UNIT = re.compile(rf"[^{MARKS}{SPACE}]+(?:[{SPACE}]+[^{MARKS}{SPACE}]+){{0,{UNIT_WORDS - 1}}}[{MARKS}{SPACE}]*|[{MARKS}{SPACE}]+")
-WORD = re.compile(rf"[^{MARKS}{SPACE}]+")
-DOC = "doc_id long, doc long, "
+TOKEN = re.compile(rf"[^{SPACE}{UNSPACED}\n]+|\n")
+
+
+class Words(dict):
+    """Of a word in lower case: its normal form, and whether a unit ends after it."""
+
+    def __missing__(self, word: bytes) -> tuple[bytes, bool]:
+        if len(self) > 1_000_000:
+            self.clear()
+        plain = word.strip(MARKS)
+        self[word] = got = plain, md5(plain).digest()[0] < 64
+        return got
+
+
+WORDS = Words()
+
+
+def units_of(text: str) -> Iterator[list[bytes]]:
+    """The normalised words of every unit."""
+    for mark in UNSPACED:
+        if mark in text:
+            text = text.replace(mark, " ")
+    for line in text.encode("utf-8", "surrogatepass").lower().split(b"\n"):
+        unit = []
+        for word in line.split():
+            plain, last = WORDS[word]
+            unit.append(plain)
+            if last or len(unit) == UNIT_WORDS:
+                yield unit
+                unit = []
+        if unit:
+            yield unit
+
+
+def starts_of(text: str) -> list[int]:
+    """Where each unit starts in the text; a unit goes on to the start of the next one."""
+    out, held = [], 0
+    for m in TOKEN.finditer(text):
+        token = m.group()
+        if token == "\n":
+            held = 0
+            continue
+        if not held:
+            out.append(m.start())
+        held += 1
+        if held == UNIT_WORDS or WORDS[token.encode("utf-8", "surrogatepass").lower()][1]:
+            held = 0
+    return out
 
 
 def doc_digest(text: Column) -> Column:
@@ -50,103 +99,91 @@ def doc_digest(text: Column) -> Column:
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """doc_id, doc (digest of the text), unit (number), words, chars, key and late of every unit with a word.
+    """doc_id, doc (digest of the text), at (the unit's number * 2^25 + its words * 2^20 + its bytes), key and late of every unit.
 
     ``late`` units are known to be later occurrences; the others of a digest share its ``key``, one for each task that meets it.
     """
     import xxhash
 
-    schema = pa.schema([("doc_id", pa.int64()), ("doc", pa.int64()), ("unit", pa.int64()), ("words", pa.int64()), ("chars", pa.int64()),
-                        ("key", pa.int64()), ("late", pa.bool_())])
+    schema = pa.schema([("doc_id", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()), ("key", pa.int64()), ("late", pa.bool_())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first: dict[int, tuple] = {}
+        seen: set[tuple] = set()
         late: list[tuple] = []
 
         def out(rows: list[tuple], keys: list[int], is_late: bool) -> pa.RecordBatch:
-            order, words, chars = zip(*rows, strict=True) if rows else ((), (), ())
+            known, ids, doc, at = zip(*rows, strict=True) if rows else ((), (), (), ())
             return pa.record_batch([
-                pa.array([o[1] if o[0] else None for o in order], pa.int64()), pa.array([o[2] for o in order], pa.int64()),
-                pa.array([o[3] for o in order], pa.int64()), pa.array(words, pa.int64()), pa.array(chars, pa.int64()), pa.array(keys, pa.int64()),
-                pa.array([is_late] * len(rows), pa.bool_())], schema=schema)
+                pa.array([i if k else None for k, i in zip(known, ids, strict=True)], pa.int64()), pa.array(doc, pa.int64()), pa.array(at, pa.int64()),
+                pa.array(keys, pa.int64()), pa.array([is_late] * len(rows), pa.bool_())], schema=schema)
 
         def spread(rows: list[tuple]) -> list[int]:
-            return [(o[2] + 0x9E3779B97F4A7C15 * o[3]) % (1 << 64) - (1 << 63) for o, _, _ in rows]
+            return [(doc + 0x9E3779B97F4A7C15 * at) % (1 << 64) - (1 << 63) for _, _, doc, at in rows]
 
         for b in parts:
             for i, doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                known, number = (False, 0) if i is None else (True, i), -1
-                for m in UNIT.finditer(text.as_py()):
+                known, number = (False, 0) if i is None else (True, i), 0
+                if (*known, doc) in seen:
+                    continue  # the same document once more
+                seen.add((*known, doc))
+                for words in units_of(text.as_py()):
+                    plain = b" ".join(words)
+                    here = (*known, doc, number << 25 | len(words) << 20 | min(len(plain), (1 << 20) - 1))
                     number += 1
-                    piece = m.group()
-                    words = WORD.findall(piece.lower())
-                    if not words:
-                        continue
-                    digest = xxhash.xxh3_64_intdigest(" ".join(words).encode("utf-8", "surrogatepass")) - (1 << 63)
-                    here = ((*known, doc, number), len(words), len(piece))
+                    digest = xxhash.xxh3_64_intdigest(plain) - (1 << 63)
                     there = first.setdefault(digest, here)
-                    if there[0] < here[0]:
+                    if there < here:
                         late.append(here)
-                    elif there[0] > here[0]:
+                    elif there > here:
                         first[digest] = here
                         late.append(there)
                 if len(late) > 50_000:
                     yield out(late, spread(late), True)
                     late = []
-                if len(first) > HELD:
+                if len(first) + len(seen) > HELD:
                     yield out(list(first.values()), list(first), False)
-                    first = {}
+                    first, seen = {}, set()
         yield out(late, spread(late), True)
         yield out(list(first.values()), list(first), False)
 
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_digest(text).alias("doc"), text.alias("text")).filter("text IS NOT NULL")
-    return rows.mapInArrow(run, DOC + "unit long, words long, chars long, key long, late boolean")
+    return rows.mapInArrow(run, "doc_id long, doc long, at long, key long, late boolean")
 
 
-def find(docs: DataFrame, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS) -> DataFrame:
+def find(docs: DataFrame, min_words: int = MIN_WORDS, min_bytes: int = MIN_BYTES) -> DataFrame:
     """doc_id, doc and runs (first and last unit, in ascending order) of every document that loses any."""
-    order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "doc", "unit")
-    # numbers of one unit in one long, which halves what is shuffled; a unit's words and characters matter up to the minimum only
-    size = F.least(F.col("words"), F.lit(1023)) * (1 << 20) + F.least(F.col("chars"), F.lit((1 << 20) - 1))
-    slim = units(docs).select("key", "late", "doc_id", "doc", "unit", size.alias("size"))
+    order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "doc", "at")
     first = F.min(order).over(Window.partitionBy("key", "late"))
-    later = slim.withColumn("order", order).withColumn("first", first).filter(F.col("late") | (F.col("order") > F.col("first")))
-    once = later.groupBy("doc_id", "doc", "unit").agg(F.first("size").alias("size"))
-    in_doc = Window.partitionBy("doc_id", "doc").orderBy("unit")
-    runs = (once.withColumn("run", F.col("unit") - F.row_number().over(in_doc)).groupBy("doc_id", "doc", "run")
-            .agg(F.min("unit").alias("first"), F.max("unit").alias("last"), F.sum(F.shiftright("size", 20)).alias("words"),
-                 F.sum(F.col("size").bitwiseAND((1 << 20) - 1)).alias("chars"))
-            .filter((F.col("words") >= min_words) | (F.col("chars") >= min_chars)))
+    later = units(docs).withColumn("order", order).withColumn("first", first).filter(F.col("late") | (F.col("order") > F.col("first")))
+    # a document that several tasks met is once in each, so its rows stay few; one shuffle serves all that follows
+    once = later.select("doc_id", "doc", "at").repartition("doc_id", "doc").groupBy("doc_id", "doc", "at").agg(F.count(F.lit(1)).alias("times"))
+    unit, words, size = F.shiftright("at", 25), F.shiftright("at", 20).bitwiseAND(31), F.col("at").bitwiseAND((1 << 20) - 1)
+    in_doc = Window.partitionBy("doc_id", "doc").orderBy("at")
+    runs = (once.withColumn("run", unit - F.row_number().over(in_doc)).groupBy("doc_id", "doc", "run")
+            .agg(F.min(unit).alias("first"), F.max(unit).alias("last"), F.sum(words).alias("words"), F.sum(size).alias("bytes"))
+            .filter((F.col("words") >= min_words) | (F.col("bytes") >= min_bytes)))
     return runs.groupBy("doc_id", "doc").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs"))
 
 
 def cut(text: str, runs: list[tuple[int, int]]) -> tuple[str, int, list[tuple[int, int]], list[tuple[int, int]]]:
     """What stays of the text, the units removed, and the removed and the kept spans."""
-    removed, kept, at, wanted = [], [], 0, iter(runs)
-    first, last = next(wanted, (None, None))
-    for number, m in enumerate(UNIT.finditer(text)):
-        if number == first:
-            start = m.start()
-        if number == last:
-            removed.append((start, m.end()))
-            if start > at:
-                kept.append((at, start))
-            at = m.end()
-            first, last = next(wanted, (None, None))
-    if at < len(text):
-        kept.append((at, len(text)))
+    starts = [*starts_of(text), len(text)]
+    removed = [(starts[a], starts[z + 1]) for a, z in runs]
+    edges = [0, *(x for span in removed for x in span), len(text)]
+    kept = [(a, z) for a, z in zip(edges[::2], edges[1::2], strict=True) if z > a]
     return "".join(text[a:z] for a, z in kept), sum(z - a + 1 for a, z in runs), removed, kept
 
 
-def clean(docs: DataFrame, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS) -> DataFrame:
+def clean(docs: DataFrame, min_words: int = MIN_WORDS, min_bytes: int = MIN_BYTES) -> DataFrame:
     """``docs`` with the cleaned text, and a struct ``dedup``: n_removed (units), removed and kept (start and end of each span).
 
     The struct's name gives way (``dedup_``, ...) if the input has a column of that name already.
     """
     key, digest, runs, out = (free_name(docs, n) for n in ("row_doc", "row_digest", "runs", "dedup"))
     whole = docs.withColumn("text", F.col("text").cast("string"))
-    found = find(docs, min_words, min_chars).toDF(key, digest, runs)
+    found = find(docs, min_words, min_bytes).toDF(key, digest, runs)
     joined = whole.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(key)) & (doc_digest(F.col("text")) == F.col(digest)), "left")
     joined = joined.select(*(F.col(f"`{c}`") for c in docs.columns), runs)
     place, n = docs.columns.index("text"), len(docs.columns)
@@ -182,30 +219,39 @@ def op9_line_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP9_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, text, ('0x' || substr(md5(text), 1, 15))::BIGINT AS m FROM documents
-), p AS (
-  SELECT r, doc_id, m, unnest(pieces) AS piece, unnest(range(len(pieces))) AS unit
+), t AS (
+  SELECT r, doc_id, m, unnest(tokens) AS token, unnest(range(len(tokens))) AS k
   FROM (SELECT r, doc_id, m, regexp_extract_all(text,
-    '[^\n.!?,;:。！？、，；：\x20\x09\x0B-\x0D]+(?:[\x20\x09\x0B-\x0D]+[^\n.!?,;:。！？、，；：\x20\x09\x0B-\x0D]+){0,9}[\n.!?,;:。！？、，；：\x20\x09\x0B-\x0D]*|[\n.!?,;:。！？、，；：\x20\x09\x0B-\x0D]+') AS pieces FROM d)
+    '[^\n。！？、，；：\x20\x09\x0B-\x0D]+[\n。！？、，；：\x20\x09\x0B-\x0D]*|[\n。！？、，；：\x20\x09\x0B-\x0D]+') AS tokens FROM d)
+), w AS (
+  SELECT *, (sum(length(token)) OVER (PARTITION BY r ORDER BY k))::BIGINT AS stop,
+    translate(regexp_replace(token, '[\n。！？、，；：\x20\x09\x0B-\x0D]+', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word FROM t
+), e AS (
+  SELECT *, trim(word, '.!?,;:') AS plain, CASE WHEN md5(trim(word, '.!?,;:')) < '4' OR contains(token, chr(10)) THEN 1 ELSE 0 END AS ends FROM w WHERE word <> ''
+), s AS (
+  SELECT *, sum(ends) OVER (PARTITION BY r ORDER BY k) - ends AS seg FROM e
+), c AS (
+  SELECT *, (row_number() OVER (PARTITION BY r, seg ORDER BY k) - 1) // 16 AS part FROM s
 ), u AS (
-  SELECT *, trim(regexp_replace(lower(piece), '[\n.!?,;:。！？、，；：\x20\x09\x0B-\x0D]+', ' ', 'g')) AS plain,
-    (sum(length(piece)) OVER (PARTITION BY r ORDER BY unit))::BIGINT AS stop FROM p
+  SELECT r, doc_id, m, row_number() OVER (PARTITION BY r ORDER BY seg, part) AS unit, string_agg(plain, ' ' ORDER BY k) AS plain, count(*) AS words,
+    min(stop - length(token)) AS start, max(stop) AS stop
+  FROM c GROUP BY r, doc_id, m, seg, part
 ), o AS (
-  SELECT *, (CASE WHEN doc_id IS NULL THEN 0 ELSE 1 END, coalesce(doc_id, 0), m, unit) AS place FROM u WHERE plain <> ''
+  SELECT *, (CASE WHEN doc_id IS NULL THEN 0 ELSE 1 END, coalesce(doc_id, 0), m, unit) AS place FROM u
 ), f AS (
   SELECT plain, min(place) AS first FROM o GROUP BY 1
 ), later AS (
   SELECT o.*, unit - row_number() OVER (PARTITION BY r ORDER BY unit) AS run FROM o JOIN f USING (plain) WHERE place > first
 ), runs AS (
-  SELECT r, run, min(unit) AS a, max(unit) AS z, min(stop - length(piece)) AS start, max(stop) AS stop, count(*) AS n FROM later GROUP BY r, run
-  HAVING sum(length(plain) - length(replace(plain, ' ', '')) + 1) >= 30 OR sum(length(piece)) >= 250
-), marked AS (
-  SELECT u.r, u.unit, u.piece, runs.r IS NOT NULL AS gone FROM u LEFT JOIN runs ON u.r = runs.r AND u.unit BETWEEN runs.a AND runs.z
-), stays AS (
-  SELECT r, string_agg(piece, '' ORDER BY unit) FILTER (NOT gone) AS text FROM marked GROUP BY r
+  SELECT r, run, min(start) AS start, max(stop) AS stop, count(*) AS n FROM later GROUP BY r, run
+  HAVING sum(words) >= 28 OR sum(strlen(plain)) >= 300
 ), removed AS (
-  SELECT r, sum(n)::BIGINT AS n_removed, string_agg(start || '-' || stop, ',' ORDER BY start) AS spans FROM runs GROUP BY r
+  SELECT r, sum(n)::BIGINT AS n_removed, list((start, stop) ORDER BY start) AS spans, string_agg(start || '-' || stop, ',' ORDER BY start) AS shown FROM runs GROUP BY r
+), kept AS (
+  SELECT r, string_agg(token, '' ORDER BY k) AS text FROM (
+    SELECT w.r, w.k, w.token FROM w WHERE NOT EXISTS (SELECT 1 FROM runs WHERE runs.r = w.r AND w.stop > runs.start AND w.stop <= runs.stop)) GROUP BY r
 )
-SELECT d.doc_id, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(spans, '') AS removed_spans,
-  CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(stays.text, '') END AS text
-FROM d LEFT JOIN removed USING (r) LEFT JOIN stays USING (r)
+SELECT d.doc_id, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(shown, '') AS removed_spans,
+  CASE WHEN d.text IS NULL THEN NULL WHEN removed.r IS NULL THEN d.text ELSE coalesce(kept.text, '') END AS text
+FROM d LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)
 """

@@ -13,48 +13,51 @@ ROWS = [
 ]
 
 
-def brute(rows, min_words, min_chars):
-    marks, space = "\n.!?,;:。！？、，；：", " \t\v\f\r"
+def brute(rows, min_words, min_bytes):
+    apart = " \t\v\f\r。！？、，；："
+    low = lambda x: "".join(c.lower() if c.isascii() else c for c in x)
 
     def units(t):
         """(start, end, normalised) by a walk over the characters."""
-        out, at = [], 0
+        found, at, unit, start = [], 0, [], 0
         while at < len(t):
-            z, words = at, []
-            while z < len(t) and len(words) < 10:
-                e = z
-                while e < len(t) and t[e] not in marks + space:
-                    e += 1
-                if e == z:
-                    break
-                words.append(t[z:e].lower())
-                z = e
-                while z < len(t) and t[z] in space:
-                    z += 1
-            while z < len(t) and t[z] in marks + space:
+            if t[at] == "\n" or t[at] in apart:
+                if t[at] == "\n" and unit:
+                    found.append((start, unit))
+                    unit = []
+                at += 1
+                continue
+            z = at
+            while z < len(t) and t[z] != "\n" and t[z] not in apart:
                 z += 1
-            out.append((at, z, " ".join(words)))
+            start = start if unit else at
+            unit.append(low(t[at:z]).strip(".!?,;:"))
+            if len(unit) == 16 or hashlib.md5(unit[-1].encode()).hexdigest() < "4":
+                found.append((start, unit))
+                unit = []
             at = z
-        return out
+        if unit:
+            found.append((start, unit))
+        ends = [*(s for s, _ in found[1:]), len(t)]
+        return [(s, z, " ".join(u), len(u)) for (s, u), z in zip(found, ends, strict=True)] if found else []
 
     doc = lambda t: int(hashlib.md5(t.encode()).hexdigest()[:15], 16)
     first, out = {}, []
     for i, t in rows:
-        for k, (_, _, n) in enumerate(units(t or "")):
-            if n:
-                first[n] = min(first.get(n, (9,)), (i is not None, i or 0, doc(t), k))
+        for k, (_, _, n, _) in enumerate(units(t or "")):
+            first[n] = min(first.get(n, (9,)), (i is not None, i or 0, doc(t), k))
     for i, t in rows:
         if t is None:
             out.append((i, None, 0, [], []))
             continue
         us = units(t)
-        late = [bool(n) and first[n] < (i is not None, i or 0, doc(t), k) for k, (_, _, n) in enumerate(us)]
+        late = [first[n] < (i is not None, i or 0, doc(t), k) for k, (_, _, n, _) in enumerate(us)]
         gone, k = [], 0
         while k < len(us):
             z = k
             while z < len(us) and late[z]:
                 z += 1
-            if z > k and (sum(len(n.split(" ")) for _, _, n in us[k:z]) >= min_words or us[z - 1][1] - us[k][0] >= min_chars):
+            if z > k and (sum(m for *_, m in us[k:z]) >= min_words or sum(len(n.encode()) for _, _, n, _ in us[k:z]) >= min_bytes):
                 gone.append((k, z))
             k = max(z, k + 1)
         removed = [(us[a][0], us[z - 1][1]) for a, z in gone]
@@ -64,14 +67,14 @@ def brute(rows, min_words, min_chars):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize(("words", "chars", "held"), [(linededup.MIN_WORDS, linededup.MIN_CHARS, linededup.HELD), (4, 40, 5), (1, 1, 50), (12, 10**6, 10**6)])
-def test_equal_to_brute_force(spark, monkeypatch, words, chars, held):
+@pytest.mark.parametrize(("words", "size", "held"), [(linededup.MIN_WORDS, linededup.MIN_BYTES, linededup.HELD), (4, 40, 5), (1, 1, 50), (12, 10**6, 10**6)])
+def test_equal_to_brute_force(spark, monkeypatch, words, size, held):
     monkeypatch.setattr(linededup, "HELD", held)
-    cleaned = linededup.clean(documents(spark, ROWS).repartition(4), words, chars)
+    cleaned = linededup.clean(documents(spark, ROWS).repartition(4), words, size)
     report = cleaned.columns[-1]
     assert report == "dedup_" and cleaned.columns[:-1] == documents(spark, []).columns
     got = [(r.doc_id, r.text, r[report].n_removed, [tuple(x) for x in r[report].removed], [tuple(x) for x in r[report].kept]) for r in cleaned.collect()]
-    assert sorted(got, key=str) == brute(ROWS, words, chars)
+    assert sorted(got, key=str) == brute(ROWS, words, size)
 
 
 def test_a_passage_goes_wherever_it_is_put_in_and_common_lines_stay(spark):
