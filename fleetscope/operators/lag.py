@@ -1,19 +1,17 @@
-"""Previous-row values per key (offset-1 LAG), by levels of time, so that no key is one task.
-
-A plain ``lag`` over ``partitionBy(key)`` sorts all rows of one key in one
-task: a train or tower carrying a third of the table would serialise the job.
-By default the lag runs per (key, day): ``buckets`` are ``date_trunc`` units of
-the leading order column, finest first; ``("minute", "day")`` suits dense data
-and ``()`` is the plain lag, for a key column known to be fine.
-The first row of a bucket then needs the last row of the previous non-empty
-bucket of the same key: the last row of every (key, bucket) forms a boundary
-table (read off the same window pass), and *its* previous row per key is
-found the same way one level coarser (per (key, day) with a (key, day) boundary table, and finally a plain
-lag per key over the few coarsest buckets).  Every window therefore holds at
-most one bucket of one key; the rows are shuffled once, each boundary level
-is a much smaller table, co-partitioned with the level above it so the
-large side of every join stays in place.  The answer equals
-the plain lag exactly.
+"""Previous-row values per key (offset-1 LAG) in which a hot key is no single task.
+
+A plain ``lag`` over ``partitionBy(key)`` is one shuffle and one window, but sorts all rows of one key in one task: a train or
+tower that carries a third of the table would serialise the job. So the keys with more than ``HOT_ROWS`` rows are counted first
+(one small aggregate over the key column; at most rows / ``HOT_ROWS`` keys can be), and only their rows take the levelled way:
+
+the lag runs per (key, time bucket), ``buckets`` being ``date_trunc`` units of the leading order column, finest first. The first
+row of a bucket needs the last row of the previous non-empty bucket of its key: the last row of every bucket forms a boundary table,
+read off the same window (``lead`` is absent there), and *its* previous row is found the same way one level coarser, finally by a
+plain lag per key over the few coarsest buckets. One window per level; every window holds at most one bucket of one key, the rows are
+shuffled once, and each boundary table is much smaller and co-partitioned with the level above it, so the large side of every join
+stays in place. The answer equals the plain lag exactly.
+
+``buckets`` given takes the levelled way for every key, ``()`` the plain lag for every key.
 """
 
 from __future__ import annotations
@@ -24,8 +22,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# One level: the rows are shuffled once, on (key, day), and the boundary table has a row per key and day.
-DAY_BUCKETS = ("day",)
+#: Rows of a key from which its rows are parted by time; a window sorts at most that many rows, some 100 MB.
+HOT_ROWS = 1_000_000
+#: The levels for hot keys: minutes of a day, days.
+HOT_BUCKETS = ("minute", "day")
 
 
 def _first_bucket() -> Column:
@@ -38,20 +38,39 @@ def _as_list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """The keys with more than ``hot_rows`` rows, one row each; None if there are none."""
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys).toArrow()
+    return df.sparkSession.createDataFrame(found) if found.num_rows else None
+
+
 def previous_row(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
                  cols: Sequence[str], prefix: str = "previous_",
-                 buckets: Sequence[str] = DAY_BUCKETS,
-                 boundary_source: DataFrame | None = None) -> DataFrame:
+                 buckets: Sequence[str] | None = None,
+                 boundary_source: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same ``key``.
 
     ``order`` (ascending) should be unique within a key for a deterministic
     answer; its first column must be a timestamp unless ``buckets`` is empty.
-    Previous *row*, not previous non-NULL value.
+    Previous *row*, not previous non-NULL value.  A NULL key is a key.
     ``boundary_source``: a cheaper frame with the same rows (e.g. the stored
-    table ``df`` was derived from) to read the bucket boundaries from, so the
-    boundary pass does not re-derive ``df``.
+    table ``df`` was derived from) to count the keys in and to read the bucket
+    boundaries from, so those passes do not re-derive ``df``.
     """
     keys, order, cols = _as_list(key), _as_list(order), list(cols)
+    if buckets is None:
+        hot = hot_keys(df if boundary_source is None else boundary_source, keys, hot_rows)
+        if hot is None:
+            return previous_row(df, keys, order, cols, prefix, ())
+
+        def part(frame: DataFrame, how: str) -> DataFrame:
+            # at most rows / hot_rows keys: a broadcast of a proven size
+            mark = hot.select(F.struct(*keys).alias("_hot"))
+            return frame.join(F.broadcast(mark), F.struct(*[F.col(k) for k in keys]) == F.col("_hot"), how)
+
+        bsrc = None if boundary_source is None else part(boundary_source, "left_semi")
+        return (previous_row(part(df, "left_anti"), keys, order, cols, prefix, ())
+                .unionByName(previous_row(part(df, "left_semi"), keys, order, cols, prefix, HOT_BUCKETS, bsrc)))
     # One struct key: struct fields compare NULL = NULL, so a NULL key is a group of its
     # own (as in a SQL window) while every join stays a plain, co-partitioned equi-join.
     # The keys travel only inside the struct (unpacked at the end), so the lag pass and the
@@ -76,25 +95,22 @@ def _previous(df: DataFrame, keys: list, order: list, cols: list, units: list, l
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({f"_prev_{c}": F.lag(c).over(w) for c in cols})
 
-    b, rn, cnt, carry = f"_b{level}", f"_rn{level}", f"_cnt{level}", f"_carry{level}"
+    b, head, tail, carry = f"_b{level}", f"_head{level}", f"_tail{level}", f"_carry{level}"
     # a NULL timestamp goes to a bucket that sorts before every real one (NULLS FIRST)
     bucket = F.coalesce(F.date_trunc(units[0], F.col(order[0])).cast("timestamp_ntz"), _first_bucket())
-    x = df.withColumn(b, bucket)
     w = Window.partitionBy(*keys, b).orderBy(*order)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    inner = (x.withColumns({f"_prev_{c}": F.lag(c).over(w) for c in cols})
-              .withColumn(rn, F.row_number().over(w))
-              .withColumn(cnt, F.count(F.lit(1)).over(whole)))
+    ends = {head: F.lag(F.lit(1)).over(w).isNull(), tail: F.lead(F.lit(1)).over(w).isNull()}
+    inner = df.withColumn(b, bucket).withColumns({**{f"_prev_{c}": F.lag(c).over(w) for c in cols}, **ends})
 
     # Boundary table: the last row of each (key, bucket), taken from the same
-    # window pass (same partitioning and order, so no extra shuffle or sort);
+    # window (same partitioning and order, so no extra shuffle or sort);
     # the whole row is carried because the value itself may be NULL.
     if boundary_source is None:
         ranked = inner
     else:
         ranked = (boundary_source.select(*keys, *dict.fromkeys([*order, *cols])).withColumn(b, bucket)
-                  .withColumn(rn, F.row_number().over(w)).withColumn(cnt, F.count(F.lit(1)).over(whole)))
-    last = (ranked.filter(F.col(rn) == F.col(cnt))
+                  .withColumn(tail, ends[tail]))
+    last = (ranked.filter(F.col(tail))
                   .select(*keys, b, F.struct(*[F.col(c).alias(c) for c in cols]).alias("_last")))
     # Previous non-empty bucket of the same key: the same problem one level coarser.
     prev_last = _previous(last, keys, [b], ["_last"], units[1:], level + 1)
@@ -102,5 +118,5 @@ def _previous(df: DataFrame, keys: list, order: list, cols: list, units: list, l
 
     out = inner.join(prev_last, [*keys, b], "left")
     out = out.withColumns({
-        f"_prev_{c}": F.when(F.col(rn) == 1, F.col(carry)[c]).otherwise(F.col(f"_prev_{c}")) for c in cols})
-    return out.drop(b, rn, cnt, carry)
+        f"_prev_{c}": F.when(F.col(head), F.col(carry)[c]).otherwise(F.col(f"_prev_{c}")) for c in cols})
+    return out.drop(b, head, tail, carry)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetscope.functions.expr import date_key, seconds_between, speed_band, time_key
 from fleetscope.operators.dedup import keep_first
-from fleetscope.operators.lag import DAY_BUCKETS, previous_row
+from fleetscope.operators.lag import previous_row
 from fleetscope.schema import KEYS, MART_ORDER, MART_ROUNDING, TEMP_MAX
 
 
@@ -29,7 +29,7 @@ def add_keys(df: DataFrame, ts: str = "timestamp") -> DataFrame:
     return df.withColumns({"DateKey": date_key(ts), "TimeKey": time_key(ts)})
 
 
-def add_train_deltas(df: DataFrame, buckets: Sequence[str] = DAY_BUCKETS) -> DataFrame:
+def add_train_deltas(df: DataFrame, buckets: Sequence[str] | None = None) -> DataFrame:
     """M5 + M6: signed temperature delta and minutes since the previous reading of the train."""
     t = previous_row(df, "train_id", ["timestamp"], ["temp_celsius", "timestamp"], prefix="_pt_", buckets=buckets)
     return t.withColumns({
@@ -38,7 +38,7 @@ def add_train_deltas(df: DataFrame, buckets: Sequence[str] = DAY_BUCKETS) -> Dat
     }).drop("_pt_temp_celsius", "_pt_timestamp")
 
 
-def add_tower_delta(df: DataFrame, buckets: Sequence[str] = DAY_BUCKETS,
+def add_tower_delta(df: DataFrame, buckets: Sequence[str] | None = None,
                     boundary_source: DataFrame | None = None) -> DataFrame:
     """M7: absolute signal delta per tower (readings at a tower ordered by time, then train)."""
     s = previous_row(df, "cell_tower_id", ["timestamp", "train_id"], ["signal_strength_dbm"],
@@ -47,7 +47,7 @@ def add_tower_delta(df: DataFrame, buckets: Sequence[str] = DAY_BUCKETS,
     return s.withColumn("delta_signal_dbm", delta).drop("_ps_signal_strength_dbm")
 
 
-def add_deltas(df: DataFrame, buckets: Sequence[str] = DAY_BUCKETS) -> DataFrame:
+def add_deltas(df: DataFrame, buckets: Sequence[str] | None = None) -> DataFrame:
     """M5-M7."""
     # the tower boundaries come straight from ``df`` (same rows), not from the train-lag output
     return add_tower_delta(add_train_deltas(df, buckets), buckets, boundary_source=df)
@@ -82,7 +82,7 @@ def unique_rows(raw: DataFrame, order: Sequence[str | Column] = ("event_id",),
     return keep_first(add_keys(round_columns(narrow)), KEYS, ["_order"]).drop("_order")
 
 
-def bi_mart(unique: DataFrame, buckets: Sequence[str] = DAY_BUCKETS) -> DataFrame:
+def bi_mart(unique: DataFrame, buckets: Sequence[str] | None = None) -> DataFrame:
     """M5-M9 and the column order of the 17-column mart, from ``unique_rows``.
 
     A lazy plan.  ``unique`` feeds both lags and their boundary passes, so a
