@@ -1,11 +1,12 @@
 """Command-line entry points (one Spark job each).
 
-  python -m fleetscope load    SOURCE TABLE [--format parquet|csv] [--newest STEM]
+  python -m fleetscope load    SOURCE TABLE [--format parquet|csv] [--newest STEM] [--ids] [--range COLUMN LOW HIGH]
   python -m fleetscope reports TABLE OUT_DIR [--mode canonical|raw]
   python -m fleetscope mart    SOURCE OUT --scratch DIR [--newest STEM] [--partition-by-date]
 
 ``load`` appends new (train_id, timestamp) keys of SOURCE to the day-partitioned
-Parquet TABLE (idempotent) and prints what it read; ``reports`` runs the eleven
+Parquet TABLE (idempotent) and prints what it read and rejected, with ``--ids`` it
+numbers the rows over all loads; ``reports`` runs the eleven
 reports over TABLE and writes one CSV per non-empty report plus a manifest;
 ``mart`` builds the BI mart from raw telemetry and writes it clustered by
 (DateKey, train_id, TimeKey).  With ``--newest`` SOURCE is a folder and its
@@ -33,6 +34,8 @@ def main(argv=None) -> None:
     a.add_argument("table")
     a.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     a.add_argument("--newest", metavar="STEM")
+    a.add_argument("--ids", action="store_true")
+    a.add_argument("--range", nargs=3, action="append", default=[], metavar=("COLUMN", "LOW", "HIGH"))
     r = sub.add_parser("reports")
     r.add_argument("table")
     r.add_argument("out_dir")
@@ -54,7 +57,8 @@ def main(argv=None) -> None:
         source, fmt = found[0]
     if args.cmd == "load":
         from fleetscope.sources.ingest import load_files
-        print(load_files(spark, source, args.table, fmt=fmt))
+        ranges = {c: (float(lo), float(hi)) for c, lo, hi in args.range}
+        print(load_files(spark, source, args.table, fmt=fmt, ranges=ranges, id_name="id" if args.ids else None))
     elif args.cmd == "reports":
         from fleetscope.plans.manifest import run_reports
         from fleetscope.sources.files import write_csv

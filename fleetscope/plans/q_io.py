@@ -125,6 +125,60 @@ def i10_csv(spark, d):
     return IO.read_parquet(spark, f"{base}/table").select(*COLUMNS)
 
 
+@register("i10_pruned_load", f"""SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS rows,
+  bool_or(day IN (SELECT CAST(timestamp AS DATE) FROM later)) AS read_again
+FROM (SELECT train_id, timestamp, CAST(timestamp AS DATE) AS day FROM train_telemetry WHERE timestamp < TIMESTAMP '{FIRST_LOAD_END}'
+      UNION SELECT train_id, timestamp, CAST(timestamp AS DATE) FROM later) GROUP BY day""",
+          """later AS (SELECT train_id, CASE WHEN event_id % 97 = 5 THEN TIMESTAMP '1970-01-01 00:00:00' ELSE timestamp END AS timestamp
+  FROM train_telemetry WHERE timestamp >= TIMESTAMP '2024-01-15 00:00:00' AND timestamp < TIMESTAMP '2024-01-17 00:00:00')""")
+def i10_pruned(spark, d):
+    """A second load of two days, one of them stored already, with stray timestamps of 1970: rows a day, and whether the load reads it."""
+    path = IO.scratch_path(spark, "pruned")
+    t = train_telemetry(spark, d)
+    ING.append_if_absent(t.filter(F.col("timestamp") < F.lit(FIRST_LOAD_END).cast("timestamp_ntz")), path)
+    at = F.col("timestamp").cast("string")
+    stray = F.when(F.col("event_id") % 97 == 5, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).otherwise(F.col("timestamp"))
+    later = t.filter((at >= "2024-01-15") & (at < "2024-01-17")).withColumn("timestamp", stray)
+    ING.append_if_absent(later, path)
+    days = [r[0] for r in later.select(F.to_date("timestamp")).distinct().collect()]
+    table = IO.read_parquet(spark, path)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "day=([0-9-]+)", 1).alias("day")
+    read = ING.stored_days(spark, path, table.schema, days).select(folder).distinct().withColumn("read_again", F.lit(True))
+    per_day = table.groupBy(F.col(ING.DAY).cast("string").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+    return per_day.join(read, "day", "left").withColumn("read_again", F.coalesce("read_again", F.lit(False)))
+
+
+@register("i09_ids_on_load", f"""SELECT row_number() OVER (ORDER BY timestamp >= TIMESTAMP '{FIRST_LOAD_END}', train_id, timestamp) AS id, {COLS}
+FROM train_telemetry""")
+def i09_load(spark, d):
+    """Ids that the loader hands out: two loads, the first of which is run again between them and after them."""
+    path = IO.scratch_path(spark, "numbered")
+    raw = raw_telemetry(spark, d)
+    first = F.col("timestamp") < F.lit(FIRST_LOAD_END).cast("timestamp_ntz")
+    for batch in (raw.filter(first), raw.filter(first), raw, raw.filter(first)):
+        ING.append_if_absent(batch, path, id_name="id")
+    return IO.read_parquet(spark, path).select("id", *COLUMNS)
+
+
+@register("a16_load_counters", f"""SELECT count(*) AS rows, CAST(0 AS BIGINT) AS corrupt, count(*) FILTER (no_key) AS null_keys,
+  count(*) FILTER (NOT no_key AND NOT inside) AS out_of_range,
+  count(*) FILTER (NOT no_key AND inside) - (SELECT count(*) FROM fresh) AS duplicates,
+  (SELECT count(*) FROM fresh WHERE stored) AS known, (SELECT count(*) FROM fresh WHERE NOT stored) AS loaded FROM checked""",
+          f"""checked AS (SELECT *, event_id % 41 = 3 AS no_key, coalesce(temp_celsius BETWEEN {TEMP_MIN!r} AND {TEMP_MAX!r}, false) AS inside
+  FROM raw_telemetry),
+fresh AS (SELECT train_id, timestamp, timestamp < TIMESTAMP '{FIRST_LOAD_END}' AS stored FROM checked WHERE NOT no_key AND inside GROUP BY ALL)""")
+def a16_load(spark, d):
+    """What the load rejects, counted in its own pass over the source; the first half of the readings is stored before."""
+    base = IO.scratch_path(spark, "counted")
+    raw = raw_telemetry(spark, d).withColumn("train_id", F.when(F.col("event_id") % 41 != 3, F.col("train_id")))
+    IO.write_parquet(raw, f"{base}/all")
+    IO.write_parquet(raw.filter(F.col("timestamp") < F.lit(FIRST_LOAD_END).cast("timestamp_ntz")), f"{base}/half")
+    ranges = {"temp_celsius": (TEMP_MIN, TEMP_MAX)}
+    ING.load_files(spark, f"{base}/half", f"{base}/table", ranges=ranges)
+    seen = ING.load_files(spark, f"{base}/all", f"{base}/table", ranges=ranges)
+    return spark.createDataFrame([tuple(seen.values())], ", ".join(f"{k} long" for k in seen))
+
+
 @register("i12_nan_to_null", """SELECT train_id, timestamp,
   CASE WHEN temp_celsius = 999e0 THEN NULL ELSE temp_celsius END AS temp_celsius FROM raw_telemetry""")
 def i12(spark, d):

@@ -82,9 +82,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     is an error rather than a machine-local folder.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if d := sc.getCheckpointDir():
+        return d  # setting it once more would nest a new folder in it
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder")

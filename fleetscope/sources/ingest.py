@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Mapping, Sequence
+from datetime import date
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from fleetscope.functions.expr import nan_to_null
 from fleetscope.operators.dedup import keep_first
 from fleetscope.schema import COLUMNS, DOUBLE_COLUMNS, KEYS, TELEMETRY
-from fleetscope.sources.files import CORRUPT, read_csv
+from fleetscope.sources.files import CORRUPT, read_csv, remove_path, scratch_path
 
 
 def conform_schema(df: DataFrame, schema=TELEMETRY, strict: bool = False,
@@ -115,35 +121,103 @@ def surrogate_id(df: DataFrame, order: Sequence[str], name: str = "id", start: i
 
 DAY = "day"
 ARRIVAL = "_arrival"
+#: Days of a batch that are named one by one in the stored side's scan; more become at most as many ranges.
+DAYS_NAMED = 366
+#: Folder inside a table that keeps the largest id handed out, hidden from readers of the table.
+MARKS = "_ids"
+
+
+def day_ranges(days: Sequence[date], limit: int = DAYS_NAMED) -> list[tuple[date, date]]:
+    """``days`` as at most ``limit`` ranges (first, last): runs of days, joined over the smallest gaps if there are more."""
+    found = sorted(set(days))
+    gaps = sorted(range(1, len(found)), key=lambda k: (found[k - 1] - found[k], k))[:limit - 1]
+    cuts = [0, *sorted(k for k in gaps if (found[k] - found[k - 1]).days > 1), len(found)]
+    return [(found[a], found[z - 1]) for a, z in zip(cuts, cuts[1:])] if found else []
+
+
+def stored_days(spark, table_path: str, schema, days: Sequence[date]) -> DataFrame:
+    """The stored rows of ``days``; other days' files are not listed as splits.
+
+    The days are literals on the partition column: up to ``DAYS_NAMED`` as a list, so a stray timestamp of decades ago adds one folder
+    and not all between; more as ranges that leave out the largest gaps.
+    """
+    table = spark.read.schema(schema).parquet(table_path)
+    days = sorted(set(days))
+    if len(days) <= DAYS_NAMED:
+        return table.filter(F.col(DAY).isin([F.lit(d) for d in days]) if days else F.lit(False))
+    return table.filter(reduce(or_, [F.col(DAY).between(F.lit(a), F.lit(z)) for a, z in day_ranges(days)]))
 
 
 def append_if_absent(batch: DataFrame, table_path: str, keys: Sequence[str] = KEYS,
                      order: Sequence[str | Column] = ("event_id",), columns: Sequence[str] = COLUMNS,
-                     ts: str = "timestamp") -> None:
+                     ts: str = "timestamp", id_name: str | None = None) -> dict:
     """Append ``batch`` to the day-partitioned Parquet table at ``table_path``, INSERT-OR-IGNORE style.
 
     The batch is de-duplicated (first ``order`` wins), its keys are checked
     against the stored keys of its days and the new rows are appended.  The
-    first and last day of the batch are one small aggregate over the
-    timestamps; as literals on the partition column they leave only those
-    days' files in the scan.  Re-running the same batch after a failure
-    appends nothing twice: the step is idempotent.
+    days of the batch are one small aggregate over the timestamps; as literals
+    on the partition column they leave only those days' files in the scan.
+    Re-running the same batch after a failure appends nothing twice: the step
+    is idempotent.
+
+    With ``id_name`` every new row gets an id in that column, dense from 1 over
+    all loads, by (keys) within a load; see ``high_water``.  Returns how many
+    distinct ``keys`` the batch had and how many rows were ``loaded``.
     """
     spark = batch.sparkSession
     fresh = keep_first(batch, list(keys), list(order)).withColumn(DAY, F.to_date(ts))
     out = fresh.select(*columns, DAY)
-    ensure_table(spark, table_path, out.schema)
-    days = batch.agg(F.to_date(F.min(ts)).alias("first"), F.to_date(F.max(ts)).alias("last")).first()
-    if days["first"] is None:
-        return
-    stored = stored_between(spark, table_path, out.schema, days["first"], days["last"]).select(*keys, DAY)
-    new = out.join(stored, [*keys, DAY], "left_anti")
-    new.write.mode("append").partitionBy(DAY).parquet(table_path)
+    ids = [T.StructField(id_name, T.LongType())] if id_name else []
+    schema = T.StructType([*ids, *out.schema.fields])
+    ensure_table(spark, table_path, schema)
+    days = [r[0] for r in batch.select(F.to_date(ts)).filter(F.to_date(ts).isNotNull()).distinct().toLocalIterator()]
+    if not days:
+        return {"keys": 0, "loaded": 0}
+    stored = stored_days(spark, table_path, schema, days).select(*keys, DAY, F.lit(True).alias("_stored"))
+    seen = Observation()
+    # observed in the stage that writes, after the last shuffle: counted once, whatever is recomputed before it
+    new = (out.join(stored, [*keys, DAY], "left")
+           .observe(seen, F.count(F.lit(1)).alias("keys"), F.count_if(F.col("_stored").isNull()).alias("loaded"))
+           .filter(F.col("_stored").isNull()).select(*columns, DAY))
+    if not id_name:
+        new.write.mode("append").partitionBy(DAY).parquet(table_path)
+        return dict(seen.get)
+    kept = scratch_path(spark, "load")
+    try:
+        new.write.parquet(kept)  # the rows are counted and numbered before any of them is in the table
+        if loaded := seen.get["loaded"]:
+            start = high_water(spark, table_path, id_name)
+            mark(spark, table_path, start + loaded, done=False)
+            numbered = surrogate_id(spark.read.schema(out.schema).parquet(kept), list(keys), name=id_name, start=start)
+            numbered.select(id_name, *columns, DAY).write.mode("append").partitionBy(DAY).parquet(table_path)
+            mark(spark, table_path, start + loaded, done=True)
+        return dict(seen.get)
+    finally:
+        remove_path(spark, kept)
+
+
+def high_water(spark, table_path: str, id_name: str = "id") -> int:
+    """The largest id in use.
+
+    Every load leaves two marks, before it appends and after.  If the last one
+    is of a load that did not finish, the ids of the table itself decide, so a
+    load that is run again goes on where the table ends: neither gap nor
+    repetition.  One load at a time may write to a table.
+    """
+    try:
+        marks = spark.read.schema("high long, done boolean, at long").parquet(f"{table_path}/{MARKS}")
+        last = marks.orderBy(F.desc("at")).first()
+    except AnalysisException:  # no load has numbered rows here
+        last = None
+    if last is not None and last["done"]:
+        return last["high"]
+    return spark.read.schema(f"`{id_name}` long").parquet(table_path).agg(F.max(id_name)).first()[0] or 0
 
 
-def stored_between(spark, table_path: str, schema, first, last) -> DataFrame:
-    """The stored rows of the days from ``first`` to ``last``; other days' files are not listed as splits."""
-    return spark.read.schema(schema).parquet(table_path).filter(F.col(DAY).between(F.lit(first), F.lit(last)))
+def mark(spark, table_path: str, high: int, done: bool) -> None:
+    """Note the largest id of a load that is about to append (``done`` False) or has."""
+    row = spark.createDataFrame([(high, done, time.time_ns())], "high long, done boolean, at long")
+    row.coalesce(1).write.mode("append").parquet(f"{table_path}/{MARKS}")
 
 
 def ensure_table(spark, table_path: str, schema) -> None:
@@ -152,13 +226,22 @@ def ensure_table(spark, table_path: str, schema) -> None:
 
 
 def load_files(spark, source: str, table_path: str, fmt: str = "parquet", schema=None,
-               order: Sequence[str | Column] | None = None) -> dict:
+               order: Sequence[str | Column] | None = None, ranges: Mapping[str, tuple[float, float]] | None = None,
+               id_name: str | None = None) -> dict:
     """The load job: read a telemetry file set, conform it, NaN -> NULL, append new keys.
 
+    The source is read once: rows are checked, counted and written to a
+    scratch folder in one pass without a shuffle (which is removed in the
+    end); the copies of a key and the stored keys are told from that.
+
     Without an explicit ``order``, the first copy of a key in arrival order
-    wins: file time, file path, then the place in the file.  Returns what was
-    read: ``rows``, ``corrupt`` (rows that do not fit the types, CSV only) and
-    ``null_keys``; neither of the latter is loaded.
+    wins: file time, file path, then the place in the file.  ``ranges`` names
+    columns and bounds (both inclusive); a row outside, or with NULL there, is
+    not loaded.  Returns what was read and what became of it: ``rows``,
+    ``corrupt`` (rows that do not fit the types, CSV only), ``null_keys``,
+    ``out_of_range``, ``duplicates`` (copies of a key in the batch), none of
+    which is loaded, ``known`` (keys stored before) and ``loaded``; together
+    they are the rows.
     """
     schema = schema or TELEMETRY
     file = [F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("path")]
@@ -170,13 +253,21 @@ def load_files(spark, source: str, table_path: str, fmt: str = "parquet", schema
         place = [F.col("_metadata.row_index").alias("row")]
         raw = spark.read.format(fmt).load(source).select("*", F.struct(*file, *place).alias(ARRIVAL), F.lit(None).alias(CORRUPT))
     required = [f.name for f in schema.fields if not f.nullable]
-    no_key = F.greatest(*[F.col(c).isNull() for c in required]) if len(required) > 1 else F.col(required[0]).isNull()
-    seen = raw.agg(F.count(F.lit(1)).alias("rows"), F.count(CORRUPT).alias("corrupt"),
-                   F.count_if(F.col(CORRUPT).isNull() & no_key).alias("null_keys"),
-                   # reads every column, as the load does: text is parsed only where it is read
-                   F.bit_xor(F.xxhash64(*schema.fieldNames())).alias("_read")).first().asDict()
-    seen.pop("_read")
-    sound = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    batch = normalise_nans(conform_schema(sound, keep=[ARRIVAL]))
-    append_if_absent(batch, table_path, order=list(order or [ARRIVAL]))
-    return seen
+    optional = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    typed = conform_schema(raw, optional, keep=[ARRIVAL, CORRUPT])
+    sound, keyed = F.col(CORRUPT).isNull(), reduce(and_, [F.col(c).isNotNull() for c in required], F.lit(True))
+    inside = reduce(and_, [F.coalesce(F.nanvl(F.col(c), F.lit(None)).between(a, z), F.lit(False)) for c, (a, z) in (ranges or {}).items()], F.lit(True))
+    read = Observation()
+    checked = typed.observe(
+        read, F.count(F.lit(1)).alias("rows"), F.count_if(~sound).alias("corrupt"), F.count_if(sound & ~keyed).alias("null_keys"),
+        F.count_if(sound & keyed & ~inside).alias("out_of_range"))
+    kept = scratch_path(spark, "conformed")
+    try:
+        normalise_nans(checked.filter(sound & keyed & inside).drop(CORRUPT)).write.parquet(kept)
+        found = dict(read.get)
+        batch = spark.read.parquet(kept)
+        got = append_if_absent(batch, table_path, order=list(order or [ARRIVAL]), id_name=id_name)
+    finally:
+        remove_path(spark, kept)
+    valid = found["rows"] - found["corrupt"] - found["null_keys"] - found["out_of_range"]
+    return found | {"duplicates": valid - got["keys"], "known": got["keys"] - got["loaded"], "loaded": got["loaded"]}

@@ -134,7 +134,9 @@ def test_load_raw_csv_in_another_column_order(spark, tmp_path):
     src.write_text("\n".join([head, *rows]) + "\n")
     for _ in range(2):
         seen = load_files(spark, str(src), str(tmp_path / "t"), fmt="csv")
-        assert seen == {"rows": 5, "corrupt": 1, "null_keys": 1}
+        assert {k: seen[k] for k in ("rows", "corrupt", "null_keys", "out_of_range", "duplicates")} == {
+            "rows": 5, "corrupt": 1, "null_keys": 1, "out_of_range": 0, "duplicates": 1}
+        assert seen["known"] + seen["loaded"] == 2
     got = {r.train_id: (r.temp_celsius, r.cell_tower_id) for r in spark.read.parquet(str(tmp_path / "t")).collect()}
     assert got == {"A": (90.0, "TWR-1"), "B": (20.0, "TWR-1")}
 
@@ -172,3 +174,83 @@ def test_cli_newest_snapshot(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 9
     main(["mart", str(folder), str(tmp_path / "m"), "--newest", "telemetry", "--scratch", str(tmp_path / "s")])
     assert spark.read.parquet(str(tmp_path / "m")).count() == 9
+
+
+def test_a_stray_day_adds_one_folder_to_what_a_load_reads(spark, tmp_path):
+    """Stored: 40 days; the batch: one of them and a reading of 1970. The load lists the files of two days, not of all between."""
+    from datetime import date
+
+    from fleetscope.sources.ingest import append_if_absent, stored_days
+    path = str(tmp_path / "t")
+    append_if_absent(frame(spark, [row(train="A", minutes=1440 * k) for k in range(40)], with_id=True), path)
+    append_if_absent(frame(spark, [row(train="Z")], with_id=True).withColumn("timestamp", F.lit("1970-01-01").cast("timestamp_ntz")), path)
+    first = frame(spark, [row()]).select(F.to_date("timestamp")).first()[0]
+    days = [first, date(1970, 1, 1)]
+    stored = stored_days(spark, path, spark.read.parquet(path).schema, days)
+    read = {r[0].rsplit("/", 2)[1] for r in stored.selectExpr("_metadata.file_path").collect()}
+    assert read == {f"day={first}", "day=1970-01-01"} and len(stored.inputFiles()) >= 41  # the table's files; the scan lists two
+    plan = stored._jdf.queryExecution().executedPlan()
+    stored.collect()
+    assert "PartitionFilters: [day" in plan.toString()
+    seen = append_if_absent(frame(spark, [row(train="A"), row(train="B"), row(train="B")], with_id=True), path)
+    assert seen == {"keys": 2, "loaded": 1}
+
+
+def test_many_days_become_ranges_that_leave_out_the_largest_gaps(spark, tmp_path, monkeypatch):
+    from datetime import date, timedelta
+
+    from fleetscope.sources import ingest
+    d = [date(2024, 1, 1) + timedelta(k) for k in (0, 1, 2, 10, 11, 400, 401, 403)]
+    assert ingest.day_ranges(d, 10) == [(d[0], d[2]), (d[3], d[4]), (d[5], d[6]), (d[7], d[7])]
+    assert ingest.day_ranges(d, 2) == [(d[0], d[4]), (d[5], d[7])] and ingest.day_ranges(d, 1) == [(d[0], d[7])] and ingest.day_ranges([]) == []
+    monkeypatch.setattr(ingest, "DAYS_NAMED", 2)
+    path = str(tmp_path / "t")
+    rows = [row(train="A", minutes=1440 * k) for k in (0, 1, 2, 10, 11, 400)]
+    ingest.append_if_absent(frame(spark, rows, with_id=True), path)
+    assert ingest.append_if_absent(frame(spark, [*rows, row(train="B", minutes=14400)], with_id=True), path) == {"keys": 7, "loaded": 1}
+
+
+def test_ids_are_dense_over_loads_replays_and_a_broken_load(spark, tmp_path, monkeypatch):
+    from fleetscope.sources import ingest
+    path = str(tmp_path / "t")
+    one = frame(spark, [row(train=f"T{k % 3}", minutes=k) for k in range(20)], with_id=True)
+    two = frame(spark, [row(train=f"T{k % 5}", minutes=k) for k in range(30)], with_id=True)
+    three = frame(spark, [row(train="X", minutes=k) for k in range(4)], with_id=True)
+    ids = lambda: sorted(r.id for r in spark.read.parquet(path).collect())
+    for batch, n in ((one, 20), (one, 20), (two, None), (one, None)):
+        ingest.append_if_absent(batch, path, id_name="id")
+        assert ids() == list(range(1, len(ids()) + 1)) and (n is None or len(ids()) == n)
+    before = {(r.id, r.train_id, r.timestamp) for r in spark.read.parquet(path).collect()}
+    for breaks_at in (False, True):  # the load stops after the first mark, before and after its rows are in
+        def broken(spark, table_path, high, done, real=ingest.mark, at=breaks_at):
+            if done:
+                raise RuntimeError("lost")
+            real(spark, table_path, high, done)
+            if not at:
+                raise RuntimeError("lost")
+        with monkeypatch.context() as m:
+            m.setattr(ingest, "mark", broken)
+            try:
+                ingest.append_if_absent(three if breaks_at else three.limit(2), path, id_name="id")
+            except RuntimeError:
+                pass
+    ingest.append_if_absent(frame(spark, [row(train="Y")], with_id=True), path, id_name="id")
+    assert ids() == list(range(1, len(ids()) + 1)) and len(ids()) == len(before) + 5
+    assert before <= {(r.id, r.train_id, r.timestamp) for r in spark.read.parquet(path).collect()}
+
+
+def test_load_reads_its_source_once_and_counts_what_it_rejects(spark, tmp_path):
+    from fleetscope.sources.files import scratch_path
+    from fleetscope.sources.ingest import load_files
+    src, table = str(tmp_path / "src"), str(tmp_path / "t")
+    rows = [row(train="A", temp=10.0), row(train="A", temp=11.0), row(train="B", temp=500.0), row(train="C", temp=None), row(train="D", temp=float("nan")),
+            row(train="E", temp=120.0), row(train="F", temp=0.0)]
+    frame(spark, rows).coalesce(1).write.parquet(src)
+    ranges = {"temp_celsius": (0.0, 120.0)}
+    want = {"rows": 7, "corrupt": 0, "null_keys": 0, "out_of_range": 3, "duplicates": 1, "known": 0, "loaded": 3}
+    assert load_files(spark, src, table, ranges=ranges, id_name="id") == want
+    assert load_files(spark, src, table, ranges=ranges, id_name="id") == want | {"known": 3, "loaded": 0}
+    assert sorted((r.id, r.train_id, r.temp_celsius) for r in spark.read.parquet(table).collect()) == [(1, "A", 10.0), (2, "E", 120.0), (3, "F", 0.0)]
+    import os
+    scratch = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
+    assert not [x for x in os.listdir(scratch) if x.startswith(("conformed", "load-"))]  # the job removes what it kept

@@ -105,18 +105,18 @@ def test_insert_if_absent_is_one_shuffle(spark, qs):
 
 
 def test_load_reads_only_the_days_of_the_batch(spark, tmp_path):
-    """The stored side of a two-day batch has literal bounds on the partition column, and lists those days' files only."""
+    """The stored side of a two-day batch has its days as literals on the partition column, and lists those days' files only."""
     from datetime import date
 
     from fleetscope.sources.fixture import train_telemetry
-    from fleetscope.sources.ingest import append_if_absent, stored_between
+    from fleetscope.sources.ingest import append_if_absent, stored_days
     t = train_telemetry(spark, SF)
     path = str(tmp_path / "table")
     append_if_absent(t, path)
     schema = spark.read.parquet(path).schema
-    stored = stored_between(spark, path, schema, date(2024, 1, 3), date(2024, 1, 4))
+    stored = stored_days(spark, path, schema, [date(2024, 1, 3), date(2024, 1, 4)])
     p = plan(stored)
-    assert "PartitionFilters: [isnotnull(day" in p and "2024-01-03" in p and "2024-01-04" in p
+    assert "PartitionFilters: [day" in p and "2024-01-03" in p and "2024-01-04" in p
     stored.collect()
     assert {r[0].rsplit("/", 2)[1] for r in stored.selectExpr("_metadata.file_path").distinct().collect()} <= {
         "day=2024-01-03", "day=2024-01-04"}
