@@ -58,6 +58,10 @@ def previous_row(df: DataFrame, key: str | Sequence[str], order: str | Sequence[
     boundaries from, so those passes do not re-derive ``df``.
     """
     keys, order, cols = _as_list(key), _as_list(order), list(cols)
+    if buckets is not None and not buckets:
+        # on the plain columns, so that a table bucketed by the key is read in place
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.select(*df.columns, *[F.lag(c).over(w).alias(prefix + c) for c in cols])
     if buckets is None:
         hot = hot_keys(df if boundary_source is None else boundary_source, keys, hot_rows)
         if hot is None:
