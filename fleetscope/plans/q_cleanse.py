@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from fleetscope.operators import cleanse as C
 from fleetscope.operators.dedup import duplicate_count
+from fleetscope.operators.lookup import lookup
 from fleetscope.plans.catalog import register
 from fleetscope.schema import COLUMNS, SIGNAL_MAX, SIGNAL_MIN, SPEED_MAX, SPEED_MIN, STATUSES, TEMP_MAX, TEMP_MIN
-from fleetscope.sources.fixture import raw_telemetry, train_telemetry
+from fleetscope.sources.fixture import raw_telemetry, read_table, train_telemetry
 
 # Parameters of the registered runs (seeds are salts of the row-key hash).
 TRAIN_GAIN = (0.7, 1.3)
@@ -203,6 +204,42 @@ def c17(spark, d):
     return C.observed_minute_spine(raw_telemetry(spark, d))
 
 
+@register("c17_spine_from_start", """SELECT CAST(CAST(minute AS DATE) AS VARCHAR) AS day, count(*) AS minutes, CAST(sum(readings) AS BIGINT) AS readings,
+  count(*) FILTER (readings = 0) AS silent
+FROM (SELECT minute, count(train_id) AS readings
+  FROM (SELECT unnest(generate_series(first, first + (n - 1) * INTERVAL 1 MINUTE, INTERVAL 1 MINUTE)) AS minute
+        FROM (SELECT CAST(date_trunc('day', min(timestamp)) AS TIMESTAMP) AS first, count(*) AS n FROM raw_telemetry) z) s
+  LEFT JOIN raw_telemetry t ON date_trunc('minute', t.timestamp) = minute GROUP BY minute) per GROUP BY ALL""")
+def c17_start(spark, d):
+    """A minute for every reading of the table, from the first day's midnight on, and what falls into each: by day."""
+    t = raw_telemetry(spark, d)
+    first, n = t.agg(F.date_trunc("day", F.min("timestamp")).cast("timestamp_ntz"), F.count(F.lit(1))).first()
+    per = t.groupBy(F.date_trunc("minute", "timestamp").cast("timestamp_ntz").alias("minute")).agg(F.count("train_id").alias("readings"))
+    joined = C.spine(spark, first, n).join(per, "minute", "left").na.fill(0, ["readings"])
+    return joined.groupBy(F.to_date("minute").cast("string").alias("day")).agg(
+        F.count(F.lit(1)).alias("minutes"), F.sum("readings").alias("readings"), F.count_if(F.col("readings") == 0).alias("silent"))
+
+
+@register("c17_gap_report", """SELECT train_id, gap_start, gap_end, date_diff('minute', gap_start, gap_end) + 1 AS missing
+FROM (SELECT train_id, lag(minute) OVER (PARTITION BY train_id ORDER BY minute) + INTERVAL 1 MINUTE AS gap_start,
+    minute - INTERVAL 1 MINUTE AS gap_end
+  FROM (SELECT DISTINCT train_id, CAST(date_trunc('minute', timestamp) AS TIMESTAMP) AS minute FROM raw_telemetry) s) g
+WHERE gap_start <= gap_end""")
+def c17_gaps(spark, d):
+    return C.gap_report(raw_telemetry(spark, d))
+
+
+@register("j04_dimension_lookup", """SELECT train_id, timestamp, speed_kmh, c_mktsegment, speed_kmh * (1 + c_nationkey / 100e0) AS scaled
+FROM raw_telemetry LEFT JOIN (SELECT 'TRN-' || c_custkey AS id, * FROM customer WHERE c_nationkey < 20) c ON train_id = id""")
+def j04(spark, d):
+    """A factor and a class for each train off a dimension table that lacks some of them."""
+    dim = (read_table(spark, d, "customer").filter("c_nationkey < 20")
+           .select(F.concat(F.lit("TRN-"), F.col("c_custkey").cast("string")).alias("id"), "c_mktsegment", "c_nationkey"))
+    found = lookup(raw_telemetry(spark, d), dim, "train_id", ["c_mktsegment", "c_nationkey"], dim_key="id")
+    return found.select("train_id", "timestamp", "speed_kmh", "c_mktsegment",
+                        (F.col("speed_kmh") * (1 + F.col("c_nationkey") / F.lit(100.0))).alias("scaled"))
+
+
 @register("c18_canonical_order", """SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS inversions_inside,
   CAST(0 AS BIGINT) AS inversions_between FROM raw_telemetry""")
 def c18(spark, d):
