@@ -19,12 +19,14 @@ def brute(rows, min_words, min_bytes):
 
     def units(t):
         """(start, end, normalised) by a walk over the characters."""
-        found, at, unit, start = [], 0, [], 0
+        found, at, unit, start, before = [], 0, [], 0, 0
         while at < len(t):
             if t[at] == "\n" or t[at] in apart:
-                if t[at] == "\n" and unit:
-                    found.append((start, unit))
-                    unit = []
+                if t[at] == "\n":
+                    before = 0
+                    if unit:
+                        found.append((start, unit))
+                        unit = []
                 at += 1
                 continue
             z = at
@@ -32,9 +34,11 @@ def brute(rows, min_words, min_bytes):
                 z += 1
             start = start if unit else at
             unit.append(low(t[at:z]).strip(".!?,;:"))
-            if len(unit) == 16 or hashlib.md5(unit[-1].encode()).hexdigest() < "4":
+            here = int(hashlib.md5(unit[-1].encode()).hexdigest()[:8], 16)
+            if len(unit) == 24 or (before + here) % 5 == 0:
                 found.append((start, unit))
                 unit = []
+            before = here
             at = z
         if unit:
             found.append((start, unit))
