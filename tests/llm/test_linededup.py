@@ -35,7 +35,7 @@ def brute(rows, min_words, min_bytes):
             start = start if unit else at
             unit.append(low(t[at:z]).strip(".!?,;:"))
             here = int(hashlib.md5(unit[-1].encode()).hexdigest()[:8], 16)
-            if len(unit) == 24 or (before + here) % 5 == 0:
+            if len(unit) == 24 or (before + here) % 6 == 0:
                 found.append((start, unit))
                 unit = []
             before = here
