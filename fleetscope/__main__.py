@@ -1,13 +1,15 @@
 """Command-line entry points (one Spark job each).
 
   python -m fleetscope load    SOURCE TABLE [--format parquet|csv] [--newest STEM] [--ids] [--range COLUMN LOW HIGH]
-  python -m fleetscope reports TABLE OUT_DIR [--mode canonical|raw]
+  python -m fleetscope reports TABLE OUT_DIR [--mode canonical|raw] [--limit SECONDS] [--where TEXT] [--param NAME VALUE]
   python -m fleetscope mart    SOURCE OUT --scratch DIR [--newest STEM] [--partition-by-date]
 
 ``load`` appends new (train_id, timestamp) keys of SOURCE to the day-partitioned
 Parquet TABLE (idempotent) and prints what it read and rejected, with ``--ids`` it
 numbers the rows over all loads; ``reports`` runs the eleven
-reports over TABLE and writes one CSV per non-empty report plus a manifest;
+reports over TABLE, or over its rows for which the condition TEXT with the
+named values (numbers, else text) is true, interrupts those that take longer
+than the limit, and writes one CSV per non-empty report plus a manifest;
 ``mart`` builds the BI mart from raw telemetry and writes it clustered by
 (DateKey, train_id, TimeKey).  With ``--newest`` SOURCE is a folder and its
 newest snapshot STEM*.parquet, else STEM*.csv, is read.  ``mart`` keeps the
@@ -26,6 +28,15 @@ from fleetscope.session import get_session
 from fleetscope.sources import files as IO
 
 
+def _value(text: str) -> int | float | str:
+    for kind in (int, float):
+        try:
+            return kind(text)
+        except ValueError:
+            pass
+    return text
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="fleetscope")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -40,6 +51,9 @@ def main(argv=None) -> None:
     r.add_argument("table")
     r.add_argument("out_dir")
     r.add_argument("--mode", default="canonical", choices=["canonical", "raw"])
+    r.add_argument("--limit", type=float, metavar="SECONDS")
+    r.add_argument("--where", metavar="TEXT")
+    r.add_argument("--param", nargs=2, action="append", default=[], metavar=("NAME", "VALUE"))
     m = sub.add_parser("mart")
     m.add_argument("source")
     m.add_argument("out")
@@ -48,7 +62,8 @@ def main(argv=None) -> None:
     m.add_argument("--partition-by-date", action="store_true")
     args = ap.parse_args(argv)
 
-    spark = get_session()
+    # the reports share the cores evenly, each in its own pool
+    spark = get_session(extra={"spark.scheduler.mode": "FAIR"} if args.cmd == "reports" else None)
     source, fmt = getattr(args, "source", None), getattr(args, "format", "parquet")
     if getattr(args, "newest", None):
         found = [(p, f) for f in ("parquet", "csv") if (p := IO.newest_path(spark, source, args.newest, f".{f}"))]
@@ -60,10 +75,13 @@ def main(argv=None) -> None:
         ranges = {c: (float(lo), float(hi)) for c, lo, hi in args.range}
         print(load_files(spark, source, args.table, fmt=fmt, ranges=ranges, id_name="id" if args.ids else None))
     elif args.cmd == "reports":
+        from fleetscope.operators.where import where
         from fleetscope.plans.manifest import run_reports
         from fleetscope.sources.files import write_csv
         table = spark.read.parquet(args.table)
-        manifest = run_reports(spark, table, args.out_dir, mode=args.mode)
+        if args.where:
+            table = where(table, args.where, **{k: _value(v) for k, v in args.param})
+        manifest = run_reports(spark, table, args.out_dir, mode=args.mode, limit_s=args.limit)
         write_csv(manifest.coalesce(1), f"{args.out_dir.rstrip('/')}/_manifest")
     elif args.cmd == "mart":
         from fleetscope.plans import mart as M

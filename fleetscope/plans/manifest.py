@@ -3,16 +3,22 @@
 The input is written once as Parquet into the shared checkpoint folder, so
 the eleven reports share one scan and one de-duplication, each report reads
 only its own columns of it, and a lost executor recomputes from those files
-instead of the whole lineage.  Each report is isolated: a failure is recorded and
-the others still run; empty results are not written.  Every report is a
+instead of the whole lineage.  Each report is isolated: it runs under a job
+tag and in a scheduler pool of its own, a failure is recorded and the others
+still run; one that takes longer than the limit is interrupted by its tag and
+recorded as an error; empty results are not written.  Every report is a
 distributed job; a few of them run at a time, so that a short one does not
-leave the cluster idle.
+leave the cluster idle.  With ``spark.scheduler.mode=FAIR`` the pools share
+the cores evenly; else they change nothing.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import threading
+import time
+import uuid
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -33,29 +39,85 @@ def slug(name: str) -> str:
 
 # Reports that run at a time.
 AT_A_TIME = 4
+# Seconds that an interrupted report has to end before it is left behind, and between two looks.
+GRACE, STEP = 10.0, 0.05
 
 
-def run_reports(spark: SparkSession, table: DataFrame, out_dir: str | None, mode: str = CANONICAL,
-                reports: dict | None = None) -> DataFrame:
-    """Run every report; write non-empty ones as CSV under ``out_dir``; return the manifest."""
-    checkpoint_dir(spark)
-    base = materialize(table, "reports-base")
+class _Late(Exception):
+    """The report was interrupted between two of its jobs."""
+
 
-    def one(i: int, name: str, fn) -> tuple:
-        path = f"{out_dir.rstrip('/')}/{i:02d}_{slug(name)}" if out_dir else None
+class _Report:
+    """One report on a thread that inherits the caller's local properties, under its own tag."""
+
+    def __init__(self, spark: SparkSession, name: str, fn, base: DataFrame, mode: str, path: str | None):
+        self.spark, self.name, self.fn, self.base, self.mode, self.path = spark, name, fn, base, mode, path
+        self.tag = f"report-{slug(name)}-{uuid.uuid4().hex}"
+        self.late, self.ended, self.started = threading.Event(), threading.Event(), time.monotonic()
+        self.row: tuple = (name, None, "error: timeout", None)
+        InheritableThread(target=self._run, session=spark, daemon=True).start()
+
+    def _run(self) -> None:
         try:
-            res = fn(base, mode=mode)
-            if path:
-                res = res.checkpoint(eager=True)  # one computation feeds both the count and the write
-            n = res.count()
-            if n == 0:
-                return name, 0, "empty", None
-            if path:
-                write_csv(res, path)
-            return name, n, "ok", path
+            sc = self.spark.sparkContext
+            sc.addJobTag(self.tag)  # on every job of the thread, a checkpoint's too, not on SQL executions alone
+            sc.setLocalProperty("spark.scheduler.pool", slug(self.name))
+            row = self._result()
         except Exception as e:  # noqa: BLE001 -- isolate one report's failure
-            return name, None, f"error: {type(e).__name__}", None
+            row = self.name, None, f"error: {type(e).__name__}", None
+        if not self.late.is_set():
+            self.row = row
+        self.ended.set()
+
+    def _result(self) -> tuple:
+        res = self.fn(self.base, mode=self.mode)
+        self._on_time()
+        if self.path:
+            res = res.checkpoint(eager=True)  # one computation feeds both the count and the write
+        self._on_time()
+        n = res.count()
+        if n == 0:
+            return self.name, 0, "empty", None
+        self._on_time()
+        if self.path:
+            write_csv(res, self.path)
+        return self.name, n, "ok", self.path
 
-    with ThreadPoolExecutor(AT_A_TIME) as pool:
-        rows = [f.result() for f in [pool.submit(one, i, name, fn) for i, (name, fn) in enumerate((reports or REPORTS).items(), start=1)]]
-    return spark.createDataFrame(rows, MANIFEST_SCHEMA)
+    def _on_time(self) -> None:
+        if self.late.is_set():
+            raise _Late
+
+    def over(self, limit_s: float | None) -> bool:
+        """Whether the report has ended, or was interrupted and is not waited for any longer."""
+        if self.ended.is_set():
+            return True
+        spent = time.monotonic() - self.started
+        if limit_s is None or spent < limit_s:
+            return False
+        self.late.set()
+        self.spark.sparkContext.cancelJobsWithTag(self.tag)  # at every look: a job may have started since the last one
+        return spent > limit_s + GRACE
+
+
+def run_reports(spark: SparkSession, table: DataFrame, out_dir: str | None, mode: str = CANONICAL,
+                reports: dict | None = None, limit_s: float | None = None, at_a_time: int = AT_A_TIME) -> DataFrame:
+    """Run every report; write non-empty ones as CSV under ``out_dir``; return the manifest.
+
+    A report that has not ended ``limit_s`` seconds after its own start is
+    interrupted, gives ``error: timeout`` and writes nothing more.
+    """
+    checkpoint_dir(spark)
+    base = materialize(table, "reports-base")
+    waiting = list(enumerate((reports or REPORTS).items(), start=1))[::-1]
+    begun: list[_Report] = []
+    running: list[_Report] = []
+    while waiting or running:
+        while waiting and len(running) < at_a_time:
+            i, (name, fn) = waiting.pop()
+            path = f"{out_dir.rstrip('/')}/{i:02d}_{slug(name)}" if out_dir else None
+            begun.append(_Report(spark, name, fn, base, mode, path))
+            running.append(begun[-1])
+        running = [r for r in running if not r.over(limit_s)]
+        if running:
+            running[0].ended.wait(STEP)
+    return spark.createDataFrame([r.row for r in begun], MANIFEST_SCHEMA)

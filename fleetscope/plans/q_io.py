@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from fleetscope.operators.aggregate import top_k, value_counts
 from fleetscope.operators.cleanse import drop_null_rows, range_reject_flag
 from fleetscope.operators.dedup import keep_first
 from fleetscope.operators.lag import previous_row
+from fleetscope.operators.where import where
 from fleetscope.plans import mart as M
 from fleetscope.plans.catalog import register
 from fleetscope.plans.manifest import run_reports
@@ -230,6 +232,15 @@ def i16(spark, d):
     return run_reports(spark, train_telemetry(spark, d), IO.scratch_path(spark, "reports")).drop("path")
 
 
+@register("f13_text_predicate", """SELECT train_id, timestamp, speed_kmh, status, network_type FROM train_telemetry
+WHERE speed_kmh BETWEEN 10 AND 120 AND (status = 'CRITICAL' OR network_type IN ('OFFLINE', 'EDGE')) AND timestamp >= TIMESTAMP '2024-01-10 12:00:00'""")
+def f13(spark, d):
+    """A user's condition as text, its values bound."""
+    text = "speed_kmh BETWEEN :low AND :high AND (status = :status OR network_type IN ('OFFLINE', :net)) AND timestamp >= :since"
+    found = where(train_telemetry(spark, d), text, low=10, high=120.0, status="CRITICAL", net="EDGE", since=datetime(2024, 1, 10, 12))
+    return found.select("train_id", "timestamp", "speed_kmh", "status", "network_type")
+
+
 @register("i17_bucketed_lag", """SELECT train_id, timestamp, temp_celsius,
   lag(timestamp) OVER w AS previous_timestamp, lag(temp_celsius) OVER w AS previous_temp_celsius
 FROM train_telemetry WINDOW w AS (PARTITION BY train_id ORDER BY timestamp)""")

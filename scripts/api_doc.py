@@ -15,7 +15,7 @@ MODULES = [
     "fleetscope.sources.fixture", "fleetscope.sources.files", "fleetscope.sources.ingest",
     "fleetscope.functions.expr",
     "fleetscope.operators.dedup", "fleetscope.operators.lag", "fleetscope.operators.aggregate",
-    "fleetscope.operators.cleanse",
+    "fleetscope.operators.cleanse", "fleetscope.operators.lookup", "fleetscope.operators.where",
     "fleetscope.plans.reports", "fleetscope.plans.sql_reports", "fleetscope.plans.mart",
     "fleetscope.plans.manifest", "fleetscope.streaming.ingest",
 ]

@@ -95,6 +95,9 @@ def test_cli_load_reports_mart_end_to_end(spark, tmp_path):
     main(["reports", table, str(tmp_path / "reports")])
     man = spark.read.option("header", True).csv(str(tmp_path / "reports" / "_manifest")).collect()
     assert len(man) == 11 and all(r.status in ("ok", "empty") for r in man)
+    main(["reports", table, str(tmp_path / "few"), "--limit", "300", "--where", "speed_kmh > :v AND status = :s", "--param", "v", "20", "--param", "s", "OK"])
+    few = {r.report: r.status for r in spark.read.option("header", True).csv(str(tmp_path / "few" / "_manifest")).collect()}
+    assert len(few) == 11 and few["top_critical"] == "empty" and few["hourly_speed"] == "ok"
     main(["mart", src, str(tmp_path / "mart"), "--scratch", str(tmp_path / "scratch")])
     assert spark.read.parquet(str(tmp_path / "mart")).count() == 1000
     assert not list((tmp_path / "scratch").iterdir())  # the job removes what it kept
