@@ -6,8 +6,8 @@ documents in it, a sorted term dictionary and, per term, the postings (word posi
 offset-adjusted lists with it. Segments never meet, so nothing is shuffled and a text shared by many documents costs no more
 than its occurrences.
 
-Test phrases reach the tasks in blocks of at most ``block_words`` words; several blocks run one after another and their spans
-are united per document, so no broadcast grows beyond that bound.
+Test phrases reach the tasks in blocks of about ``block_words`` words; several blocks are collected, looked up and written one after
+another and their spans are united per document, so neither the driver nor a broadcast holds more than a block.
 
 Defined cases: a null or empty text has no words and no hits; a null item text has no windows; an item without an id counts for
 hits and is not listed; equal rows are separate documents; an empty table gives an empty result; only the named columns are
@@ -20,12 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import durable, table, text_digest, words
+from .common import durable, rows_of, table, text_digest, words
 
 INDEX_SCHEMA = T.StructType([
     T.StructField("segment", T.StringType()),
@@ -159,40 +159,55 @@ class Segment:
         return np.searchsorted(self.starts, at, "right") - 1
 
 
-def windows_of(text: str | None, size: int) -> list[tuple[bytes, ...]]:
-    """All runs of ``size`` words; a shorter text that has words is one window."""
-    w = words(text)
-    return [tuple(w[k:k + size]) for k in range(max(1, len(w) - size + 1))] if w else []
-
-
-def _look_up(index: DataFrame, found: list[tuple[tuple[bytes, ...], list]], within: int | None) -> DataFrame:
-    """Hits of the given phrases (words, item ids) in every segment, a row per document."""
-    sent = index.sparkSession.sparkContext.broadcast(found)
+class Windows:
+    """The distinct windows of a block of test items: rows of term numbers, padded with the number of terms, and the items of each."""
+
+    def __init__(self, items: list[tuple[int | None, str]], size: int):
+        number: dict[bytes, int] = {}
+        rows, of = [], []
+        for k, (_, text) in enumerate(items):
+            w = np.array([number.setdefault(x, len(number)) for x in words(text)], dtype=np.int32)
+            if w.size:
+                w = np.pad(w, (0, max(0, size - w.size)), constant_values=-1)
+                rows.append(np.lib.stride_tricks.sliding_window_view(w, size))
+                of.append(np.full(len(rows[-1]), k))
+        grid, same = np.unique(np.concatenate(rows), axis=0, return_inverse=True) if rows else (np.zeros((0, size), np.int32), np.zeros(0, int))
+        same = same.reshape(-1)
+        self.lens = (grid >= 0).sum(axis=1)
+        self.grid = np.where(grid < 0, len(number), grid).astype(np.int32)
+        self.terms = list(number)
+        self.ids = [i for i, _ in items]
+        order = np.argsort(same, kind="stable")
+        self.items = (np.concatenate(of) if of else np.zeros(0, int))[order]
+        self.offsets = np.searchsorted(same[order], np.arange(len(grid) + 1))
+
+    def items_of(self, window: int) -> set:
+        return {self.ids[k] for k in self.items[self.offsets[window]:self.offsets[window + 1]].tolist()}
+
+
+def _look_up(index: DataFrame, sent: Broadcast, within: int | None) -> DataFrame:
+    """Hits of the sent windows in every segment, a row per document."""
     schema = pa.schema([("doc_id", pa.int64()), ("doc_key", pa.string()), ("text_md5", pa.binary()), ("n_words", pa.int64()),
                         ("starts", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("items", pa.list_(pa.int64()))])
 
     def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_terms = sorted({w for ws, _ in sent.value for w in ws})
-        number = {w: k for k, w in enumerate(all_terms)}
-        width = max((len(ws) for ws, _ in sent.value), default=1)
-        grid = np.full((len(sent.value), width), len(all_terms), dtype=np.int64)
-        for k, (ws, _) in enumerate(sent.value):
-            grid[k, :len(ws)] = [number[w] for w in ws]
+        wanted = sent.value
         for b in parts:
-            for row in b.to_pylist():
+            for row in rows_of(b):
                 seg = Segment(row)
-                local = np.array([*(seg.terms.get(w, -1) for w in all_terms), 0], dtype=np.int64)
+                local = np.array([*(seg.terms.get(w, -1) for w in wanted.terms), 0], dtype=np.int64)
                 there = np.array([*(local[:-1] >= 0), True])
                 starts: dict[int, dict[int, int]] = {}
                 items: dict[int, set] = {}
-                for k in np.flatnonzero(there[grid].all(axis=1)) if len(sent.value) else ():
-                    ws, of = sent.value[k]
-                    terms = local[grid[k, :len(ws)]]
+                for k in np.flatnonzero(there[wanted.grid].all(axis=1)):
+                    size = int(wanted.lens[k])
+                    terms = local[wanted.grid[k, :size]]
                     at = seg.phrase(terms) if within is None else seg.near(terms, within)
+                    of = wanted.items_of(k) if at.size else ()
                     for p, d in zip(at.tolist(), seg.doc_of(at).tolist(), strict=True):
                         mine = starts.setdefault(d, {})
                         p -= int(seg.starts[d])
-                        mine[p] = max(mine.get(p, 0), len(ws) if within is None else 1)
+                        mine[p] = max(mine.get(p, 0), size if within is None else 1)
                         items.setdefault(d, set()).update(of)
                 out = [{
                     "doc_id": i, "doc_key": f"{row['segment']}-{d}", "text_md5": seg.md5[d], "n_words": int(seg.lens[d]),
@@ -205,14 +220,20 @@ def _look_up(index: DataFrame, found: list[tuple[tuple[bytes, ...], list]], with
     return index.mapInArrow(search, HIT_SCHEMA)
 
 
-def _blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int | None, str]]]:
-    """The test items in blocks of about ``block_words`` words, each collected alone."""
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
+def _blocks(items: DataFrame, block_words: int) -> tuple[int, Iterator[list[tuple[int | None, str]]]]:
+    """How many blocks of about ``block_words`` words the test items make, and the blocks, each collected when its turn comes.
+
+    Equal rows count once; items of one text and several ids may lie in several blocks.
+    """
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null").distinct()
     total = items.agg(F.sum(F.length("text") / 2)).first()[0] or 0
     n = int(total // block_words) + 1
-    for k in range(n):
-        part = items if n == 1 else items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == k)
-        yield [(r["item_id"], r["text"]) for r in part.collect()]
+
+    def block(k: int) -> list[tuple[int | None, str]]:
+        part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
+        return [(r["item_id"], r["text"]) for r in part.collect()]
+
+    return n, (block(k) for k in range(n))
 
 
 def phrases(docs: DataFrame, items: DataFrame, size: int = 13, within: int | None = None,
@@ -221,22 +242,23 @@ def phrases(docs: DataFrame, items: DataFrame, size: int = 13, within: int | Non
 
     With ``within``, the proximity matches instead: positions of an item window's rarest term (rarest in its segment) that have
     all its other terms at most that many words away.
+
+    Items of one block (``block_words``) are looked up in an index of their terms only. Of more items, the driver holds one block at
+    a time; the index then has all terms of the corpus, is some four bytes a word larger, and each block's hits are written out.
     """
-    blocks = [[(i, windows_of(t, size)) for i, t in b] for b in _blocks(items, block_words)]
-    vocabulary = [w for b in blocks for _, ws in b for x in ws for w in x] if len(blocks) == 1 else None
-    index = durable(build_index(docs, vocabulary, gap=max(64, size)))
-    out = []
+    spark = docs.sparkSession
+    n, blocks = _blocks(items, block_words)
+    gap = max(64, size)
+    if n == 1:
+        wanted = Windows(next(blocks), size)
+        index = durable(build_index(docs, wanted.terms, gap=gap))
+        return _look_up(index, spark.sparkContext.broadcast(wanted), within).drop("doc_key")
+    index = durable(build_index(docs, gap=gap))
+    both = _look_up(index, spark.sparkContext.broadcast(Windows([], size)), within)
     for b in blocks:
-        by: dict[tuple[bytes, ...], list] = {}
-        for i, ws in b:
-            for x in ws:
-                by.setdefault(x, []).append(i)
-        out.append(_look_up(index, sorted(by.items(), key=lambda x: x[0]), within))
-    if len(out) == 1:
-        return out[0].drop("doc_key")
-    both = out[0]
-    for x in out[1:]:
-        both = both.unionByName(x)
+        sent = spark.sparkContext.broadcast(Windows(b, size))
+        both = both.unionByName(durable(_look_up(index, sent, within).filter("size(starts) > 0")))
+        sent.unpersist()
     return both.groupBy("doc_key").agg(
         F.first("doc_id").alias("doc_id"), F.first("text_md5").alias("text_md5"), F.first("n_words").alias("n_words"),
         F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("lengths")).alias("lengths"),

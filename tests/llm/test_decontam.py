@@ -1,5 +1,3 @@
-import hashlib
-
 from helpers import HARD, documents, prose
 
 from fleetscope.llm import decontam
@@ -12,12 +10,17 @@ def items(spark, rows):
     return spark.createDataFrame([(i, t, 0) for i, t in rows], "item_id long, text string, n_words int")
 
 
+def windows_of(text, size):
+    w = words(text)
+    return [tuple(w[k:k + size]) for k in range(max(1, len(w) - size + 1))] if w else []
+
+
 def brute(docs, tests, size=13):
     out = []
     for i, t in docs:
         w, hit, ids = words(t), set(), set()
         for k, x in tests:
-            for win in decontam.windows_of(x, size):
+            for win in windows_of(x, size):
                 for p in range(len(w) - len(win) + 1):
                     if tuple(w[p:p + len(win)]) == win:
                         hit |= set(range(p, p + len(win)))
@@ -51,5 +54,17 @@ def test_proximity(spark):
     assert {r.doc_id for r in near.collect() if r.starts} == {1}
 
 
-def test_digest_of_items(spark):
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+def test_many_blocks_equal_brute_force(spark, monkeypatch):
+    held = []
+    made = decontam.Windows.__init__
+    monkeypatch.setattr(decontam.Windows, "__init__", lambda self, items, size: (held.append(len(items)), made(self, items, size))[1])
+    monkeypatch.setattr(decontam.phrases, "__defaults__", (13, None, 600))
+    tests = [*ITEMS, *((100 + k, ITEMS[0][1]) for k in range(40))]
+    assert found(decontam.contaminated(documents(spark, HARD), items(spark, tests))) == brute(HARD, tests)
+    assert len(held) > 5 and max(held) < len(tests) / 2  # copies of one text are dealt out too
+
+
+def test_very_long_text_is_looked_up_whole(spark):
+    long = (9, prose(21, 100_000) + " " + prose(4, 40) + " " + prose(22, 100_000))
+    got = found(decontam.contaminated(documents(spark, [long]), items(spark, ITEMS)))
+    assert got == [(9, len(words(long[1])), 40, [1, 6], False)]
