@@ -11,8 +11,8 @@ touched by it, nor is a page of which most of the text lies in one.
 Each page is worked on alone, inside Arrow batches of bounded rows; nothing is shuffled.
 
 Defined cases: null or empty html, or a page without text, gives an empty text; broken markup never fails (end tags without start
-are skipped, open elements end with the page); equal rows are separate pages; an empty table gives no rows; only the named columns
-are read.
+are skipped, open elements end with the page); a page of any length or nesting is taken whole, in time that grows with its length;
+equal rows are separate pages; an empty table gives no rows; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -58,36 +59,56 @@ DISCOUNT = 0.1
 WRAPPER = 0.75
 
 
+class Open(NamedTuple):
+    """An open element: its tag, whether it or one above is skipped, its path, whether it lies in an odd inline element or in a link."""
+
+    tag: str
+    skipped: bool
+    path: int
+    odd: bool
+    link: bool
+
+
+TOP = Open("", False, 0, False, False)
+
+
 class Blocks(HTMLParser):
-    """The page's blocks in order: [path, text, characters of link text]."""
+    """The page's blocks in order: [path, text, characters of link text]. A path is a number in ``paths``: (path above, step); 0 is the page."""
 
     def __init__(self, odd_inline: bool = False) -> None:
         super().__init__(convert_charrefs=True)
         self.odd_inline = odd_inline  # whether odd inline elements keep their text
-        # tag, skipped here or above, step of the path ("" for inline elements), in an odd inline element
-        self.open: list[tuple[str, bool, str, bool]] = []
+        self.open: list[Open] = []
+        self.places: dict[str, list[int]] = {}  # of each tag, where it is open
+        self.paths: dict[tuple[int, str], int] = {(-1, ""): 0}
         self.found: list[list] = []
         self.text: list[str] = []
         self.links = 0
 
+    def _top(self) -> Open:
+        return self.open[-1] if self.open else TOP
+
+    def _push(self, element: Open) -> None:
+        self.places.setdefault(element.tag, []).append(len(self.open))
+        self.open.append(element)
+
     def _cut(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.found.append(["/".join(x[2] for x in self.open if x[2]), text, self.links])
+            self.found.append([self._top().path, text, self.links])
         self.text, self.links = [], 0
 
     def _pop(self, n: int) -> None:
-        if any(x[0] not in INLINE for x in self.open[n:]):
+        if any(x.tag not in INLINE for x in self.open[n:]):
             self._cut()
+        for x in self.open[n:]:
+            self.places[x.tag].pop()
         del self.open[n:]
 
     def _last(self, kinds: tuple, stop: tuple) -> int | None:
-        for n in range(len(self.open) - 1, -1, -1):
-            if self.open[n][0] in kinds:
-                return n
-            if self.open[n][0] in stop:
-                return None
-        return None
+        """Where the last open element of the kinds is, unless one of ``stop`` is open in it."""
+        n, wall = (max((self.places[k][-1] for k in tags if self.places.get(k)), default=-1) for tags in (kinds, stop))
+        return n if n >= 0 and n >= wall else None
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag not in INLINE and (n := self._last(("p",), ("table", "td", "th", "button", "object"))) is not None:
@@ -104,14 +125,16 @@ class Blocks(HTMLParser):
         said = f"{has.get('class', '')} {has.get('id', '')} {has.get('role', '')}".lower()
         odd = tag == "form" or tag not in ("html", "body") and tag not in ARTICLE and not ODD_WORDS.isdisjoint(re.split(r"[^a-z]+", said))
         hidden = "hidden" in has or has.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", has.get("style", ""))
-        skipped = tag in SKIPPED or bool(hidden) or bool(self.open and self.open[-1][1])
-        above = bool(self.open and self.open[-1][3])
+        above = self._top()
+        skipped = tag in SKIPPED or bool(hidden) or above.skipped
         if tag in INLINE:
-            self.open.append((tag, skipped, "", above or odd and not self.odd_inline))
+            self._push(Open(tag, skipped, above.path, above.odd or odd and not self.odd_inline, above.link or tag == "a"))
             return
         self._cut()
         step = ".".join([tag, *sorted(has.get("class", "").split())])
-        self.open.append((tag, skipped, step + ODD if odd or above and tag not in ARTICLE else step, False))
+        if odd or above.odd and tag not in ARTICLE:
+            step += ODD
+        self._push(Open(tag, skipped, self.paths.setdefault((above.path, step), len(self.paths)), False, above.link))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -126,14 +149,15 @@ class Blocks(HTMLParser):
             self._pop(n)
 
     def handle_data(self, data: str) -> None:
-        if not (self.open and (self.open[-1][1] or self.open[-1][3])):
+        above = self._top()
+        if not (above.skipped or above.odd):
             self.text.append(data)
-            if any(x[0] == "a" for x in self.open):
+            if above.link:
                 self.links += len(data.strip())
 
 
-def blocks_of(html: str | None) -> list[list]:
-    """The blocks; text of odd inline elements counts only where there is no other."""
+def blocks_of(html: str | None) -> tuple[list[list], list[tuple[int, str]]]:
+    """The blocks and the paths; text of odd inline elements counts only where there is no other."""
     for odd_inline in (False, True):
         page = Blocks(odd_inline)
         page.feed(html or "")
@@ -142,25 +166,35 @@ def blocks_of(html: str | None) -> list[list]:
         page._cut()
         if page.found:
             break
-    return page.found
-
-
-def _marks(path: str) -> tuple[bool, list[str]]:
-    """Whether a path leads through an article, and the odd elements on it, as paths: those below its last article, if any."""
-    marked, odd, steps = False, [], path.split("/")
-    for k, step in enumerate(steps):
-        if step.split(".")[0] in ARTICLE:
-            marked, odd = True, []
-        elif step.endswith(ODD):
-            odd.append("/".join(steps[:k + 1]))
+    return page.found, list(page.paths)
+
+
+def path_marks(paths: list[tuple[int, str]], text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each path, whether it leads through an article, and whether through an odd element below its last article.
+
+    ``text`` has the characters right at each path. An odd element that holds most of the text is a wrapper and does not count. A path
+    comes after the one above it, so one walk up and one down do.
+    """
+    article = np.array([step.split(".")[0] in ARTICLE for _, step in paths])
+    marked = np.zeros(len(paths), bool)
+    for k, (above, _) in enumerate(paths):
+        marked[k] = article[k] or above >= 0 and marked[above]
+    whole = text[marked].sum() or text.sum()
+    held = text.astype(float)
+    for k in range(len(paths) - 1, 0, -1):
+        if not article[k]:
+            held[paths[k][0]] += held[k]
+    odd = np.zeros(len(paths), bool)
+    for k, (above, step) in enumerate(paths):
+        if above >= 0 and not article[k]:
+            odd[k] = odd[above] or step.endswith(ODD) and held[k] < WRAPPER * whole
     return marked, odd
 
 
-def path_weights(blocks: list[list], share: float, sigma: float = 1.0) -> dict[str, float]:
-    """The fused weight of each path."""
-    paths = [b[0] for b in blocks]
-    kinds = {p: k for k, p in enumerate(dict.fromkeys(paths))}
-    of = np.array([kinds[p] for p in paths])
+def path_weights(blocks: list[list], paths: list[tuple[int, str]], share: float, sigma: float = 1.0) -> dict[int, float]:
+    """The fused weight of each path that has blocks."""
+    kinds = {p: k for k, p in enumerate(dict.fromkeys(b[0] for b in blocks))}
+    of = np.array([kinds[b[0]] for b in blocks])
     n = np.bincount(of)
     text = np.bincount(of, [len(b[1]) for b in blocks])
     marks = np.bincount(of, [sum(map(b[1].count, ".,;:!?")) for b in blocks])
@@ -174,28 +208,21 @@ def path_weights(blocks: list[list], share: float, sigma: float = 1.0) -> dict[s
         return np.bincount(of, np.convolve(along, bell / bell.sum(), "valid")) / n
 
     fused = np.sqrt(smooth(text / n) * (1 + smooth(marks / n))) * (1 - linked)
-    marks_of = [_marks(p) for p in kinds]
-    marked = np.array([m for m, _ in marks_of])
-    held: dict[str, int] = {}
-    for (_, above), size in zip(marks_of, text.tolist(), strict=True):
-        for x in above:
-            held[x] = held.get(x, 0) + size
-    whole = text[marked].sum() if marked.any() else text.sum()
-    odd = np.array([any(held[x] < WRAPPER * whole for x in above) for _, above in marks_of])
+    used = np.array(list(kinds))
+    marked, odd = (x[used] for x in path_marks(paths, np.bincount(used, text, len(paths))))
     fused = np.where(odd, DISCOUNT * fused, fused)
     if marked.any():
-        # The page says where its article is: paths through it count as content unless most of their text is links.
-        raised = np.where((linked <= 0.5) & ~odd, np.maximum(fused, share * fused.max()), fused)
-        fused = np.where(marked, raised, 0)
+        # The page says where its article is: paths through it are content, its lists of links too.
+        fused = np.where(marked, np.where(odd, fused, np.maximum(fused, share * max(fused.max(), 1e-9))), 0)
     return {p: float(fused[k]) for p, k in kinds.items()}
 
 
 def main_text(html: str | None, share: float = 0.3) -> str:
     """The main text: blocks of the paths that weigh at least ``share`` of the heaviest, in page order."""
-    blocks = blocks_of(html)
+    blocks, paths = blocks_of(html)
     if not blocks:
         return ""
-    weight = path_weights(blocks, share)
+    weight = path_weights(blocks, paths, share)
     least = share * max(weight.values())
     return "\n\n".join(b[1] for b in blocks if weight[b[0]] >= least)
 

@@ -1,3 +1,5 @@
+import time
+
 from fleetscope.llm.htmltext import extract, main_text, path_weights
 
 ARTICLE = """<html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href=x>Menu</a></ul></nav>
@@ -18,9 +20,9 @@ def test_ratios_without_a_mark():
 
 
 def test_weights_are_by_path():
-    blocks = [["a/p", "One, two, three four five six.", 0], ["a/b", "x", 0], ["a/p", "y", 0]]
-    w = path_weights(blocks, 0.3)
-    assert set(w) == {"a/p", "a/b"} and w["a/p"] > w["a/b"]
+    paths = [(-1, ""), (0, "a"), (1, "p"), (1, "b")]
+    w = path_weights([[2, "One, two, three four five six.", 0], [3, "x", 0], [2, "y", 0]], paths, 0.3)
+    assert set(w) == {2, 3} and w[2] > w[3]
 
 
 def test_hard_pages(spark):
@@ -46,3 +48,18 @@ def test_odd_words_around_the_text():
             assert main_text(page).split("\n\n") == want, page
     assert main_text(f"<body><span class='ad-free'>{text}</span></body>") == text.strip()
     assert main_text(f"<article>{body}<div class=comments><p>I read it.</p></div><form><p>Mail?</p></form></article>").split("\n\n") == want
+
+
+def test_lists_of_links_in_the_article_stay():
+    page = "<body><nav><a href=x>Menu</a></nav><article><p>Text.</p><ul><li><a href=x>link item</a></li><li>two</li></ul></article></body>"
+    assert main_text(page) == "Text.\n\nlink item\n\ntwo"
+    assert main_text("<article><ul><li><a href=x>only link</a></ul></article>") == "only link"
+
+
+def test_deep_and_long_pages_take_linear_time():
+    start = time.perf_counter()
+    deep = main_text("<div class=x>" * 20_000 + "deep" + "</div>" * 20_000)
+    odd = main_text("<div class=ad>" * 5_000 + "<article>in it" + "<div>more" * 5_000)
+    many = main_text("<div>" * 10_000 + "<p>word, " * 10_000 + "</span>" * 10_000)
+    assert deep == "deep" and odd.startswith("in it") and odd.count("more") == 5_000 and many.count("word,") == 10_000
+    assert time.perf_counter() - start < 20
