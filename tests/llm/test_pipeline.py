@@ -10,7 +10,7 @@ from test_decontam import brute as windows
 from test_linededup import brute as lines
 from test_neardup import brute as near
 
-from fleetscope.llm import bpe, quality
+from fleetscope.llm import bpe, linededup, quality
 
 SF = "/root/testdata/sf0.001"
 
@@ -41,7 +41,7 @@ def test_run_equals_brute_force(spark):
     assert 0 < len(left) < len(stats)
     class_of = dict(near(left))
     left = [(i, t) for i, t in left if class_of[i] == i]
-    left = [(i, t) for i, t, _ in lines(left)]
+    left = [(i, t) for i, t, *_ in lines(left, linededup.MIN_WORDS, linededup.MIN_BYTES)]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     bad = {i for i, *_, hit in windows(left, items) if hit}
     left = {i: t for i, t in left if i not in bad}
