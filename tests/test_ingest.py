@@ -144,6 +144,35 @@ def test_load_raw_csv_in_another_column_order(spark, tmp_path):
     assert got == {"A": (90.0, "TWR-1"), "B": (20.0, "TWR-1")}
 
 
+def test_csv_first_wins_writes_no_single_file(spark, tmp_path, monkeypatch):
+    """The rows are dealt over several files, each key's two rows into one of them, the first rows before the later ones."""
+    import csv
+    from fleetscope.plans.catalog import QUERIES
+    from fleetscope.sources import files
+    from fleetscope.sources.fixture import EVENTS_SCHEMA, train_telemetry
+    (spark.range(500).selectExpr(
+        "id AS event_id", "CAST(timestamp_seconds(1705300000 + id % 450 * 977) AS TIMESTAMP_NTZ) AS ts", "id % 9 AS user_id",
+        "'error' AS event_type", "CAST(id % 70 AS DOUBLE) AS value", """concat('{"k": ', id % 100, '}') AS props""")
+        .select(*EVENTS_SCHEMA.fieldNames()).write.parquet(str(tmp_path / "events.parquet")))
+    monkeypatch.setattr(files, "scratch_path", lambda s, name: str(tmp_path / name))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = QUERIES["i10_csv_first_wins"](spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want = train_telemetry(spark, str(tmp_path)).select(*got.columns)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+    found = []
+    for path in (tmp_path / "csv-load" / "raw").glob("*.csv"):
+        with open(path, newline="") as f:
+            found.append([(r["train_id"], r["timestamp"], r["status"] == "AGAIN") for r in csv.DictReader(f)])
+    found = [rows for rows in found if rows]
+    assert len(found) > 3 and sum(map(len, found)) == 2 * want.count()
+    for rows in found:
+        assert [again for *_, again in rows] == [False] * (len(rows) // 2) + [True] * (len(rows) // 2)
+        assert [r[:2] for r in rows[:len(rows) // 2]] == [r[:2] for r in rows[len(rows) // 2:]]
+
+
 def test_csv_without_a_column_is_an_error(spark, tmp_path):
     import pytest
 
