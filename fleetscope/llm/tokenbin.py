@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 from bisect import bisect_right
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,8 @@ BLOCK_IDS = 4096
 FILE_IDS = 8_000_000
 #: Ranges that the documents are dealt out to at most (a range writes as many files as it needs), and rows sampled for each.
 MAX_RANGES, SAMPLED = 20_000, 60
-#: Words that a worker remembers at most, about.
-CACHE_WORDS = 800_000
+#: Words that a worker remembers at most, about, and pieces of words besides.
+CACHE_WORDS, CACHE_PIECES = 1_200_000, 300_000
 
 
 def pack_ids(ids: np.ndarray, bits: int) -> bytes:
@@ -114,12 +115,33 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+def _latin_1(text: str) -> bool:
+    """Whether every character is below U+0100: its lower case is one character of its own, wherever it stands, and NFC as it is."""
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
+class _Words(dict):
+    """Ids of words; a word that is not there yet is asked for once."""
+
+    def __init__(self, ask):
+        super().__init__({"": b""})
+        self.ask = ask
+
+    def __missing__(self, word: str) -> bytes:
+        got = self[word] = self.ask(word)
+        return got
+
+
 class WordEncoder:
     """Whole texts by a tokenizers file, word for word.
 
     A text is cut at spaces and line feeds. The tokenizer's own splitting never joins what white space parts (the constructor
     holds it to that for the file in use), so the ids of a text are those of its words, and a word is encoded once while it is
-    remembered. Words of printable Latin characters are cut by the file's own pattern and go to the model directly.
+    remembered. Words of printable Latin characters are cut by the file's own pattern and go to the model directly. A text of
+    printable Latin-1 is put in lower case as a whole, and its words are encoded where they are met.
 
     The strings of added tokens (``<|endoftext|>``) in a text are ordinary text, or, with ``added_as_text`` False, the tokens they
     name, as the library has them by default; a text that holds one is then encoded whole by the library.
@@ -145,17 +167,17 @@ class WordEncoder:
         self.mark = os.path.commonprefix(self.added)
         self.pieces = regex.compile(self.PATTERN)
         self.letters = _byte_letters()
-        self.young: dict[str, bytes] = {"": b""}
+        self.young = _Words(self._plain_word)
         self.old: dict[str, bytes] = {}
         self.by_piece: dict[str, bytes] = {}
-        self.wide = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
+        self.wide, self.code = ("<u2", "H") if self.tok.get_vocab_size() <= 1 << 16 else ("<u4", "I")
         sample = "It's a Test,\n with 12 (odd) wörds' ÉTÉ &&& don't!! A.B ñ%%% ¿x? straße.²"
         self.direct = all(self._whole(w) == self._pieces(w) for w in sample.split())
         if self._whole(sample) != b"".join(map(self._whole, sample.split())):
             raise ValueError(f"{path} joins words across white space")
 
     def _raw(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.wide).tobytes()
+        return pack(f"<{len(ids)}{self.code}", *ids)
 
     def _whole(self, text: str) -> bytes:
         return self._raw(self.tok.encode(text, add_special_tokens=False).ids)
@@ -164,11 +186,24 @@ class WordEncoder:
         out = []
         for p in self.pieces.findall(word.lower()):
             if (got := self.by_piece.get(p)) is None:
-                shown = p if p.isascii() else "".join(map(self.letters.__getitem__, p.encode()))
-                got = self.by_piece[p] = self._raw([x.id for x in self.tok.model.tokenize(shown)])
+                got = self.by_piece[p] = self._model(p)
             out.append(got)
         return b"".join(out)
 
+    def _model(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+        return self._raw([x.id for x in self.tok.model.tokenize(shown)])
+
+    def _plain_word(self, word: str) -> bytes:
+        """Ids of a word of printable Latin-1 in lower case: letters are one piece, and so is one other character after them."""
+        if (got := self.old.get(word)) is not None:
+            return got
+        if word.isalpha():
+            return self._model(word)
+        if word[:-1].isalpha():
+            return self.young[word[:-1]] + self.young[word[-1]]
+        return self._pieces(word)
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian integers of ``wide``."""
         if self.added:
@@ -180,12 +215,20 @@ class WordEncoder:
 
     def _by_words(self, texts: list[str | None]) -> list[bytes]:
         if len(self.young) > CACHE_WORDS // 2:
-            self.old, self.young = self.young, {"": b""}
-        if len(self.by_piece) > CACHE_WORDS:
+            self.old, self.young = self.young, _Words(self._plain_word)
+        if len(self.by_piece) > CACHE_PIECES:
             self.by_piece = {}
-        cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        flat = [(t or "").replace("\n", " ") for t in texts]
+        # other texts keep their case: in a word that the library encodes, lower case might name an added token
+        plain = [self.direct and t.isprintable() and _latin_1(t) for t in flat]
+        self._learn({w for t, p in zip(flat, plain, strict=True) if not p for w in t.split(" ")})
+        ids = self.young.__getitem__
+        return [b"".join(map(ids, (t.lower() if p else t).split(" "))) for t, p in zip(flat, plain, strict=True)]
+
+    def _learn(self, words: set[str]) -> None:
+        """Remember the ids of ``words``, those that only the library can encode many at a time."""
         known, old, late = self.young, self.old, []
-        for w in {w for ws in cut for w in ws}.difference(known):
+        for w in words.difference(known):
             if (got := old.get(w)) is not None:
                 known[w] = got
             elif self.direct and max(w) < self.LATIN and w.isprintable() and "\u0130" not in w:
@@ -196,7 +239,6 @@ class WordEncoder:
             part = late[k:k + 2000]
             for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 known[w] = self._raw(e.ids)
-        return [b"".join(map(known.__getitem__, ws)) for ws in cut]
 
 
 _ENCODERS: dict[tuple[str, bool], WordEncoder] = {}

@@ -80,3 +80,34 @@ def test_added_tokens_as_the_library_has_them(spark, tmp_path):
     assert plain.encode(rows[0][1], add_special_tokens=False).ids == [320, 49407, 321]
     documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     assert sorted(map(tuple, B.op4_bit_packed_ids(spark, str(tmp_path)).collect())) == want
+
+
+LATIN_1 = ["Don't", "O", "'S", "'", "ÉTÉ", "straße", "²", "ªº", "µm", "A.B", "&&&", "x²", "12", ".", ",", " ", "\n", "ñ", "×", "\xa0", "\xad", "<|", "!é"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(LATIN_1) | st.characters(max_codepoint=255), max_size=40).map("".join))
+def test_latin_1_texts_are_exact(text):
+    assert np.frombuffer(words.encode([text])[0], words.wide).tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_plain_words_go_to_the_model_uncut(monkeypatch):
+    """Letters, and letters with one mark after them, need no cutting by the pattern; a word is encoded once in all its cases."""
+    enc, asked = B.WordEncoder(PATH), []
+    enc.encode([". , !"])
+    monkeypatch.setattr(enc, "pieces", None)
+    model = enc._model
+    monkeypatch.setattr(enc, "_model", lambda p: asked.append(p) or model(p))
+    texts = ["Overture overture, OVERTURE.\noverture! Été", "ÉTÉ, overture"]
+    assert [np.frombuffer(x, enc.wide).tolist() for x in enc.encode(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(asked) == ["overture", "été"]
+
+
+def test_words_forgotten_and_case_kept_for_the_library(monkeypatch):
+    """Ids stay as the library has them when words are dropped, and lower case names no added token by accident."""
+    monkeypatch.setattr(B, "CACHE_WORDS", 8)
+    monkeypatch.setattr(B, "CACHE_PIECES", 2)
+    enc, plain = B.WordEncoder(PATH, added_as_text=False), Tokenizer.from_file(PATH)
+    for k in range(4):
+        texts = [f"a{k} B's, word{k}. Été\nlast", "\t<|ENDOFTEXT|> x\x01", "<|StartOfText|> “Quoted” İ", "<|ENDOFTEXT|>", None, "a <|endoftext|>"]
+        assert [np.frombuffer(x, enc.wide).tolist() for x in enc.encode(texts)] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
